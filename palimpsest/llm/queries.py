@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, license_scan, sharding, warc
+from . import bpe, decontaminate, jaccard, license_scan, sharding, suffix_dedup, warc
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.summary(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -28,11 +32,23 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(tokens, path))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_decontamination": op2_decontamination, "op4_warc": op4_warc, "op7_license_scan": op7_license_scan, "op8_bpe": op8_bpe, "op10_sharding": op10_sharding}
+QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_warc": op4_warc,
+    "op7_license_scan": op7_license_scan,
+    "op8_bpe": op8_bpe,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_sharding": op10_sharding,
+}
 
 #: Shingle sets in SQL: A-Z lower-cased, words between blanks, tabs and line ends, five-word runs.
 _SETS = """
