@@ -2,8 +2,9 @@
 fingerprint exchange and connected components.
 
 Row identity. ``doc_id`` may be null or repeated, so a document is keyed by
-``(doc_id, th)`` with ``th = xxhash64(text)``. Rows equal in both are the same
-document written twice: every operator gives both the same answer.
+``(doc_id, th)`` with ``th = xxhash64(text)``; a null doc_id stands as NULL_ID
+inside the operators. Rows equal in both are the same document written twice:
+every operator gives both the same answer.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Text bytes that one block of the fingerprint exchange holds, and one bucket stands for.
 BLOCK_BYTES = 8 << 20
+#: Stands for a null doc_id, before all others.
+NULL_ID = -(2**63)
+KEY = ["doc_id", "th"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +58,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, th, text) with a null text as the empty text; all other columns are dropped, so none can clash."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
 
 
 def total_bytes(docs: DataFrame) -> int:
@@ -65,15 +69,8 @@ def n_buckets(size: int) -> int:
     return int(min(max(64, size // BLOCK_BYTES), 200_000))
 
 
-def null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join that lets null keys meet; the right keys are dropped."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
-    cond = None
-    for c in on:
-        one = left[c].eqNullSafe(r[f"_r_{c}"])
-        cond = one if cond is None else cond & one
-    out = left.join(r, cond, how)
-    return out.drop(*[f"_r_{c}" for c in on]) if how not in ("left_semi", "left_anti") else out
+def real_id(column: str) -> Column:
+    return F.nullif(F.col(column), F.lit(NULL_ID)).alias(column)
 
 
 def with_group_value(rows: DataFrame, groups: DataFrame, key: str, count: str, hot_share: int = 500) -> DataFrame:
@@ -143,92 +140,128 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(mix(s))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list, list]]:
-    """Lists (doc_id, th, text) of about ``limit`` bytes of text; a longer text makes a block of its own."""
+def blocks(batches: Iterator[pa.RecordBatch], extra: str | None = None, limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list, list, list]]:
+    """Lists (doc_id, th, text, extra) of about ``limit`` bytes of text; a longer text makes a block of its own."""
     ids: list = []
     ths: list = []
     texts: list = []
+    extras: list = []
     size = 0
     for batch in batches:
-        for i, h, t in zip(batch["doc_id"].to_pylist(), batch["th"].to_pylist(), batch["text"], strict=True):
+        also = batch[extra] if extra else batch["th"]
+        for i, h, t, x in zip(batch["doc_id"].to_pylist(), batch["th"].to_pylist(), batch["text"], also, strict=True):
             t = t.as_py()
-            ids.append(i), ths.append(h), texts.append(t)
+            ids.append(i), ths.append(h), texts.append(t), extras.append(x.as_py())
             size += len(t)
             if size >= limit:
-                yield ids, ths, texts
-                ids, ths, texts, size = [], [], [], 0
+                yield ids, ths, texts, extras
+                ids, ths, texts, extras, size = [], [], [], [], 0
     if ids:
-        yield ids, ths, texts
+        yield ids, ths, texts, extras
 
 
-Marks = Callable[[str], tuple[np.ndarray, bytes]]
+#: (hashes, payload, places) of a text; places None: 0, 1, 2 ...
+Marks = Callable[..., tuple[np.ndarray, bytes, np.ndarray | None]]
 
 
-def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: bool) -> DataFrame:
-    """Which marks of each document occur anywhere else.
+def _first_of_runs(*keys: np.ndarray) -> np.ndarray:
+    """Where sorted keys begin a new run of equal ones."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return new
 
-    ``marks(text)`` gives a document's 64-bit marks in order, and a payload that
-    is carried through. Result: doc_id, th, payload, n_marks, n_hits and hits
-    (with want_places: pickled uint32 places of the repeated marks). A mark that
-    occurs twice in one document counts as repeated. Marks travel as 32-bit
-    fingerprints within hash buckets that stand for 8 MB of text each, so about
-    0.02 % of the unique marks are reported too: callers verify. A block of
-    documents sends each distinct mark once, whatever its frequency, so a mark
-    in a third of all documents costs a bucket one entry per block.
+
+def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: bool, later: bool = False, extra: str | None = None) -> DataFrame:
+    """Which marks of each document occur anywhere else, or (later) anywhere before.
+
+    ``marks(text)``, or ``marks(text, extra column)``, gives a document's 64-bit
+    marks, a payload that is carried through, and the marks' places. Result:
+    doc_id, th, payload, n_marks, n_hits and hits (with want_places: packed
+    uint32 places of the marks that were met). A mark that stands twice in one
+    document counts as repeated.
+
+    Marks are dealt out to hash buckets that stand for 8 MB of text each, as
+    32-bit fingerprints there, so about 0.02 % of the lone marks are reported too:
+    callers verify. With ``later`` full hashes travel, each with its document's
+    id, and every mark but the first in order of (doc_id, th, place) is a hit. A
+    block of documents sends each distinct mark once, whatever its frequency, so
+    a mark in a third of all documents costs its bucket one entry per block.
     """
 
     def emit(batches):
-        for ids, ths, texts in blocks(batches):
-            got = [marks(t) for t in texts]
-            arrays = [g[0] for g in got]
-            lens = np.array([len(a) for a in arrays], np.int64)
-            allm = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
-            row = np.repeat(np.arange(len(arrays), dtype=np.uint32), lens)
-            place = (np.arange(len(allm)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.uint32)
-            order = np.argsort(allm, kind="stable")
-            s = allm[order]
-            new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.empty(0, bool)
-            last = np.r_[new[1:], True] if len(s) else new
-            local = np.zeros(len(s), bool)
-            local[order] = ~(new & last)  # repeated within the block: known here
+        for ids, ths, texts, extras in blocks(batches, extra):
+            got = [marks(t, x) for t, x in zip(texts, extras, strict=True)] if extra else [marks(t) for t in texts]
+            lens = np.array([len(g[0]) for g in got], np.int64)
+            allm = np.concatenate([g[0] for g in got])
+            row = np.repeat(np.arange(len(got), dtype=np.uint32), lens)
+            place = np.concatenate([np.arange(len(g[0])) if g[2] is None else g[2] for g in got]).astype(np.uint32)
+            if later:
+                where = np.lexsort((np.array(ths), np.array(ids)))  # documents in order; equal keys are one document
+                i, t = np.array(ids)[where], np.array(ths)[where]
+                rank = np.empty(len(ids), np.int64)
+                rank[where] = np.cumsum(_first_of_runs(i, t))
+                order = np.lexsort((place, rank[row], allm))
+                s, spot = allm[order], (rank[row] << 32 | place)[order]
+                new = _first_of_runs(s)
+                run = np.cumsum(new) - 1
+                local = np.zeros(len(s), bool)
+                local[order] = spot > spot[new][run] if len(s) else False
+                alone = np.ones(int(new.sum()), bool)
+            else:
+                order = np.argsort(allm, kind="stable")
+                new = _first_of_runs(allm[order])
+                last = np.r_[new[1:], True][: len(new)]
+                local = np.zeros(len(allm), bool)
+                local[order] = ~(new & last)
+                alone = (new & last)[new]
             first = order[new]
-            alone = (new & last)[new]
             h = allm[first]
             bucket = (h % np.uint64(buckets)).astype(np.int32)
-            key = [(-1 if i is None else i, t) for i, t in zip(ids, ths, strict=True)]
-            block = xxhash.xxh3_64_intdigest(repr(key).encode()) >> 1
+            block = xxhash.xxh3_64_intdigest(repr((ids, ths)).encode()) >> 1
             here = np.flatnonzero(local)
             known = pack(ids, ths, [g[1] for g in got], lens, row[here], place[here] if want_places else None)
             out_b, out_k, out_d = [int(block % buckets)], [1], [known]
-            by = np.lexsort((row[first], bucket))
-            cut = np.flatnonzero(np.r_[True, bucket[by][1:] != bucket[by][:-1]]) if len(by) else []
+            by = np.lexsort((place[first], row[first], bucket))
+            cut = np.flatnonzero(_first_of_runs(bucket[by])).tolist()
             for a, z in zip(cut, [*cut[1:], len(by)], strict=True):
                 pick = by[a:z]
-                fp = (h[pick] >> np.uint64(32)).astype(np.uint32)
-                r = row[first[pick]].copy()
-                r[~alone[pick]] = 0xFFFFFFFF  # no answer is needed
-                out_b.append(int(bucket[pick[0]])), out_k.append(0)
-                out_d.append(pack(fp, r, place[first[pick]] if want_places else None))
+                r = row[first[pick]]
+                if later:
+                    used, r2 = np.unique(r, return_inverse=True)
+                    body = pack(h[pick], r, place[first[pick]], r2.astype(np.uint32), np.array(ids)[used], np.array(ths)[used])
+                else:
+                    r = np.where(alone[pick], r, np.uint32(0xFFFFFFFF))  # those need no answer
+                    body = pack((h[pick] >> np.uint64(32)).astype(np.uint32), r, place[first[pick]] if want_places else None)
+                out_b.append(int(bucket[pick[0]])), out_k.append(0), out_d.append(body)
             yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array([block] * len(out_b), pa.int64()), pa.array(out_k, pa.int32()), pa.array(out_d, pa.binary())], names=["bucket", "block", "kind", "data"])
 
     def meet(group: pa.Table) -> pa.Table:
         block, kind, data = group["block"].to_pylist(), group["kind"].to_pylist(), group["data"]
         out = [(b, k, d.as_py()) for b, k, d in zip(block, kind, data, strict=True) if k == 1]
-        rest = [(b, *unpack(d)) for b, k, d in zip(block, kind, data, strict=True) if k == 0]
+        rest = [(b, unpack(d)) for b, k, d in zip(block, kind, data, strict=True) if k == 0]
         if rest:
-            fp = np.concatenate([x[1] for x in rest])
-            order = np.argsort(fp, kind="stable")
-            s = fp[order]
-            new = np.r_[True, s[1:] != s[:-1]]
-            hit = np.zeros(len(fp), bool)
-            hit[order] = ~(new & np.r_[new[1:], True])
-            # one entry that stands for several places in its block is no meeting by itself, but its places are known already
+            mark = np.concatenate([x[0] for _, x in rest])
+            hit = np.zeros(len(mark), bool)
+            if later:
+                ids, ths = (np.concatenate([x[j][x[3]] for _, x in rest]) for j in (4, 5))
+                places = np.concatenate([x[2] for _, x in rest])
+                order = np.lexsort((places, ths, ids, mark))
+                new = _first_of_runs(mark[order])
+                fresh = _first_of_runs(mark[order], ids[order], ths[order], places[order])
+                step = np.cumsum(fresh)
+                hit[order] = step > step[new][np.cumsum(new) - 1]
+            else:
+                order = np.argsort(mark, kind="stable")
+                new = _first_of_runs(mark[order])
+                hit[order] = ~(new & np.r_[new[1:], True])
             at = 0
-            for b, f, r, p in rest:
-                h = hit[at : at + len(f)] & (r != 0xFFFFFFFF)
-                at += len(f)
+            for b, x in rest:
+                h = hit[at : at + len(x[0])] & (x[1] != 0xFFFFFFFF)
+                at += len(x[0])
                 if h.any():
-                    out.append((b, 0, pack(r[h], p[h] if p is not None else None)))
+                    out.append((b, 0, pack(x[1][h], x[2][h] if want_places else None)))
         return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["block", "kind", "data"])
 
     def answer(group: pa.Table) -> pa.Table:
@@ -243,13 +276,14 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
             places = np.concatenate([place, *[x[1] for x in hits]])
             order = np.lexsort((places, rows))
             got = [pack(x) for x in np.split(places[order], np.cumsum(count)[:-1])]
-        times = max(1, len(known))  # the same block read twice: its documents are there twice
+        times = len(known)  # a block that was read twice has its documents twice
         return pa.table(
             [pa.array(ids * times, pa.int64()), pa.array(ths * times, pa.int64()), pa.array(payload * times, pa.binary()), pa.array(list(lens) * times, pa.int64()), pa.array(list(count) * times, pa.int64()), pa.array(got * times, pa.binary())],
             names=["doc_id", "th", "payload", "n_marks", "n_hits", "hits"],
         )
 
-    sent = docs.select("doc_id", "th", "text").mapInArrow(emit, "bucket int, block long, kind int, data binary")
+    columns = [*KEY, "text", *([extra] if extra else [])]
+    sent = docs.select(*columns).mapInArrow(emit, "bucket int, block long, kind int, data binary")
     met = sent.groupBy("bucket").applyInArrow(meet, "block long, kind int, data binary")
     return met.groupBy("block").applyInArrow(answer, "doc_id long, th long, payload binary, n_marks long, n_hits long, hits binary")
 

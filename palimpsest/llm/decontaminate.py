@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, documents, shingles
+from .common import LOWER, documents, real_id, shingles
 
 #: Shingle width, and the share of an item's shingles that a document must hold.
 WIDTH, CONTAINMENT = 5, 0.75
@@ -112,6 +112,7 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
             out = scan(block) if out is None else out.unionByName(scan(block))
             block, size = [], 0
     last = scan(block) if block else spark.createDataFrame([], schema)
-    return last if out is None else out.unionByName(last)
+    out = last if out is None else out.unionByName(last)
+    return out.withColumn("doc_id", real_id("doc_id"))
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, checkpoint, components, documents, n_buckets, null_safe, repeated_marks, shingles, total_bytes, with_group_value
+from .common import KEY, blocks, checkpoint, components, documents, n_buckets, real_id, repeated_marks, shingles, total_bytes, with_group_value
 
 #: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
@@ -32,16 +32,16 @@ SIMILARITY = 75
 FRAGMENTS, CENTRES = 8, 2
 
 
-def _marks(text: str) -> tuple[np.ndarray, bytes]:
+def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
     s = shingles(text)
-    return s, xxhash.xxh3_128_digest(s.tobytes())
+    return s, xxhash.xxh3_128_digest(s.tobytes()), None
 
 
 def _sets(docs: DataFrame) -> DataFrame:
     """(rid, n, tokens) of the documents given as (doc_id, th, text)."""
 
     def run(batches):
-        for ids, _, texts in blocks(batches):
+        for ids, _, texts, _ in blocks(batches):
             sets = [shingles(t).view(np.int64) for t in texts]
             offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
@@ -85,7 +85,6 @@ def links_of(reps: DataFrame) -> DataFrame:
     entry = ordered.select("rid", "n", F.explode("t").alias("e")).select("rid", "n", fragment.alias("f"), F.col("e.h").alias("h"))
     segments = checkpoint(entry.groupBy("rid", "n", "f").agg(F.collect_list("h").alias("seg")))
     postings = checkpoint(ordered.select("rid", "n", F.explode(F.expr("slice(t, 1, cast(p as int))")).alias("e")).select("rid", "n", F.col("e.h").alias("h")))
-    postings = postings.withColumn("one", F.lit(1))
 
     # first round: the centre of a shingle's list is its member with the least hash; the best centres are verified
     found = None
@@ -130,12 +129,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """
     body = documents(docs, text, key)
     marked = repeated_marks(body, _marks, n_buckets(total_bytes(body)), want_places=False)
-    meta = checkpoint(marked.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "th", F.col("payload").alias("gk"), F.col("n_marks").alias("n"), "n_hits"))
+    meta = checkpoint(marked.select("doc_id", "th", F.col("payload").alias("gk"), F.col("n_marks").alias("n"), "n_hits"))
     classes = meta.where("n > 0").groupBy("gk").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count(F.lit(1)).alias("cnt"), F.max("n").alias("n"), F.max("n_hits").alias("n_hits"))
     # a class of several documents shares every shingle; its own copies don't count as partners, the exact join sorts that out
     going = classes.where(F.col("n_hits") >= _least(F.col("n"))).select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "gk")
-    own = body.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
-    texts = null_safe(own, going, ["doc_id", "th"], "inner").dropDuplicates(["doc_id", "th"])
+    texts = body.join(going, KEY).dropDuplicates(KEY)
     # a doc_id may stand for several texts: classes are linked by a number of their own
     numbered = texts.select(F.xxhash64("gk").alias("doc_id"), "th", "text")
     comp = links_of(_sets(numbered))
@@ -145,8 +143,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     ids = checkpoint(joined.join(least, "comp").select("gk", "cnt", "component_id"))
     full = with_group_value(meta.where("n > 0").select("doc_id", "gk", "n"), ids, "gk", "cnt").select("doc_id", "n", "component_id")
     alone = meta.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    real = lambda c: F.nullif(F.col(c), F.lit(-(2**63)))
-    return full.unionByName(alone).select(real("doc_id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), real("component_id").alias("component_id"))
+    return full.unionByName(alone).select(real_id("doc_id"), F.col("n").cast("long").alias("n_shingles"), real_id("component_id"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, license_scan, sharding, suffix_dedup, warc
+from . import bpe, decontaminate, jaccard, license_scan, recompression, sharding, suffix_dedup, warc
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.summary(recompression.remove_later_copies(table(spark, sf_dir, "documents")))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
+    "op5_recompression": op5_recompression,
     "op7_license_scan": op7_license_scan,
     "op8_bpe": op8_bpe,
     "op9_jaccard_join": op9_jaccard_join,

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, documents, n_buckets, null_safe, repeated_marks, total_bytes, unpack
+from .common import KEY, documents, n_buckets, real_id, repeated_marks, total_bytes, unpack
 
 #: Bytes of a string that counts as a repeat, of an anchor's gram, and places in an anchor's window.
 LENGTH, GRAM, WINDOW = 400, 32, 256
@@ -85,16 +85,16 @@ def _anchor_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return at, m[at], h, m
 
 
-def _marks(text: str) -> tuple[np.ndarray, bytes]:
+def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
     """The values of a text's runs. A value that two places within one run have is sent twice: periodic text repeats itself."""
     data = text.encode()
     if len(data) < LENGTH:
-        return np.empty(0, np.uint64), b""
+        return np.empty(0, np.uint64), b"", None
     _, values, h, m = _anchor_runs(data)
     edge = np.zeros(WINDOW - 1, np.uint64)
     at = np.flatnonzero(h == _slide(np.concatenate((edge, m, edge)), np.maximum))
     twice = (h[at[1:]] == h[at[:-1]]) & (at[1:] - at[:-1] < WINDOW)
-    return np.concatenate((values, h[at[1:][twice]])), b""
+    return np.concatenate((values, h[at[1:][twice]])), b"", None
 
 
 def candidates(text: bytes, hits: np.ndarray) -> list[tuple[int, int, int]]:
@@ -246,10 +246,14 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, spans) with the spans [first, end) of bytes to remove; docs: doc_id, th, text."""
+    """(doc_id, th, spans) with the spans [first, end) of bytes to remove; docs: doc_id, th, text.
+
+    One plan without a cut, so that the shuffle of the texts to their anchors is
+    used again where the caller joins the texts to their spans.
+    """
     buckets = n_buckets(total_bytes(docs))
     marked = repeated_marks(docs, _marks, buckets, want_places=True)
-    hits = marked.where("n_hits > 0").select("doc_id", "th", "hits").dropDuplicates(["doc_id", "th"])
+    hits = marked.where("n_hits > 0").select("doc_id", "th", "hits").dropDuplicates(KEY)
 
     def cut(batches):
         """Pieces of text for the sorters; what repeats within the block is known at once."""
@@ -270,7 +274,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 for (value, piece), owners in pieces.items():
                     alone = len(owners) == 1
                     for doc_id, th, a in owners:
-                        out["bucket"].append(value % buckets), out["kind"].append(0 if alone else 1)
+                        # what is known already needs no meeting and goes to any bucket
+                        out["bucket"].append((value if alone else th) % buckets), out["kind"].append(0 if alone else 1)
                         out["doc_id"].append(doc_id), out["th"].append(th), out["first"].append(a)
                         out["piece"].append(piece if alone else None), out["weight"].append(len(piece) - LENGTH + 1)
                     if not alone:  # a witness for other blocks
@@ -283,8 +288,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     def sort(group: pa.Table) -> pa.Table:
         distinct: dict[bytes, int] = {}
         weight: list[int] = []
-        owners = []
-        for piece, kind, doc_id, th, first in zip(*(group[c].to_pylist() for c in ("piece", "kind", "doc_id", "th", "first")), strict=True):
+        owners, rows = [], []
+        for piece, kind, doc_id, th, first, n in zip(*(group[c].to_pylist() for c in ("piece", "kind", "doc_id", "th", "first", "weight")), strict=True):
+            if kind == 1:
+                rows.append((doc_id, th, first, n))
+                continue
             k = distinct.setdefault(piece, len(distinct))
             if k == len(weight):
                 weight.append(0)
@@ -293,16 +301,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 owners.append((k, doc_id, th, first))
         pieces = list(distinct)
         runs = [_runs(f) for f in repeats(pieces, [len(p) - LENGTH + 1 for p in pieces], weight)]
-        rows = [(doc_id, th, first + int(p), int(q - p)) for k, doc_id, th, first in owners for p, q in runs[k]]
+        rows += [(doc_id, th, first + int(p), int(q - p)) for k, doc_id, th, first in owners for p, q in runs[k]]
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "th", "first", "starts"])
 
-    with_hits = null_safe(docs, hits, ["doc_id", "th"], "inner").select("doc_id", "th", "text", "hits")
-    pieces = checkpoint(with_hits.mapInArrow(cut, "bucket long, kind int, doc_id long, th long, first long, piece binary, weight long"))
-    known = pieces.where("kind = 1").select("doc_id", "th", "first", F.col("weight").alias("starts"))
-    sorted_ = pieces.where("kind <> 1").select("bucket", "kind", "doc_id", "th", "first", "piece").groupBy("bucket").applyInArrow(sort, "doc_id long, th long, first long, starts long")
-    spans = known.unionByName(sorted_).groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("first", (F.col("first") + F.col("starts") + LENGTH - 1).alias("end")))).alias("spans"))
-    return spans
+    pieces = docs.join(hits, KEY).select(*KEY, "text", "hits").mapInArrow(cut, "bucket long, kind int, doc_id long, th long, first long, piece binary, weight long")
+    found = pieces.groupBy("bucket").applyInArrow(sort, "doc_id long, th long, first long, starts long")
+    return found.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("first", (F.col("first") + F.col("starts") + LENGTH - 1).alias("end")))).alias("spans"))
 
 
 def merged(spans: list) -> np.ndarray:
@@ -339,8 +344,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, kind)], names=["doc_id", "th", "kept", "n_bytes", "n_removed", "spans"])
 
-    joined = null_safe(body, spans, ["doc_id", "th"], "left").select("doc_id", "th", "text", "spans")
-    return joined.mapInArrow(run, "doc_id long, th long, kept binary, n_bytes long, n_removed long, spans array<struct<first:long,end:long>>")
+    joined = body.join(spans, KEY, "left").select(*KEY, "text", "spans")
+    return joined.mapInArrow(run, "doc_id long, th long, kept binary, n_bytes long, n_removed long, spans array<struct<first:long,end:long>>").withColumn("doc_id", real_id("doc_id"))
 
 
 def summary(kept: DataFrame) -> DataFrame:
