@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Words that the cache holds before it is emptied, and characters of text per replay.
 CACHE_WORDS, REPLAY_CHARS = 300_000, 2_000_000
+#: Words in one inverted index: its lists then stay in the processor's cache.
+INDEX_WORDS = 4096
 
 
 class Vocabulary:
@@ -42,7 +44,7 @@ class Vocabulary:
         key = a * self.n + b
         r = self.pair.get(key)
         if r is None:
-            if len(self.pair) > 2_000_000:
+            if len(self.pair) > 400_000:
                 self.pair.clear()
             r = self.pair[key] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
         return r
@@ -54,23 +56,33 @@ class Vocabulary:
         prv: list[int] = []
         starts: list[int] = []
         whole: list[int] = []
+        get, single, at = self.ranks.get, self.bytes.__getitem__, 0
         for w in words:
-            whole.append(self.ranks.get(w, -1))
-            starts.append(len(sym))
-            if whole[-1] < 0:
-                at = len(sym)
-                sym += map(self.bytes.__getitem__, w)
-                nxt += range(at + 1, at + len(w) + 1)
-                prv += range(at - 1, at + len(w) - 1)
-                if w:
-                    nxt[-1], prv[at] = -1, -1
-        index: dict[int, list[int]] = {}
-        merged = self.merged
-        for i, j in enumerate(nxt):
-            if j >= 0 and (r := merged(sym[i], sym[j])) >= 0:
-                index.setdefault(r, []).append(i)
+            r = get(w, -1)
+            whole.append(r)
+            starts.append(at)
+            if r < 0 and w:
+                sym += map(single, w)
+                to = at + len(w)
+                nxt += range(at + 1, to + 1)
+                prv += range(at - 1, to - 1)
+                nxt[-1], prv[at] = -1, -1
+                at = to
+        if not sym:
+            return [[r] for r in whole]
+        # the index of the first pairs: each distinct pair is looked up once
+        own, follow = np.array(sym, np.int64), np.array(nxt, np.int64)
+        at = np.flatnonzero(follow >= 0)
+        pairs, which = np.unique(own[at] * self.n + own[follow[at]], return_inverse=True)
+        ranks = np.array([self.merged(*divmod(int(k), self.n)) for k in pairs], np.int64)[which]
+        at, ranks = at[ranks >= 0], ranks[ranks >= 0]
+        order = np.argsort(ranks, kind="stable")
+        at, ranks = at[order], ranks[order]
+        cut = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]) if len(ranks) else []
+        index = {int(ranks[a]): at[a:z].tolist() for a, z in zip(cut, [*cut[1:], len(at)], strict=True)}
         heap = list(index)
         heapq.heapify(heap)
+        pair, n, merged = self.pair, self.n, self.merged
         while heap:
             rank = heapq.heappop(heap)
             places = index.pop(rank, None)
@@ -79,19 +91,40 @@ class Vocabulary:
             places.sort()
             for k, i in enumerate(places):
                 j = nxt[i]
-                if sym[i] < 0 or j < 0 or merged(sym[i], sym[j]) != rank:
+                left = sym[i]
+                if left < 0 or j < 0:
+                    continue
+                r = pair.get(left * n + sym[j])
+                if r is None:
+                    r = merged(left, sym[j])
+                if r != rank:
                     continue
-                sym[i], sym[j], nxt[i] = rank, -1, nxt[j]
-                if nxt[j] >= 0:
-                    prv[nxt[j]] = i
+                after, before = nxt[j], prv[i]
+                sym[i], sym[j], nxt[i] = rank, -1, after
                 lower = False
-                for a, b in ((prv[i], i), (i, nxt[i])):
-                    if a >= 0 and b >= 0 and (r := merged(sym[a], sym[b])) >= 0:
-                        if r not in index:
-                            index[r] = []
+                if after >= 0:
+                    prv[after] = i
+                    r = pair.get(rank * n + sym[after])
+                    if r is None:
+                        r = merged(rank, sym[after])
+                    if r >= 0:
+                        if r in index:
+                            index[r].append(i)
+                        else:
+                            index[r] = [i]
+                            heapq.heappush(heap, r)
+                            lower = r < rank
+                if before >= 0:
+                    r = pair.get(sym[before] * n + rank)
+                    if r is None:
+                        r = merged(sym[before], rank)
+                    if r >= 0:
+                        if r in index:
+                            index[r].append(before)
+                        else:
+                            index[r] = [before]
                             heapq.heappush(heap, r)
-                        index[r].append(a)
-                        lower |= r < rank
+                            lower |= r < rank
                 if lower:  # a word's lower rank goes first: the rest of this rank waits
                     if rank in index:
                         index[rank] += places[k + 1 :]
@@ -139,10 +172,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: st
                     size += len(texts[to] or "")
                     to += 1
                 pieces = [find(t) if t else [] for t in texts[at:to]]
-                if len(cache) > CACHE_WORDS:
+                here = set(chain.from_iterable(pieces))
+                if len(cache) > CACHE_WORDS:  # the words of this block stay
+                    kept = {w: cache[w] for w in here if w in cache}
                     cache.clear()
-                new = list(set(chain.from_iterable(pieces)).difference(cache))
-                cache.update(zip(new, vocab.replay([w.encode() for w in new]), strict=True))
+                    cache.update(kept)
+                new = list(here.difference(cache))
+                for a in range(0, len(new), INDEX_WORDS):
+                    part = new[a : a + INDEX_WORDS]
+                    cache.update(zip(part, vocab.replay([w.encode() for w in part]), strict=True))
                 lists = [list(chain.from_iterable(map(cache.__getitem__, p))) for p in pieces]
                 offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
                 flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
