@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, license_scan, recompression, sharding, suffix_dedup, warc
+from . import ann, bpe, decontaminate, jaccard, license_scan, recompression, sharding, suffix_dedup, toxicity, warc
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.summary(toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +30,11 @@ def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.summary(recompression.remove_later_copies(table(spark, sf_dir, "documents")))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where(f"vec_id % {ann.EVERY} = 0"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -45,10 +54,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
     "op5_recompression": op5_recompression,
+    "op6_ann": op6_ann,
     "op7_license_scan": op7_license_scan,
     "op8_bpe": op8_bpe,
     "op9_jaccard_join": op9_jaccard_join,
