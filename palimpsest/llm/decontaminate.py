@@ -77,6 +77,20 @@ class Index:
         return found
 
 
+def _item_blocks(items: DataFrame, block_bytes: int):
+    """Lists (item_id, text) of bounded size, one after the other."""
+    block: list[tuple[int | None, str]] = []
+    size = 0
+    for row in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
+        block.append((row["item_id"], row["text"] or ""))
+        size += len(row["text"] or "")
+        if size >= block_bytes:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(item_id, doc_id, n_item_shingles, n_common, containment) of every item in every document.
 
@@ -104,15 +118,22 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
 
         return body.mapInArrow(run, schema)
 
-    out, block, size = None, [], 0
-    for row in items.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        block.append((row["item_id"], row["text"] or ""))
-        size += len(row["text"] or "")
-        if size >= block_bytes:
-            out = scan(block) if out is None else out.unionByName(scan(block))
-            block, size = [], 0
-    last = scan(block) if block else spark.createDataFrame([], schema)
-    out = last if out is None else out.unionByName(last)
+    out = None
+    for block in _item_blocks(items, block_bytes):
+        out = scan(block) if out is None else out.unionByName(scan(block))
+    out = spark.createDataFrame([], schema) if out is None else out
     return out.withColumn("doc_id", real_id("doc_id"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs, all columns, that hold no item. Cases as in ``contained_items``; no shuffle."""
+    for block in _item_blocks(items, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            index = Index(shared.value, containment)
+            for batch in batches:
+                yield batch.filter(pa.array([not index.search(t.as_py() or "") for t in batch["text"]], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -9,8 +9,8 @@ A task then sorts the suffixes of its texts bucket by bucket. Ranks of the cover
 sample, the places whose offset modulo V is in a difference cover, are computed
 first, by doubling. A bucket holds the suffixes with one first byte range; it is
 sorted by the first V bytes, and ties are resolved by the sample ranks at the
-place d < V at which both suffixes meet the cover. Neighbours in the order are
-then compared at their full 400 bytes. Memory is bounded by the bucket.
+places at which both suffixes meet the cover. Neighbours in the order are then
+compared at their full 400 bytes, again by ranks. Memory is bounded by the bucket.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, documents, n_buckets, real_id, repeated_marks, total_bytes, unpack
+from .common import KEY, NULL_ID, documents, n_buckets, real_id, repeated_marks, total_bytes, unpack
 
 #: Bytes of a string that counts as a repeat, of an anchor's gram, and places in an anchor's window.
 LENGTH, GRAM, WINDOW = 400, 32, 256
@@ -29,6 +29,8 @@ INSIDE = LENGTH - GRAM - WINDOW + 2
 #: Period of the cover, and a difference cover modulo it (fixed values).
 V = 32
 COVER = [0, 1, 2, 4, 8, 13, 18, 24]
+#: Bytes that the sample's ranks compare.
+DEPTH = 256
 #: Suffixes that one bucket of a task sorts at a time.
 BUCKET_SUFFIXES = 1 << 20
 
@@ -36,18 +38,19 @@ _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.
 _STEPS = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
-def _meeting() -> np.ndarray:
-    """meet[r, s]: the least d with (r + d) % V and (s + d) % V both in the cover."""
+def _meeting(start: int) -> np.ndarray:
+    """meet[r, s]: the least d >= start with (r + d) % V and (s + d) % V both in the cover; d < start + V."""
     has = np.zeros(V, bool)
     has[COVER] = True
-    r, s, d = np.ogrid[:V, :V, :V]
+    r, s, d = np.ogrid[:V, :V, start : start + V]
     both = has[(r + d) % V] & has[(s + d) % V]
     if not both.any(axis=2).all():
         raise ValueError("not a difference cover")
-    return both.argmax(axis=2)
+    return both.argmax(axis=2) + start
 
 
-MEET = _meeting()
+#: Where two suffixes meet the cover: within the first V bytes; so that DEPTH bytes reach LENGTH; so that they end V bytes before it at the earliest, and in it.
+MEET, MEET_LATE, MEET_LAST = _meeting(0), _meeting(LENGTH - DEPTH), _meeting(LENGTH - DEPTH - V + 1)
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
@@ -123,17 +126,17 @@ def candidates(text: bytes, hits: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The 8 bytes from each place on, as a big-endian number. ``text`` is padded."""
-    out = np.zeros(len(at), np.uint64)
-    for j in range(8):
-        out = (out << np.uint64(8)) | text[at + j]
-    return out
+def _words(text: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on, as a big-endian number."""
+    w = text.astype(np.uint64)
+    for k in (1, 2, 4):
+        w = (w[:-k] << np.uint64(8 * k)) | w[k:]
+    return w
 
 
 def _dense(*keys: np.ndarray) -> np.ndarray:
     """Ranks from 1 of the tuples of keys, equal for equal tuples."""
-    order = np.lexsort(keys[::-1])
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
     new = np.zeros(len(order), bool)
     for k in keys:
         s = k[order]
@@ -144,35 +147,43 @@ def _dense(*keys: np.ndarray) -> np.ndarray:
 
 
 class SuffixSorter:
-    """Sorts suffixes of a text (pieces joined, each followed by LENGTH + V zero bytes at the end of all) by their first LENGTH bytes."""
+    """Sorts suffixes of a text, zero bytes after its end, by their first LENGTH bytes."""
 
     def __init__(self, text: bytes):
         self.size = len(text)
-        self.text = np.r_[np.frombuffer(text, np.uint8), np.zeros(2 * LENGTH + 2 * V, np.uint8)]
-        # ranks of the sample's suffixes by their first V, 2V, 4V ... bytes; LENGTH bytes and more settle every tie
-        places = np.arange(0, self.size + V)
+        padded = np.zeros(self.size + 2 * LENGTH + 4 * V, np.uint8)
+        padded[: self.size] = np.frombuffer(text, np.uint8)
+        self.word = _words(padded)
+        # ranks of the sample's suffixes by their first V, 2V ... DEPTH bytes
+        places = np.arange(self.size + LENGTH)
         own = np.zeros(V, bool)
         own[COVER] = True
-        self.sample = places[own[places % V]]
-        self.slot = np.full(len(self.text) + LENGTH + 8 * V, -1, np.int64)
-        self.slot[self.sample] = np.arange(len(self.sample))
-        rank = _dense(*(_words(self.text, self.sample + 8 * j) for j in range(V // 8)))
+        sample = places[own[places % V]]
+        slot = np.full(self.size + 2 * LENGTH, -1, np.int64)
+        slot[sample] = np.arange(len(sample))
+        rank = _dense(*(self.word[sample + 8 * j] for j in range(V // 8)))
         depth = V
-        while depth < LENGTH:
-            there = self.slot[np.minimum(self.sample + depth, len(self.slot) - 1)]
-            rank = _dense(rank, np.where(there >= 0, rank[np.maximum(there, 0)], 0))
+        while depth < DEPTH:
+            there = slot[sample + depth]
+            rank = _dense((rank << 32) | np.where(there >= 0, rank[there], 0))
             depth *= 2
-        self.rank = rank
+        self.rank_at = np.zeros(len(slot), np.int64)
+        self.rank_at[sample] = rank
 
     def _compare(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Sign of the suffixes' order past their first V bytes, by sample ranks; i and j agree in those bytes."""
-        d = MEET[i % V, j % V]
-        a, b = self.slot[i + d], self.slot[j + d]
-        return np.sign(np.where(a >= 0, self.rank[a], 0) - np.where(b >= 0, self.rank[b], 0))
+        """Sign of the suffixes' order past their first V bytes, by sample ranks; i and j agree in those bytes.
+        0: LENGTH bytes are equal, at least."""
+        r, s = i % V, j % V
+        d = MEET[r, s]
+        sign = np.sign(self.rank_at[i + d] - self.rank_at[j + d])
+        tied = np.flatnonzero(sign == 0)
+        i, j, e = i[tied], j[tied], MEET_LATE[r[tied], s[tied]]
+        sign[tied] = np.sign(self.rank_at[i + e] - self.rank_at[j + e])
+        return sign
 
     def buckets(self, starts: np.ndarray):
         """The suffixes at ``starts``, one bucket at a time, by their first two bytes."""
-        first = (self.text[starts].astype(np.int64) << 8) | self.text[starts + 1]
+        first = (self.word[starts] >> np.uint64(48)).astype(np.int64)
         counts = np.bincount(first, minlength=65536)
         group = np.cumsum(counts) // BUCKET_SUFFIXES
         for g in np.unique(group[first]) if len(starts) else []:
@@ -180,7 +191,7 @@ class SuffixSorter:
 
     def sort(self, starts: np.ndarray) -> np.ndarray:
         """The suffixes of one bucket in order: by V bytes, then by quicksort rounds on the sample ranks."""
-        keys = [_words(self.text, starts + 8 * j) for j in range(V // 8)]
+        keys = [self.word[starts + 8 * j] for j in range(V // 8)]
         order = np.lexsort(keys[::-1])
         starts = starts[order]
         new = np.zeros(len(starts), bool)
@@ -210,16 +221,14 @@ class SuffixSorter:
         return starts
 
     def equal(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether LENGTH bytes are equal, eight at a time among those still equal."""
-        alive = np.arange(len(i))
-        for k in range(LENGTH // 8):
-            same = _words(self.text, i[alive] + 8 * k) == _words(self.text, j[alive] + 8 * k)
-            alive = alive[same]
-            if not len(alive):
-                break
-        out = np.zeros(len(i), bool)
-        out[alive] = True
-        return out
+        """Whether LENGTH bytes are equal: the first V, those that two sample ranks vouch for, and the last V."""
+        same = np.ones(len(i), bool)
+        for k in (*range(0, V, 8), *range(LENGTH - V, LENGTH, 8)):
+            same &= self.word[i + k] == self.word[j + k]
+        r, s = i % V, j % V
+        for d in (MEET[r, s], MEET_LAST[r, s]):
+            same &= self.rank_at[i + d] == self.rank_at[j + d]
+        return same
 
 
 def repeats(pieces: list[bytes], starts: list[int], weight: list[int]) -> list[np.ndarray]:
@@ -348,5 +357,34 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return joined.mapInArrow(run, "doc_id long, th long, kept binary, n_bytes long, n_removed long, spans array<struct<first:long,end:long>>").withColumn("doc_id", real_id("doc_id"))
 
 
+def cut_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, with the repeats cut out of ``text`` and n_chars (if there is one) set anew.
+
+    Cases as in ``remove_repeats``. A character that is cut through goes as a
+    whole; a null text stays null.
+    """
+    spans = repeated_spans(documents(docs)).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_th": F.xxhash64(body)})
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for t, spans_ in zip(batch["text"].to_pylist(), batch["_spans"].to_pylist(), strict=True):
+                if spans_ and t:
+                    data = t.encode()
+                    edges = [0, *merged(spans_).ravel().tolist(), len(data)]
+                    t = b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)).decode(errors="ignore")
+                texts.append(t)
+            cols = {n: batch[n] for n in names}
+            cols["text"] = pa.array(texts, batch["text"].type)
+            if "n_chars" in cols:
+                cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    return keyed.join(spans, ["_id", "_th"], "left").mapInArrow(run, docs.schema)
+
+
 def summary(kept: DataFrame) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -257,6 +257,16 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[np.nda
     return df, total
 
 
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES):
+    """The broadcast index of the examples; its size is bounded by per_class and TERMS."""
+    rows, rate, _ = sample(docs, labels, per_class)
+    texts, toxic, ids = [r[2] for r in rows], [r[1] for r in rows], [r[0] for r in rows]
+    vocabulary = select_terms(texts, toxic)
+    df, total = document_frequencies(docs, vocabulary)
+    idf = np.log((1 + total) / (1 + df)) + 1.0
+    return docs.sparkSession.sparkContext.broadcast(Index(vocabulary, idf, texts, ids, toxic, rate))
+
+
 def score(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> DataFrame:
     """doc_id, score (0 to 1) and evidence (the nearest examples: doc_id, toxic, cosine) of every row of docs.
 
@@ -267,12 +277,7 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> Data
     toxic if any label says so; null labels and ids teach nothing. Repeated rows
     are scored each for itself. Empty input: no rows. Extra columns are ignored.
     """
-    rows, rate, _ = sample(docs, labels, per_class)
-    texts, toxic, ids = [r[2] for r in rows], [r[1] for r in rows], [r[0] for r in rows]
-    vocabulary = select_terms(texts, toxic)
-    df, total = document_frequencies(docs, vocabulary)
-    idf = np.log((1 + total) / (1 + df)) + 1.0
-    shared = docs.sparkSession.sparkContext.broadcast(Index(vocabulary, idf, texts, ids, toxic, rate))
+    shared = learn(docs, labels, per_class)
 
     def run(batches):
         index = shared.value
@@ -285,5 +290,17 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> Data
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCORED)
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> DataFrame:
+    """The rows of docs, all columns, with a score under 0.5. Rows and cases as in ``score``; no shuffle."""
+    shared = learn(docs, labels, per_class)
+
+    def run(batches):
+        index = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([index.score(t.as_py() or "")[0] < 0.5 for t in batch["text"]], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def summary(scored: DataFrame) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
