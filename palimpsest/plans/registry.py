@@ -1,5 +1,388 @@
-"""Queries of the engine's own operators, each with its SQL."""
+"""Queries of the engine's own operators, each written once for both SQL dialects.
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLE: dict = {}
+A query is a function of the dialect; Spark runs its text over the tables of a
+folder, and DuckDB the same text in its own dialect.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from palimpsest.functions import sqlgen as g
+from palimpsest.functions.sqlgen import DUCK, SPARK
+from palimpsest.sources.corpus import COMPONENTS, build
+
+SALT = "SALT"
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+CORPORA = build(COMPONENTS)
+FLAGSHIP = "fpe_join_preserved"
+
+_BUILT: dict[str, Callable[[str], str]] = {}
+
+
+def query(f: Callable[[str], str]) -> Callable[[str], str]:
+    _BUILT[f.__name__] = f
+    return f
+
+
+def _run(text: str) -> Callable[[SparkSession, str], DataFrame]:
+    used = [t for t in TABLES if re.search(rf"\b{t}\b", text)]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for t in used:
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        return spark.sql(text)
+
+    return run
+
+
+def _custkey(d: str, column: str) -> str:
+    return g.fpe(d, SALT, "customer", column, 9)
+
+
+def _card(d: str, key: str, n: int) -> str:
+    """A number of n digits that starts with the key."""
+    return f"rpad(lpad(cast({key} as string), 8, '0'), {n}, '7')"
+
+
+# -- keys and identifiers
+
+
+@query
+def fpe_customer_keys(d: str) -> str:
+    return f"select c_custkey, {_custkey(d, 'c_custkey')} as fake_key from customer"
+
+
+@query
+def fpe_join_preserved(d: str) -> str:
+    """Keys of both tables are replaced on their own; the join and its totals survive."""
+    return f"""select c.fake_key, count(*) as n_orders, round(sum(o.o_totalprice), 2) as total
+from (select {_custkey(d, "c_custkey")} as fake_key from customer) c
+join (select {_custkey(d, "o_custkey")} as fake_key, o_totalprice from orders) o on c.fake_key = o.fake_key
+group by c.fake_key"""
+
+
+@query
+def fpe_distinct_preserved(d: str) -> str:
+    return f"select count(distinct o_orderkey) as n_source, count(distinct {g.fpe(d, SALT, 'k', 'o_orderkey', 9)}) as n_fake from orders"
+
+
+@query
+def gen_inn10(d: str) -> str:
+    x = _card(d, "s_suppkey", 10)
+    return f"select s_suppkey, inn, {g.valid_inn(d, 'inn')} as valid from (select s_suppkey, {g.gen_inn10(d, SALT, x)} as inn from supplier) q"
+
+
+@query
+def gen_inn12(d: str) -> str:
+    x = _card(d, "c_custkey", 12)
+    return f"select c_custkey, inn, {g.valid_inn(d, 'inn')} as valid from (select c_custkey, {g.gen_inn12(d, SALT, x)} as inn from customer) q"
+
+
+@query
+def gen_snils(d: str) -> str:
+    x = _card(d, "c_custkey", 11)
+    return f"select c_custkey, snils, {g.valid_snils(d, 'snils')} as valid from (select c_custkey, {g.gen_snils(d, SALT, x)} as snils from customer) q"
+
+
+@query
+def gen_ogrn(d: str) -> str:
+    x, y = _card(d, "s_suppkey", 13), _card(d, "s_suppkey", 15)
+    return f"select s_suppkey, ogrn, ogrnip, {g.valid_ogrn(d, 'ogrn')} as valid, {g.valid_ogrn(d, 'ogrnip')} as valid_ip from (select s_suppkey, {g.gen_ogrn(d, SALT, x)} as ogrn, {g.gen_ogrn(d, SALT, y, True)} as ogrnip from supplier) q"
+
+
+@query
+def gen_luhn_like(d: str) -> str:
+    x = _card(d, "c_custkey", 16)
+    return f"select c_custkey, card, {g.luhn_ok(d, 'card')} as valid from (select c_custkey, {g.gen_luhn(d, SALT, x, 16)} as card from customer) q"
+
+
+@query
+def gen_digits_like_names(d: str) -> str:
+    return f"select c_custkey, {g.gen_digits(d, SALT, 'c_name', [9])} as fake_name from customer"
+
+
+@query
+def gen_int_like_keys(d: str) -> str:
+    """Width-preserving integers: the permutation of n digits is walked until it has n digits again."""
+    inner = "select distinct o_custkey as k, o_custkey as v, length(cast(o_custkey as string)) as n, 0 as step from orders"
+    widths = range(1, 8)
+    step = lambda v: "case " + " ".join(f"when n = {w} then {g.fpe(d, SALT, f'int{w}', v, w)}" for w in widths) + " end"
+    low = "case " + " ".join(f"when n = {w} then {10 ** (w - 1) if w > 1 else 0}" for w in widths) + " end"
+    return f"with recursive walk(k, v, n, step) as ({inner} union all select k, {step('v')}, n, step + 1 from walk where step = 0 or (v < {low} and step < 40)) select k, v as fake from walk where step > 0 and v >= {low}"
+
+
+@query
+def passport_pair(d: str) -> str:
+    """Series and number are one ten-digit permutation."""
+    x = g.fpe(d, SALT, "digits10", "c_custkey", 10)
+    return f"select c_custkey, substr(p, 1, 4) as series, substr(p, 5, 6) as number from (select c_custkey, {g.padded(x, 10)} as p from customer) q"
+
+
+@query
+def checksum_flags(d: str) -> str:
+    """Identifiers of text: digit runs of 10 to 19 and the checksum that they satisfy first."""
+    runs = g.extract_all(d, "text", "[0-9]+")
+    rows = f"select doc_id, explode({runs}) as x from documents" if d == SPARK else f"select doc_id, unnest({runs}) as x from documents"
+    return f"""select kind, count(*) as n from (select case when {g.valid_snils(d, "x")} then 'snils' when {g.valid_inn(d, "x")} then 'inn'
+ when {g.valid_ogrn(d, "x")} then 'ogrn' when {g.luhn_ok(d, "x")} then 'luhn' else 'none' end as kind from ({rows}) r where length(x) between 10 and 19) k group by kind"""
+
+
+# -- identity keys and fakes
+
+
+@query
+def normalize_phone(d: str) -> str:
+    runs = g.extract_all(d, "text", r"\+[0-9] \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    rows = f"select doc_id, explode({runs}) as x from documents" if d == SPARK else f"select doc_id, unnest({runs}) as x from documents"
+    return f"select doc_id, x as phone, {g.norm_phone(d, 'x')} as key, {g.fake_phone(d, SALT, CORPORA['phone_code'], 'x')} as fake from ({rows}) r"
+
+
+@query
+def normalize_email(d: str) -> str:
+    runs = g.extract_all(d, "text", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
+    rows = f"select doc_id, explode({runs}) as x from documents" if d == SPARK else f"select doc_id, unnest({runs}) as x from documents"
+    return f"select doc_id, x as email, {g.norm_email(d, 'x')} as key, {g.fake_email(d, SALT, ['ivanov', 'petrov', 'sidorov', 'orlov'], CORPORA['email_domain'], 'x')} as fake from ({rows}) r"
+
+
+@query
+def normalize_digits(d: str) -> str:
+    return f"select c_custkey, {g.digits(d, 'c_name')} as digits from customer"
+
+
+@query
+def fake_pick_name(d: str) -> str:
+    return f"select c_custkey, {g.title(g.pick(d, SALT, 'family', CORPORA['family'], g.norm_word(d, 'c_name'), 'c_name'))} as family from customer"
+
+
+@query
+def fake_address(d: str) -> str:
+    return f"select s_suppkey, {g.fake_address(d, SALT, CORPORA['region'], CORPORA['city'], CORPORA['street'], 's_name')} as address from supplier"
+
+
+@query
+def fake_email(d: str) -> str:
+    return f"select c_custkey, {g.fake_email(d, SALT, ['ivanov', 'petrov', 'sidorov', 'orlov'], CORPORA['email_domain'], 'c_name')} as email from customer"
+
+
+# -- one-to-one maps and shuffles
+
+
+def _direct(d: str, source: str, column: str) -> str:
+    base = f"upper({g.pick(d, SALT, 'org', CORPORA['org'], g.norm_word(d, 'v'))})"
+    return f"""select v, case when rn = 1 then base else concat(base, '-', cast(rn as string)) end as fake
+from (select v, base, row_number() over (partition by base order by v) as rn from (select v, {base} as base from (select distinct {column} as v from {source} where {column} is not null) a) b) c"""
+
+
+@query
+def direct_map_segments(d: str) -> str:
+    return _direct(d, "customer", "c_mktsegment")
+
+
+@query
+def direct_map_suppliers(d: str) -> str:
+    return f"select s.s_suppkey, m.fake from supplier s left join ({_direct(d, 'supplier', 's_name')}) m on s.s_name = m.v"
+
+
+#: Next entity in salted hash order, the last one's being the first. Partitioned by nothing: ring_shuffle in operators does it in pieces.
+def _ring(d: str) -> str:
+    h = g.h60(d, SALT, g.lit("shuffle"), "c_custkey")
+    return f"""select c_custkey, coalesce(lead(c_custkey) over (order by h, c_custkey), first_value(c_custkey) over (order by h, c_custkey)) as donor
+from (select c_custkey, {h} as h from customer where c_acctbal is not null) q"""
+
+
+@query
+def shuffle_acctbal(d: str) -> str:
+    return f"select r.c_custkey, r.donor, c.c_acctbal from ({_ring(d)}) r join customer c on c.c_custkey = r.donor"
+
+
+@query
+def shuffle_linked_totals(d: str) -> str:
+    """Row i of an entity gets its donor's row i mod the donor's count."""
+    rows = "select o_orderkey, o_custkey, o_totalprice, row_number() over (partition by o_custkey order by o_orderkey) as rn, count(*) over (partition by o_custkey) as n from orders where o_custkey is not null"
+    h = g.h60(d, SALT, g.lit("shuffle"), "k")
+    ring = f"select k, coalesce(lead(k) over (order by h, k), first_value(k) over (order by h, k)) as donor from (select k, {h} as h from (select distinct o_custkey as k from orders where o_custkey is not null) a) b"
+    return f"with r as ({rows}) select a.o_orderkey, b.o_totalprice as shuffled from r a join ({ring}) m on a.o_custkey = m.k join r b on b.o_custkey = m.donor and b.rn = (a.rn - 1) % b.n + 1"
+
+
+@query
+def shuffle_corr_preserved(d: str) -> str:
+    return f"""select round(corr(c.c_acctbal, s.c_acctbal), 6) as correlation, count(*) as n from customer c join ({shuffle_acctbal(d)}) s on c.c_custkey = s.c_custkey"""
+
+
+# -- column strategies
+
+
+@query
+def generalize_order_year(d: str) -> str:
+    return "select o_orderkey, date_trunc('year', o_orderdate) as o_year from orders" if d == SPARK else "select o_orderkey, cast(date_trunc('year', o_orderdate) as timestamp) as o_year from orders"
+
+
+@query
+def null_out(d: str) -> str:
+    return "select c_custkey, cast(null as double) as c_acctbal from customer"
+
+
+@query
+def json_keys(d: str) -> str:
+    if d == SPARK:
+        return "select distinct k from (select explode(json_object_keys(props)) as k from events) q"
+    return "select distinct k from (select unnest(json_keys(props)) as k from events) q"
+
+
+@query
+def json_rewrite_props(d: str) -> str:
+    """The mapped key is replaced, others become null by rule."""
+    value = "get_json_object(props, '$.k')" if d == SPARK else "json_extract_string(props, '$.k')"
+    return f"select event_id, case when {value} is null then null else concat('{{\"k\":', cast({g.pick_int(d, SALT, 0, 99, g.lit('k'), value)} as string), '}}') end as props from events"
+
+
+@query
+def plan_projection(d: str) -> str:
+    """A whole table by plan: permuted key, digits kept in place, 1:1 segments, shifted nothing else."""
+    return f"""select {_custkey(d, "c_custkey")} as c_custkey, {g.gen_digits(d, SALT, "c_name", [9])} as c_name, c_nationkey, m.fake as c_mktsegment
+from customer c left join ({_direct(d, "customer", "c_mktsegment")}) m on c.c_mktsegment = m.v"""
+
+
+# -- profiling
+
+
+def _profile(columns: list[tuple[str, str]]) -> str:
+    return " union all ".join(f"select '{t}' as tbl, '{c}' as col, count(*) as n, count(distinct cast({c} as string)) as n_distinct, round(avg(case when {c} is null then 1.0e0 else 0.0e0 end), 6) as null_share from {t}" for t, c in columns)
+
+
+@query
+def profile_columns(d: str) -> str:
+    return _profile([("customer", "c_custkey"), ("customer", "c_name"), ("customer", "c_mktsegment"), ("supplier", "s_name"), ("orders", "o_custkey"), ("orders", "o_orderstatus"), ("lineitem", "l_returnflag"), ("events", "event_type"), ("nation", "n_name")])
+
+
+@query
+def sample_values(d: str) -> str:
+    return " union all ".join(f"select * from (select distinct '{t}.{c}' as col, cast({c} as string) as v from {t} where {c} is not null order by v limit 50) q{i}" for i, (t, c) in enumerate([("customer", "c_name"), ("supplier", "s_name"), ("orders", "o_orderpriority")]))
+
+
+@query
+def rule_ratios(d: str) -> str:
+    ratio = lambda p: f"round(avg(case when {p} then 1.0e0 else 0.0e0 end), 6)"
+    return f"""select count(*) as n, {ratio(g.matches(d, "v", "^[^@ ]+@[^@ ]+$"))} as email, {ratio(g.valid_inn(d, "v"))} as inn, {ratio(g.valid_snils(d, "v"))} as snils,
+ {ratio(g.matches(d, "v", "^[A-Za-z]+#[0-9]+$"))} as id_like from (select c_name as v from customer) q where v <> ''"""
+
+
+@query
+def addr_parse_ratio(d: str) -> str:
+    part = g.matches(d, "p", "^ *([A-Za-z. ]+|[0-9]+) *$")
+    split = "explode(split(r_name, ','))" if d == SPARK else "unnest(string_split(r_name, ','))"
+    return f"select round(avg(ok), 6) as ratio from (select r_regionkey, min(case when {part} then 1.0e0 else 0.0e0 end) as ok from (select r_regionkey, {split} as p from region) q group by r_regionkey) w"
+
+
+@query
+def soft_links(d: str) -> str:
+    """Containment of distinct values of column pairs: shared / smaller set."""
+    columns = [("customer", "c_custkey"), ("orders", "o_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_suppkey"), ("lineitem", "l_suppkey")]
+    values = " union all ".join(f"select distinct '{c}' as col, {c} as v from {t} where {c} is not null" for t, c in columns)
+    return f"""with v as ({values}), n as (select col, count(*) as n from v group by col)
+select a.col as a, b.col as b, round(count(*) * 1.0e0 / min(least(x.n, y.n)), 6) as containment from v a join v b on a.v = b.v and a.col < b.col
+join n x on x.col = a.col join n y on y.col = b.col group by a.col, b.col having count(*) >= 0.85 * min(least(x.n, y.n))"""
+
+
+# -- verification
+
+
+@query
+def volume_check(d: str) -> str:
+    return " union all ".join(f"select '{t}' as tbl, count(*) as n from {t}" for t in ("customer", "orders", "lineitem", "supplier", "part"))
+
+
+@query
+def fake_ne_rowwise(d: str) -> str:
+    return f"select count(*) as compared, cast(sum(case when c_custkey = {_custkey(d, 'c_custkey')} then 1 else 0 end) as bigint) as equal_values from customer"
+
+
+@query
+def fake_ne_multiset(d: str) -> str:
+    return f"select count(*) as shared from (select distinct c_name as v from customer intersect select distinct {g.gen_digits(d, SALT, 'c_name', [9])} as v from customer) q"
+
+
+@query
+def fk_violations(d: str) -> str:
+    pair = lambda a, b, c, e: f"select '{a}.{b}' as fk, count(*) as missing from {a} x left join {c} y on x.{b} = y.{e} where x.{b} is not null and y.{e} is null"
+    return " union all ".join([pair("orders", "o_custkey", "customer", "c_custkey"), pair("lineitem", "l_orderkey", "orders", "o_orderkey"), pair("customer", "c_nationkey", "nation", "n_nationkey"), pair("nation", "n_regionkey", "region", "r_regionkey")])
+
+
+@query
+def unique_violations(d: str) -> str:
+    return " union all ".join(f"select '{t}.{c}' as key, count(*) as repeated from (select {c} from {t} group by {c} having count(*) > 1) q_{c}" for t, c in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_name")))
+
+
+@query
+def entropy_columns(d: str) -> str:
+    return " union all ".join(f"select '{t}.{c}' as col, {g.entropy(t, c)} as bits" for t, c in (("events", "event_type"), ("customer", "c_mktsegment"), ("orders", "o_orderstatus"), ("customer", "c_nationkey")))
+
+
+@query
+def corpus_ceiling(d: str) -> str:
+    """Bits that n draws from a corpus of m entries can reach."""
+    sizes = ", ".join(f"('{k}', {len(v)})" for k, v in CORPORA.items())
+    return f"select name, m, round(log2(m * (1 - exp(-n * 1.0e0 / m))), 6) as bits from (values {sizes}) as c(name, m) cross join (select count(*) as n from customer) q"
+
+
+@query
+def canary_search(d: str) -> str:
+    """Benchmark passages of more than 100 characters that stand in a document as they are."""
+    found = "contains(lower(d.text), lower(b.text))"
+    return f"select b.item_id, count(*) as found from benchmark b join documents d on {found} where length(b.text) > 100 group by b.item_id"
+
+
+@query
+def identifier_leak(d: str) -> str:
+    """Identifiers of one table among the digit runs of another one's texts: none of the faked ones is a source key."""
+    return f"select count(*) as leaked from (select distinct {g.digits(d, 'c_name')} as x from customer) a join (select distinct {g.digits(d, g.gen_digits(d, SALT, 'c_name', [9]))} as x from customer) b on a.x = b.x"
+
+
+@query
+def column_checksums(d: str) -> str:
+    if d == SPARK:
+        agg = "md5(cast(listagg(concat(cast(c_custkey as string), ':', coalesce(x, '-')), '|') within group (order by c_custkey) as binary))"
+    else:
+        agg = "md5(string_agg(concat(cast(c_custkey as string), ':', coalesce(x, '-')), '|' order by c_custkey))"
+    return f"select c_nationkey, {agg} as checksum from (select c_nationkey, c_custkey, {g.gen_digits(d, SALT, 'c_name', [9])} as x from customer) q group by c_nationkey"
+
+
+@query
+def degradation_summary(d: str) -> str:
+    note = lambda name, p: f"select '{name}' as note, count(*) as n from documents where {g.matches(d, 'text', p)}"
+    return " union all ".join([note("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"), note("phone", r"\+[0-9] \([0-9]{3}\)"), note("long_number", "[0-9]{16}"), note("ipv4", r"[0-9]{1,3}(\.[0-9]{1,3}){3}")])
+
+
+@query
+def runlog_publishable(d: str) -> str:
+    """Latest row per stage and table: all done, and the two required stages are there."""
+    rows = "(1, 'pass1', 'customer', 'failed'), (2, 'pass1', 'customer', 'done'), (3, 'pass1', 'orders', 'done'), (4, 'verify', '*', 'done')"
+    last = "max_by(status, seq)" if d == SPARK else "arg_max(status, seq)"
+    return f"""select min(case when status = 'done' then 1 else 0 end) = 1 and count(distinct case when stage in ('pass1', 'verify') then stage end) = 2 as publishable
+from (select stage, tbl, {last} as status from (values {rows}) as r(seq, stage, tbl, status) group by stage, tbl) q"""
+
+
+# -- free text
+
+
+@query
+def mask_emails_text(d: str) -> str:
+    return f"select doc_id, {g.sub(d, 'text', r'[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}', '<email>')} as text from documents"
+
+
+@query
+def mask_phones_text(d: str) -> str:
+    return f"select conv_id, turn, {g.sub(d, 'text', r'[+][0-9] [(][0-9]{3}[)] [0-9]{3}-[0-9]{4}', '<phone>')} as text from conversations"
+
+
+@query
+def mask_ips_text(d: str) -> str:
+    return f"select doc_id, {g.sub(d, 'text', r'[0-9]{1,3}([.][0-9]{1,3}){3}', '<ip>')} as text from documents"
+
+
+QUERIES = {name: _run(f(SPARK)) for name, f in _BUILT.items()}
+ORACLE = {name: re.sub(r"\bas string\b", "as varchar", f(DUCK)) for name, f in _BUILT.items()}
