@@ -9,6 +9,7 @@ every operator gives both the same answer.
 
 from __future__ import annotations
 
+import gc
 import pickle
 import tempfile
 from collections.abc import Callable, Iterator
@@ -55,6 +56,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of rounds that are over: it acts when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, th, text) with a null text as the empty text; all other columns are dropped, so none can clash."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -223,7 +230,8 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
             here = np.flatnonzero(local)
             known = pack(ids, ths, [g[1] for g in got], lens, row[here], place[here] if want_places else None)
             out_b, out_k, out_d = [int(block % buckets)], [1], [known]
-            by = np.lexsort((place[first], row[first], bucket))
+            # marks that need no answer stand last in their bucket
+            by = np.lexsort((place[first], row[first], ~alone, bucket))
             cut = np.flatnonzero(_first_of_runs(bucket[by])).tolist()
             for a, z in zip(cut, [*cut[1:], len(by)], strict=True):
                 pick = by[a:z]
@@ -232,8 +240,9 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
                     used, r2 = np.unique(r, return_inverse=True)
                     body = pack(h[pick], r, place[first[pick]], r2.astype(np.uint32), np.array(ids)[used], np.array(ths)[used])
                 else:
-                    r = np.where(alone[pick], r, np.uint32(0xFFFFFFFF))  # those need no answer
-                    body = pack((h[pick] >> np.uint64(32)).astype(np.uint32), r, place[first[pick]] if want_places else None)
+                    r = r[: int(alone[pick].sum())]
+                    step = np.diff(r, prepend=np.uint32(0))  # small numbers compress well
+                    body = pack((h[pick] >> np.uint64(32)).astype(np.uint32), step.astype(np.min_scalar_type(int(step.max(initial=0)))), place[first[pick]][: len(r)] if want_places else None)
                 out_b.append(int(bucket[pick[0]])), out_k.append(0), out_d.append(body)
             yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array([block] * len(out_b), pa.int64()), pa.array(out_k, pa.int32()), pa.array(out_d, pa.binary())], names=["bucket", "block", "kind", "data"])
 
@@ -258,10 +267,11 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
                 hit[order] = ~(new & np.r_[new[1:], True])
             at = 0
             for b, x in rest:
-                h = hit[at : at + len(x[0])] & (x[1] != 0xFFFFFFFF)
+                r = x[1] if later else np.cumsum(x[1], dtype=np.uint32)
+                h = hit[at : at + len(r)]
                 at += len(x[0])
                 if h.any():
-                    out.append((b, 0, pack(x[1][h], x[2][h] if want_places else None)))
+                    out.append((b, 0, pack(r[h], x[2][h] if want_places else None)))
         return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["block", "kind", "data"])
 
     def answer(group: pa.Table) -> pa.Table:
@@ -297,19 +307,22 @@ def components(links: DataFrame) -> DataFrame:
     rounds use joins with the aggregated minimum.
     """
     edges = checkpoint(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    before = None
     while True:
         # large star: every neighbour above u is linked to u's smallest neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: every smaller neighbour, and u itself, is linked to the smallest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        small = checkpoint(small)
-        state = lambda e: e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if state(small) == state(edges):
+        edges = checkpoint(small)
+        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+        del both, low, large, small
+        release(edges.sparkSession)
+        if now == before:
             break
-        edges = small
+        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 

@@ -11,9 +11,10 @@ What keeps it whole and linear in a group of thousands of near copies:
 * a shingle that no other document has can't be shared: the fingerprint exchange
   counts each document's shared shingles, and only documents with 75 % of them go on;
 * equal sets are one class, represented by the smallest doc_id;
-* in a first round each class meets one centre per prefix shingle and the best
-  centres are verified. Pairs that the links found already connect need no test;
-  only pairs across the components so far are then compared, all of them.
+* in the first rounds each class meets one centre per prefix shingle, of another
+  component than its own, and the best centres are verified. Pairs that the links
+  found already connect need no test; all pairs across components that the
+  shingles shared with any class still allow are compared then.
 """
 
 from __future__ import annotations
@@ -24,12 +25,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, blocks, checkpoint, components, documents, n_buckets, real_id, repeated_marks, shingles, total_bytes, with_group_value
+from .common import KEY, blocks, checkpoint, components, documents, n_buckets, real_id, release, repeated_marks, shingles, total_bytes, with_group_value
 
 #: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
-#: Vertical fragments of the global order, and centres that a class is held against at first.
-FRAGMENTS, CENTRES = 8, 2
+#: Where the global order is cut into vertical fragments: at these numbers of classes that hold a shingle.
+PIVOTS = [2, 3, 5, 9, 33, 257]
+#: Rounds in which a class is held against centres, and centres in a round.
+ROUNDS, CENTRES = 3, 2
+#: Bits of a class's signature, a power of two.
+BITS = 1024
 
 
 def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
@@ -38,16 +43,19 @@ def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(rid, n, tokens) of the documents given as (doc_id, th, text)."""
+    """(rid, n, tokens, sig) of the documents given as (doc_id, th, text); sig: a bit for each of BITS remainders that a token has."""
 
     def run(batches):
         for ids, _, texts, _ in blocks(batches):
             sets = [shingles(t).view(np.int64) for t in texts]
             offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["rid", "n", "tokens"])
+            bits = np.zeros((len(sets), BITS), np.uint8)
+            bits[np.repeat(np.arange(len(sets)), np.diff(offsets)), flat & (BITS - 1)] = 1
+            sig = pa.array(list(np.packbits(bits, axis=1).view(np.int64)), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), sig], names=["rid", "n", "tokens", "sig"])
 
-    return docs.mapInArrow(run, "rid long, n long, tokens array<long>")
+    return docs.mapInArrow(run, "rid long, n long, tokens array<long>, sig array<long>")
 
 
 def _least(n: Column) -> Column:
@@ -55,8 +63,35 @@ def _least(n: Column) -> Column:
     return F.ceil(n * F.lit(SIMILARITY) / F.lit(100)).cast("long")
 
 
-def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def _needed(n: Column, m: Column) -> Column:
+    """The smallest overlap that links sets of n and m shingles."""
+    return F.ceil(F.lit(SIMILARITY) * (n + m) / F.lit(100 + SIMILARITY))
+
+
+def _count_within(low: int, high: int) -> Column:
+    return F.size(F.filter("t", lambda x: (x["df"] >= low) & (x["df"] < high)))
+
+
+def _segments(ordered: DataFrame) -> DataFrame:
+    """(rid, n, f, seg): the shingles of each class in each vertical fragment."""
+    cut = ordered.select("rid", "n", "hs", "sizes", F.posexplode("sizes").alias("f", "size")).where("size > 0")
+    start = F.aggregate(F.slice("sizes", F.lit(1), F.col("f")), F.lit(1), lambda a, x: a + x)
+    return cut.select("rid", "n", "f", F.slice("hs", start, F.col("size")).alias("seg"))
+
+
+def _possible(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
+    """The pairs that their signatures allow: each bit that one set has alone is a shingle that the other lacks."""
+    a = ordered.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("ga"))
+    b = ordered.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
+    alone = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, k: s + k)
+    most = F.least(F.col("na") - alone("ga", "gb"), F.col("nb") - alone("gb", "ga"))
+    return pairs.join(a, "a").join(b, "b").where(most >= _needed(F.col("na"), F.col("nb"))).select("a", "b")
+
+
+def _verified(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: overlaps counted in each fragment, then summed per pair."""
+    pairs = _possible(pairs, ordered)
+    segments = _segments(ordered)
     left = segments.select(F.col("rid").alias("a"), "f", F.col("seg").alias("sa"), F.col("n").alias("na"))
     right = segments.select(F.col("rid").alias("b"), "f", F.col("seg").alias("sb"), F.col("n").alias("nb"))
     met = pairs.join(left, "a").join(right, ["b", "f"])
@@ -66,56 +101,66 @@ def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def links_of(reps: DataFrame) -> DataFrame:
-    """(node, comp) of the classes that have a link. reps: (rid, n, tokens), sets pairwise different, rid unique."""
+    """(node, comp) of the classes that have a link. reps: (rid, n, tokens, sig), sets pairwise different, rid unique."""
     spark = reps.sparkSession
     reps = checkpoint(reps)
     # the global order: number of classes that hold the shingle, then its hash; a shingle of one class alone links nothing
-    tokens = reps.select("rid", "n", F.explode("tokens").alias("h"))
-    df = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = tokens.join(df, "h")
-    ordered = shared.groupBy("rid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("t"))
+    tokens = reps.select("rid", F.explode("tokens").alias("h"))
+    df = tokens.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+    t = F.array_sort(F.collect_list(F.struct("df", "h")))
+    shared = tokens.join(df, "h").groupBy("rid").agg(t.alias("t")).join(reps.select("rid", "n", "sig"), "rid")
     need = _least(F.col("n"))
-    ordered = checkpoint(ordered.where(F.size("t") >= need).withColumn("p", F.size("t").cast("long") - need + 1))
+    within = [_count_within(a, b) for a, b in zip(PIVOTS, [*PIVOTS[1:], 2**31 - 1], strict=True)]
+    ordered = checkpoint(shared.where(F.size("t") >= need).select("rid", "n", "sig", F.transform("t", lambda x: x["h"]).alias("hs"), F.array(*within).alias("sizes")))
     if ordered.isEmpty():
         return spark.createDataFrame([], "node long, comp long")
-    # vertical fragments: pivots cut the order where it holds equal numbers of entries
-    dfs = ordered.select(F.explode("t.df").alias("df"))
-    pivots = sorted(set(dfs.approxQuantile("df", [i / FRAGMENTS for i in range(1, FRAGMENTS)], 0.01)))
-    fragment = F.size(F.filter(F.array(*[F.lit(float(p)) for p in pivots]), lambda p: p < F.col("e.df")))
-    entry = ordered.select("rid", "n", F.explode("t").alias("e")).select("rid", "n", fragment.alias("f"), F.col("e.h").alias("h"))
-    segments = checkpoint(entry.groupBy("rid", "n", "f").agg(F.collect_list("h").alias("seg")))
-    postings = checkpoint(ordered.select("rid", "n", F.explode(F.expr("slice(t, 1, cast(p as int))")).alias("e")).select("rid", "n", F.col("e.h").alias("h")))
-
-    # first round: the centre of a shingle's list is its member with the least hash; the best centres are verified
-    found = None
-    for seed in range(CENTRES):
-        centre = postings.groupBy("h").agg(F.min_by(F.struct("rid", "n"), F.xxhash64("rid", F.lit(seed))).alias("c"))
-        near = postings.join(centre, "h").where("rid <> c.rid").where(_compatible(F.col("n"), F.col("c.n")))
-        near = near.groupBy("rid", F.col("c.rid").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
-        best = near.groupBy("rid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
-        best = best.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b"))
-        found = best if found is None else found.unionByName(best)
-    links = checkpoint(_verified(found.distinct(), segments))
-    comp = checkpoint(components(links))
-
-    # second round: all pairs across components. In each list the members of its largest component need no pairs among themselves
-    labelled = postings.join(comp, F.col("rid") == F.col("node"), "left").select("h", "rid", "n", F.coalesce("comp", "rid").alias("comp"))
-    per = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
-    major = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    mixed = checkpoint(labelled.join(major, "h").drop("comps"))
-    other = mixed.where("comp <> major").select("h", F.col("rid").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    every = mixed.select("h", F.col("rid").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), "major")
-    cross = other.join(every, "h").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y"))) & _compatible(F.col("nx"), F.col("ny")))
+    # a posting knows how many shared shingles follow it: the overlap of a pair that meets here first can't be larger
+    prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
+    postings = checkpoint(ordered.select("rid", "n", F.size("hs").alias("m"), F.posexplode(prefix).alias("pos", "h")).select("h", "rid", "n", (F.col("m") - F.col("pos")).alias("rest")))
+
+    def may_link(n, rest, m, rest_m) -> Column:
+        return F.least(F.col(rest), F.col(rest_m)) >= _needed(F.col(n), F.col(m))
+
+    links, comp = None, None
+    for turn in range(ROUNDS):
+        lists = _mixed(postings, comp)
+        found = None
+        for seed in range(turn * CENTRES, (turn + 1) * CENTRES):
+            # the centre of a list: the member of its largest component with the least hash
+            centre = lists.where("comp = major").groupBy("h").agg(F.min_by(F.struct("rid", "n", "rest", "comp"), F.xxhash64("rid", F.lit(seed))).alias("c"))
+            near = lists.join(centre, "h").where(F.col("comp") != F.col("c.comp")).where(may_link("n", "rest", "c.n", "c.rest"))
+            near = near.groupBy("rid", F.col("c.rid").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
+            best = near.groupBy("rid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
+            best = best.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b"))
+            found = best if found is None else found.unionByName(best)
+        more = checkpoint(_verified(found.distinct(), ordered))
+        if more.isEmpty():
+            break
+        links = more if links is None else links.unionByName(more)
+        comp = checkpoint(components(links))
+        del lists, found, centre, near, best, more
+        release(spark)
+
+    # all pairs across components. In each list the members of its largest component need no pairs among themselves
+    lists = _mixed(postings, comp)
+    other = lists.where("comp <> major").select("h", F.col("rid").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"), F.col("comp").alias("cx"))
+    every = lists.select("h", F.col("rid").alias("y"), F.col("n").alias("ny"), F.col("rest").alias("ry"), F.col("comp").alias("cy"), "major")
+    cross = other.join(every, "h").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y"))) & may_link("nx", "rx", "ny", "ry"))
     cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = checkpoint(_verified(cross, segments))
+    more = checkpoint(_verified(cross, ordered))
     if more.isEmpty():
-        return comp
-    return components(links.unionByName(more).unionByName(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).where("a <> b")))
+        return spark.createDataFrame([], "node long, comp long") if comp is None else comp
+    return components(more if links is None else links.unionByName(more))
 
 
-def _compatible(n: Column, m: Column) -> Column:
-    """Sizes that a similarity of 0.75 allows."""
-    return (F.lit(100) * F.least(n, m)) >= (F.lit(SIMILARITY) * F.greatest(n, m))
+def _mixed(postings: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """The postings of lists that hold several components, with their component and the list's largest one."""
+    own = F.lit(None).cast("long") if comp is None else F.col("comp")
+    named = postings if comp is None else postings.join(comp, F.col("rid") == F.col("node"), "left")
+    labelled = checkpoint(named.select("h", "rid", "n", "rest", F.coalesce(own, "rid").alias("comp")))
+    per = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
+    major = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return checkpoint(labelled.join(major, "h").drop("comps"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
