@@ -18,8 +18,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trim
+
 #: Words that the cache holds before it is emptied, and characters of text per replay.
-CACHE_WORDS, REPLAY_CHARS = 300_000, 2_000_000
+CACHE_WORDS, REPLAY_CHARS = 250_000, 1_500_000
 #: Words in one inverted index: its lists then stay in the processor's cache.
 INDEX_WORDS = 4096
 
@@ -186,6 +188,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: st
                 flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
                 yield pa.RecordBatch.from_arrays([keys.slice(at, to - at), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["k", "ids"])
                 at = to
+        pieces = lists = here = new = flat = None
+        trim(cache, vocab.pair)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"k {kind}, ids array<int>").select(F.col("k").alias(key), F.col("ids").alias(ids))

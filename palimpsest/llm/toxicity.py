@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trim
+
 #: Bounds: labelled examples taken of each class, terms of the vectors, neighbours, examples in a block.
 EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 2000, 4096, 9, 64
 #: Shares of rows: a remainder of crc32(doc_id) that is held out.
@@ -34,7 +36,7 @@ STEMS = (4, 5)
 #: Times a term may stand in a text and make further terms.
 LEVELS = 3
 #: Words that a worker's cache holds before it is emptied.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 SCORED = "doc_id long, score double, evidence array<struct<doc_id:long,toxic:int,cosine:double>>"
 
@@ -246,6 +248,7 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[np.nda
                 n += 1
                 found[terms_of.places(text.as_py() or "")] += 1
         some = np.flatnonzero(found)
+        trim(terms_of)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[some, -1]), pa.array(np.r_[found[some], n])], names=["i", "n"])
 
     df, total = np.zeros(len(vocabulary), np.int64), 0
@@ -286,6 +289,7 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> Data
             scored = [index.score(t.as_py() or "") for t in batch["text"]]
             evidence = [[{"doc_id": d, "toxic": y, "cosine": c} for d, y, c in e] for _, e in scored]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([s for s, _ in scored], pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
+        trim(index.terms_of)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCORED)
 
@@ -298,6 +302,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) ->
         index = shared.value
         for batch in batches:
             yield batch.filter(pa.array([index.score(t.as_py() or "")[0] < 0.5 for t in batch["text"]], pa.bool_()))
+        trim(index.terms_of)
 
     return docs.mapInArrow(run, docs.schema)
 
