@@ -84,7 +84,7 @@ def gender(family: Column, patronymic: Column) -> Column:
 def _swap_ending(x: Column, pairs: list[tuple[str, str]]) -> Column:
     out = None
     for old, new in pairs:
-        hit, to = x.endswith(old), F.concat(F.expr("''") if False else F.substring(x, 1, 0), F.regexp_replace(x, f"{old}$", new))
+        hit, to = x.endswith(old), F.regexp_replace(x, f"{old}$", new)
         out = F.when(hit, to) if out is None else out.when(hit, to)
     return out.otherwise(x)
 
@@ -135,7 +135,7 @@ def valid_ogrn(x: str) -> Column:
 
 def luhn_ok(x: str) -> Column:
     """13 to 19 digits with a right Luhn digit."""
-    return F.coalesce(F.expr(g.matches(SPARK, x, "^[0-9]{13,19}$")) & F.luhn_check(F.expr(x)), F.lit(False))
+    return F.coalesce(F.expr(g.matches(SPARK, x, "^[0-9]{13,19}$")) & F.expr(f"luhn_check({x})"), F.lit(False))
 
 
 def gen_inn(salt: str, x: str) -> Column:
@@ -193,9 +193,6 @@ def fake_fio(salt: str, corpora: dict, family: str, name: str, patronymic: str)
     """struct(family, name, patronymic): each part by its own key, the gender kept; null parts stay null."""
     fam, pat = F.expr(g.norm_word(SPARK, family)), F.expr(g.norm_word(SPARK, patronymic))
     sex = gender(fam, pat)
-    lemma = "case when " + " ".join([]) if False else None  # noqa: F841  the lemma's key is built below
-    key = "_lemma"
-    del key
     masc = g.norm_word(SPARK, family)
     for old, new in FAMILY_ENDINGS:
         masc = f"regexp_replace({masc}, '{old}$', '{new}')"
