@@ -7,6 +7,8 @@ uses the other dialect, so both engines are held to the same values.
 
 from __future__ import annotations
 
+import itertools
+
 SPARK, DUCK = "spark", "duckdb"
 
 #: Weights of the tax-id check digits.
@@ -22,6 +24,17 @@ def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_names = itertools.count()
+
+
+def let(d: str, x: str, body) -> str:
+    """body(name) with x computed once and bound to the name."""
+    v = f"v{next(_names)}"
+    if d == SPARK:
+        return f"element_at(transform(array({x}), {v} -> {body(v)}), 1)"
+    return f"list_extract(list_transform(list_value({x}), lambda {v}: {body(v)}), 1)"
+
+
 def text(x: str) -> str:
     return f"cast({x} as string)"
 
@@ -92,11 +105,14 @@ def fpe(d: str, salt: str, label: str, x: str, n: int) -> str:
         return f"(({x} + {h60(d, salt, lit(label), '0')} % 10) % 10)"
     a, b = 10 ** (n // 2), 10 ** (n - n // 2)
     div = "div" if d == SPARK else "//"
-    left, right, size = f"(({x}) {div} {b})", f"(({x}) % {b})", a
-    for i in range(4):
-        left, right = right, f"(({left} + {h60(d, salt, lit(label), str(i), right)}) % {size})"
-        size = b if size == a else a
-    return f"({left} * {b} + {right})"
+
+    def rounds(left: str, right: str, i: int) -> str:
+        if i == 4:
+            return f"({left} * {b} + {right})"
+        size = b if i % 2 else a
+        return let(d, f"(({left} + {h60(d, salt, lit(label), str(i), right)}) % {size})", lambda new: rounds(right, new, i + 1))
+
+    return let(d, x, lambda v: let(d, f"({v} {div} {b})", lambda left: let(d, f"({v} % {b})", lambda right: rounds(left, right, 0))))
 
 
 def big(x: str) -> str:
@@ -155,40 +171,40 @@ def luhn_ok(d: str, x: str) -> str:
 
 def gen_inn10(d: str, salt: str, x: str) -> str:
     body = padded(fpe(d, salt, "inn10", big(f"substr({x}, 1, 9)"), 9), 9)
-    return f"concat({body}, cast({inn_check(body, INN10)} as string))"
+    return let(d, body, lambda b: f"concat({b}, cast({inn_check(b, INN10)} as string))")
 
 
 def gen_inn12(d: str, salt: str, x: str) -> str:
     body = padded(fpe(d, salt, "inn12", big(f"substr({x}, 1, 10)"), 10), 10)
-    eleven = f"concat({body}, cast({inn_check(body, INN12_A)} as string))"
-    return f"concat({eleven}, cast({inn_check(eleven, INN12_B)} as string))"
+    eleven = let(d, body, lambda b: f"concat({b}, cast({inn_check(b, INN12_A)} as string))")
+    return let(d, eleven, lambda e: f"concat({e}, cast({inn_check(e, INN12_B)} as string))")
 
 
 def gen_snils(d: str, salt: str, x: str) -> str:
     body = padded(fpe(d, salt, "snils", big(f"substr({x}, 1, 9)"), 9), 9)
-    return f"concat({body}, {padded(snils_check(body), 2)})"
+    return let(d, body, lambda b: f"concat({b}, {padded(snils_check(b), 2)})")
 
 
 def gen_ogrn(d: str, salt: str, x: str, sole: bool = False) -> str:
     n, m, label = (14, 13, "ogrnip") if sole else (12, 11, "ogrn")
     body = fpe(d, salt, label, big(f"substr({x}, 1, {n})"), n)
-    return f"concat({padded(body, n)}, cast({body} % {m} % 10 as string))"
+    return let(d, body, lambda b: f"concat({padded(b, n)}, cast({b} % {m} % 10 as string))")
 
 
 def gen_luhn(d: str, salt: str, x: str, n: int) -> str:
     """A card-like number of n digits with a valid check digit."""
     body = padded(fpe(d, salt, "luhn", big(f"substr({x}, 1, {n - 1})"), n - 1), n - 1)
-    return f"concat({body}, cast((10 - {luhn_sum(body, n - 1, True)} % 10) % 10 as string))"
+    return let(d, body, lambda b: f"concat({b}, cast((10 - {luhn_sum(b, n - 1, True)} % 10) % 10 as string))")
 
 
 def gen_digits(d: str, salt: str, x: str, widths: list[int]) -> str:
     """All digits of x permuted as one number, laid back into the places of the old ones; each width permutes on its own."""
-    n = digits(d, x)
-    cases = []
-    for w in widths:
-        new = padded(fpe(d, salt, f"digits{w}", big(n), w), w)
-        cases.append(f"when length({n}) = {w} then {reshape(d, x, new, w)}")
-    return f"case {' '.join(cases)} else {x} end"
+
+    def body(n: str) -> str:
+        laid = lambda w: let(d, padded(fpe(d, salt, f"digits{w}", big(n), w), w), lambda new: reshape(d, x, new, w))
+        return f"case {' '.join(f'when length({n}) = {w} then {laid(w)}' for w in widths)} else {x} end"
+
+    return let(d, digits(d, x), body)
 
 
 def reshape(d: str, x: str, new: str, n: int) -> str:
