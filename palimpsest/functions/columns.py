@@ -191,16 +191,18 @@ def fake_pick(salt: str, corpora: dict, corpus: str, x: str) -> Column:
 
 def fake_fio(salt: str, corpora: dict, family: str, name: str, patronymic: str) -> Column:
     """struct(family, name, patronymic): each part by its own key, the gender kept; null parts stay null."""
-    fam, pat = F.expr(g.norm_word(SPARK, family)), F.expr(g.norm_word(SPARK, patronymic))
-    sex = gender(fam, pat)
+    fam, pat = (f"coalesce({g.norm_word(SPARK, x)}, '')" for x in (family, patronymic))
+    female = f"case when {g.matches(SPARK, pat, FEMALE_PATRONYMIC)} then true when {g.matches(SPARK, pat, MALE_PATRONYMIC)} then false else {g.matches(SPARK, fam, FEMALE_FAMILY)} end"
     masc = g.norm_word(SPARK, family)
     for old, new in FAMILY_ENDINGS:
         masc = f"regexp_replace({masc}, '{old}$', '{new}')"
-    new_family = F.expr(g.pick(SPARK, salt, "family", corpora["family"], masc, masc))
-    by_sex = lambda part, column: F.when(sex == "f", fake_pick(salt, corpora, f"{part}_f", column)).otherwise(fake_pick(salt, corpora, f"{part}_m", column))
+    # lemma and replacement are bound: each would otherwise be computed once an ending
+    ending = lambda x: " ".join(f"when {x} like '%{m}' then regexp_replace({x}, '{m}$', '{f}')" for f, m in FAMILY_ENDINGS)
+    new_family = g.let(SPARK, masc, lambda k: g.let(SPARK, g.pick(SPARK, salt, "family", corpora["family"], k, k), lambda x: f"case when not ({female}) then {x} {ending(x)} else {x} end"))
+    by_sex = lambda part, column: F.when(F.expr(female), fake_pick(salt, corpora, f"{part}_f", column)).otherwise(fake_pick(salt, corpora, f"{part}_m", column))
     keep = lambda column, new: F.when(F.expr(column).isNotNull(), F.initcap(new))
     return F.struct(
-        keep(family, F.when(sex == "f", feminine(new_family)).otherwise(new_family)).alias("family"),
+        keep(family, F.expr(new_family)).alias("family"),
         keep(name, by_sex("name", name)).alias("name"),
         keep(patronymic, by_sex("patronymic", patronymic)).alias("patronymic"),
     )
