@@ -94,7 +94,7 @@ def check(spark: SparkSession, source: str, plan: Plan, work: str, name: str, ke
     log, mark = RunLog(spark, f"{work}/log"), salt_fingerprint(salt())
     if log.meta(name) != (plan.fingerprint, mark):
         raise ValueError("the run was made with another plan or salt")
-    found = verify.verify(read_tables(spark, source), read_tables(spark, f"{work}/{name}/copy"), plan, keys, links, canaries)
+    found = verify.verify(read_tables(spark, source), read_tables(spark, f"{work}/{name}/copy"), plan, keys, links, canaries, corpus.build(corpus.COMPONENTS))
     low = spark.read.parquet(f"{work}/{name}/notes/summary").select(F.when(F.col("note").endswith(text.LOW_CONFIDENCE), F.col("n")).otherwise(0).alias("n_degraded"))
     found.append(verify.degraded(low, plan.params.get("max_degraded")))
     log.mark(name, "verify", "*", "done" if verify.ok(found) else "failed", plan.fingerprint, mark)

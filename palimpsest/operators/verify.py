@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import columns as c
 from palimpsest.operators import dataset
 from palimpsest.plans.plan import Plan
+from palimpsest.sources.corpus import SEM_TO_CORPUS
 
 #: A copy keeps at least this share of the entropy that its strategy allows.
 ENTROPY_SHARE = 0.9
@@ -34,6 +36,11 @@ def ok(found: list[Check]) -> bool:
     return all(x.result == "passed" for x in found)
 
 
+def ceiling(size: int, n_distinct: int) -> float:
+    """Most bits that fakes from a corpus of ``size`` entries can keep of ``n_distinct`` source values: log2 of the entries expected to be hit."""
+    return math.log2(max(size * (1 - math.exp(-n_distinct / size)), 1.0))
+
+
 def composite_key(key: list[str]) -> Column:
     """One unambiguous text of a key of several columns."""
     return F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\u0000")) for k in key])
@@ -92,9 +99,9 @@ def classifier_metrics(found: DataFrame, truth: DataFrame) -> DataFrame:
     return counts.withColumn("precision", F.try_divide("tp", F.col("tp") + F.col("fp"))).withColumn("recall", F.try_divide("tp", F.col("tp") + F.col("fn")))
 
 
-def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan, keys: dict[str, list[str]], links: list[tuple[str, list[str], str, list[str]]] = (), canaries: DataFrame | None = None) -> list[Check]:
-    """All checks of a copy. keys: each table's key; links: child, columns, parent, its columns; canaries: column x.
-
+def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan, keys: dict[str, list[str]], links: list[tuple[str, list[str], str, list[str]]] = (), canaries: DataFrame | None = None, corpora: dict[str, list[str]] | None = None) -> list[Check]:
+    """All checks of a copy. keys: each table's key; links: child, columns, parent, its columns; canaries: column x;
+    corpora: what fakes were taken from, which bounds the entropy to be expected of them.
     A table without a key, or absent from the copy, is a failed check, not an exception.
     """
     out: list[Check] = []
@@ -121,9 +128,11 @@ def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan,
                 out.append(check("replaced", f"{t}.{x.column}", n == 0, f"{n} values are the source's"))
             if x.strategy in CHANGED | {"keep", "shuffle"}:
                 was = dataset.entropy(df, x.column)
+                size = sum(len((corpora or {}).get(k, [])) for k in SEM_TO_CORPUS.get(x.sem_type, [])) if x.strategy == "fake" and x.sem_type != "address" else 0
                 if was > 1:
+                    was = min(was, ceiling(size, df.select(x.column).distinct().count())) if size else was
                     now = dataset.entropy(copy[t], x.column)
-                    out.append(check("entropy", f"{t}.{x.column}", now >= ENTROPY_SHARE * was, f"{was:.3f} and {now:.3f} bits"))
+                    out.append(check("entropy", f"{t}.{x.column}", now >= ENTROPY_SHARE * was, f"{now:.3f} of {was:.3f} bits"))
     for child, cols, parent, parent_cols in links:
         n = dataset.orphans(copy[child], cols, copy[parent], parent_cols).count()
         out.append(check("link", f"{child}.{','.join(cols)}", n == 0, f"{n} rows without a parent"))

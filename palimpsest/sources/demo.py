@@ -35,10 +35,10 @@ def tables(spark: SparkSession, n: int = 1000) -> dict[str, DataFrame]:
         F.date_add(F.lit("1960-01-01").cast("date"), F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(15000)).cast("int")).alias("birth_date"),
         (F.pmod(F.xxhash64(F.lit("pay"), "id"), F.lit(90000)) + 30000).cast("double").alias("salary"),
     )
-    document = ids(n).select("id", F.col("id").alias("person_id"), c.gen_snils(SEED, "lpad(cast(id as string), 11, '0')").alias("snils"), number("s", 4).alias("passport_series"), number("m", 6).alias("passport_number"))
+    document = ids(n).select("id", F.col("id").alias("person_id"), c.gen_snils(SEED, "concat(lpad(cast(id as string), 9, '0'), '00')").alias("snils"), number("s", 4).alias("passport_series"), number("m", 6).alias("passport_number"))
     payment = ids(4 * n).select("id", ((F.col("id") - 1) % n + 1).alias("person_id"), F.pmod(F.xxhash64("id"), F.lit(50000)).cast("double").alias("amount"))
     body = F.when(first, F.concat(F.lit(f"Пишите на {CANARIES[1]} или звоните {CANARIES[2]}"))).when(F.col("id") % 5 == 0, F.lit(None)).when(F.col("id") % 5 == 1, F.lit("")).when(F.col("id") % 100 == 2, F.repeat(F.lit("Встреча прошла без замечаний. "), 500))
-    note = ids(n).select("id", F.col("id").alias("person_id"), body.otherwise(F.concat(F.lit("Клиент "), F.initcap(ending(word("family", "f"))), F.lit(" просил перезвонить завтра утром"))).alias("body"))
+    note = ids(n).select("id", F.col("id").alias("person_id"), body.otherwise(F.concat(F.lit("Звонил клиент "), F.initcap(ending(word("family", "f"))), F.lit(" А.Б., просил перезвонить завтра утром"))).alias("body"))
     return {"department": ids(20).select("id", F.concat(F.lit("Отдел "), F.col("id")).alias("title")), "person": person, "document": document, "payment": payment, "note": note}
 
 
