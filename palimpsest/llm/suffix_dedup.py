@@ -89,14 +89,15 @@ def _anchor_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
-    """The values of a text's runs. A value that two places within one run have is sent twice: periodic text repeats itself."""
+    """The values of a text's runs. A value that two places within one run have is sent twice: periodic text repeats itself.
+    Places WINDOW apart share no window but are seen by adjacent ones, whose equal minima are one run."""
     data = text.encode()
     if len(data) < LENGTH:
         return np.empty(0, np.uint64), b"", None
     _, values, h, m = _anchor_runs(data)
     edge = np.zeros(WINDOW - 1, np.uint64)
     at = np.flatnonzero(h == _slide(np.concatenate((edge, m, edge)), np.maximum))
-    twice = (h[at[1:]] == h[at[:-1]]) & (at[1:] - at[:-1] < WINDOW)
+    twice = (h[at[1:]] == h[at[:-1]]) & (at[1:] - at[:-1] <= WINDOW)
     return np.concatenate((values, h[at[1:][twice]])), b"", None
 
 

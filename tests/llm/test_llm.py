@@ -46,6 +46,22 @@ def test_suffix_dedup(spark, corpus):
     assert got == want
 
 
+def test_suffix_dedup_of_periodic_text(spark):
+    rng = random.Random(5)
+    unit = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows = [(p, unit(p) * 5) for p in (255, 256, 257)] + [(1000 + p, unit(700) + unit(p) * 4 + unit(700)) for p in (255, 256, 257)]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(_docs(spark, rows)).collect()}
+    seen = Counter(t[i : i + 400] for _, t in rows for i in range(len(t) - 399))
+    want = {}
+    for i, t in rows:
+        cut = np.zeros(len(t), bool)
+        for a in range(len(t) - 399):
+            if seen[t[a : a + 400]] > 1:
+                cut[a : a + 400] = True
+        want[i] = int(cut.sum())
+    assert min(want.values()) >= 4 * 255 and got == want
+
+
 def test_recompression(spark, corpus):
     docs = _docs(spark, corpus)
     got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_words"], r["n_removed"], r["kept_sha256"]) for r in recompression.summary(recompression.remove_later_copies(docs)).collect())
