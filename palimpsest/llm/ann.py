@@ -5,11 +5,12 @@ sorted array. A query opens a window around its own value in every array. In
 round r all windows have the half-width that virtual rehashing gives them,
 base * RATIO^r, and a vector collides with the query once per array whose window
 holds it. Vectors with at least THRESHOLD * M collisions are verified by their
-true distance. A query ends when its K-th distance is within the round's radius,
-or when every vector was verified.
+true distance. A query ends when the distance of its K-th id is within the round's
+radius, or when every vector was verified.
 
-The vectors are dealt out by the hash of their id to groups of bounded size; each
-group is indexed and answers all queries, which come in bounded broadcast blocks.
+The distinct pairs of id and vector are dealt out by their hash to groups of bounded
+size, an id with many vectors to all of them; each group is indexed and answers all
+queries with its nearest ids, which come in bounded broadcast blocks.
 """
 
 from __future__ import annotations
@@ -30,20 +31,26 @@ K, EVERY = 10, 100
 
 
 class SortedProjections:
-    def __init__(self, vectors: np.ndarray, directions: np.ndarray):
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, directions: np.ndarray):
         self.vectors = vectors
+        self.ids, self.code = np.unique(ids, return_inverse=True)
         p = vectors @ directions.T
         self.order = np.argsort(p, axis=0, kind="stable").astype(np.int32)
         self.values = np.take_along_axis(p, self.order, axis=0)
 
     def search(self, q: np.ndarray, at: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, distances) of the k nearest found to q, whose projections are ``at``; ``own`` takes no part."""
+        """(ids, distances) of the ids found near q, the k nearest among them; q has the projections ``at``, its id ``own`` takes no part.
+
+        An id has the distance of its nearest vector, and counts once.
+        """
         n, m = self.values.shape
+        mine = self.ids == own
+        k += int(mine.any())
         need = int(np.ceil(THRESHOLD * m))
         count = np.zeros(n, np.int16)
         low = np.array([np.searchsorted(self.values[:, j], at[j]) for j in range(m)])
         high = low.copy()
-        dist = np.full(n, np.inf)
+        dist = np.full(len(self.ids), np.inf)
         checked = np.zeros(n, bool)
         # the first radius: the spread of the nearest values in the arrays
         step = max(1, min(n - 1, 2 * k))
@@ -64,19 +71,13 @@ class SortedProjections:
             if len(fresh):
                 checked[fresh] = True
                 d = self.vectors[fresh] - q
-                dist[fresh] = np.sqrt((d * d).sum(axis=1))
-                if own >= 0:
-                    dist[own] = np.inf
-            done = checked.sum() - int(own >= 0 and checked[own])
-            if done >= min(k, n - int(own >= 0)):
-                best = np.partition(dist, k - 1)[k - 1] if n >= k else np.inf
-                if best <= radius or checked.all():
-                    break
-            elif checked.all():
+                np.minimum.at(dist, self.code[fresh], np.sqrt((d * d).sum(axis=1)))
+                dist[mine] = np.inf
+            if checked.all() or (len(dist) >= k and np.partition(dist, k - 1)[k - 1] <= radius):
                 break
             radius *= RATIO
         found = np.flatnonzero(np.isfinite(dist))
-        return found, dist[found]
+        return self.ids[found], dist[found]
 
 
 def _clean(rows: DataFrame) -> DataFrame:
@@ -102,11 +103,11 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, seed: int = 11) ->
     rows. Extra columns are ignored.
     """
     spark = rows.sparkSession
-    base = _clean(rows).withColumn("dim", F.size("v"))
+    base = checkpoint(_clean(rows).distinct().withColumn("dim", F.size("v")))
     asked = checkpoint(_clean(queries).withColumn("dim", F.size("v")).distinct())
     n = base.count()
     groups = max(1, -(-n // GROUP_ROWS))
-    dealt = base.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
+    dealt = base.withColumn("g", F.pmod(F.xxhash64("vec_id", "v"), F.lit(groups)).cast("int"))
     schema = "query_id long, vec_id long, score double"
 
     def search(block: list[tuple[int, int, list[float]]]) -> DataFrame:
@@ -120,15 +121,12 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, seed: int = 11) ->
                 rng = np.random.default_rng(seed)
                 directions = rng.standard_normal((M, dim))
                 ids = table["vec_id"].to_numpy()
-                index = SortedProjections(_matrix(table["v"], dim), directions)
+                index = SortedProjections(_matrix(table["v"], dim), ids, directions)
                 at = np.array([v for _, v in mine]) @ directions.T
                 for (q, v), p in zip(mine, at, strict=True):
-                    same = np.flatnonzero(ids == q)
-                    found, dist = index.search(v, p, k + len(same), int(same[0]) if len(same) else -1)
-                    keep = ids[found] != q
-                    found, dist = found[keep], dist[keep]
-                    best = np.lexsort((ids[found], dist))[: 2 * k]
-                    out += [(q, int(ids[f]), float(d)) for f, d in zip(found[best], dist[best], strict=True)]
+                    found, dist = index.search(v, p, k, q)
+                    best = np.lexsort((found, dist))[:k]
+                    out += [(q, int(f), float(d)) for f, d in zip(found[best], dist[best], strict=True)]
             cols = list(zip(*out, strict=True)) if out else [[], [], []]
             return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 

@@ -212,6 +212,24 @@ def test_ann_recall_and_cases(spark):
     assert hit >= 0.9 * 80 and all(r["query_id"] < 400 and r["vec_id"] < 400 for r in got)
 
 
+@pytest.mark.parametrize("moved", [0.0, 1e-3], ids=["copies", "own vectors"])
+def test_ann_of_an_id_with_many_rows(spark, moved):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((300, 16))
+    x[1] = x[0] + 0.01
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1, (x[1] + moved * j / 150 * rng.standard_normal(16)).tolist()) for j in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.where("vec_id in (0, 100)")).collect()
+    for q in (0, 100):
+        best = {}
+        for i, v in rows:
+            if i != q:
+                best[i] = min(best.get(i, np.inf), float(np.sqrt(((np.array(v) - x[q]) ** 2).sum())))
+        mine = {r["vec_id"]: r["score"] for r in got if r["query_id"] == q}
+        assert len(mine) == 10 and all(abs(best[i] - s) < 1e-12 for i, s in mine.items())
+        assert len(set(mine) & set(sorted(best, key=best.get)[:10])) >= 9
+
+
 def test_empty_tables(spark):
     docs, labels = _docs(spark, []), spark.createDataFrame([], "doc_id long, toxic int")
     assert suffix_dedup.remove_repeats(docs).count() == 0
