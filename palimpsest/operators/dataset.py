@@ -10,7 +10,7 @@ from palimpsest.functions.sqlgen import SPARK
 
 #: Pieces in which a ring is ordered: no task sorts all entities.
 RING_PIECES = 64
-_LEAK_RUN = r"[0-9][0-9 .\-/()]{8,22}[0-9]"
+_LEAK_RUN = r"[0-9][0-9 .\-/()]*"
 
 
 def direct_map(df: DataFrame, column: str, corpus: list[str], salt: str, limit: int = 10_000) -> DataFrame:
@@ -147,7 +147,7 @@ def leaked_identifiers(ids: DataFrame, copy: DataFrame, column: str) -> DataFram
     """(x, n): identifiers (column x, digits only) that stand in digit runs of a copy's column, at any place of a run.
 
     Every piece of a run that has an identifier's width is held against them, so
-    that two numbers side by side don't hide each other.
+    that numbers side by side don't hide each other; a run may have any length.
     """
     widths = sorted(r["w"] for r in ids.select(F.length("x").alias("w")).distinct().collect())
     runs = copy.select(F.explode(F.regexp_extract_all(F.col(column).cast("string"), F.lit(_LEAK_RUN), 0)).alias("r")).select(F.regexp_replace("r", "[^0-9]", "").alias("r"))

@@ -121,6 +121,16 @@ def test_checks_find_planted_faults(spark):
     assert dataset.entropy(spark.range(4).withColumn("g", F.col("id") % 2), "g") == 1.0
 
 
+def test_identifiers_side_by_side_are_found(spark):
+    a, b, c10 = "123456789012", "210987654321", "5556667778"
+    ids = spark.createDataFrame([(a,), (b,), (c10,), ("123456789",), ("999999999999",)], "x string")
+    found = lambda *texts: {r["x"]: r["n"] for r in dataset.leaked_identifiers(ids, spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()}
+    assert found(f"{a} {b}") == {a: 1, b: 1, "123456789": 1}
+    assert found(f"{c10}-{a} / ({b})", None, "") == {a: 1, b: 1, c10: 1, "123456789": 1}
+    assert found("7" * 60 + b + "7" * 60) == {b: 1}
+    assert found("no. 123456789, none") == {"123456789": 1}
+
+
 def test_corpus_validation():
     assert corpus.validate(CORPORA) == []
     assert corpus.validate({"phone_code": ["12", "12"]}, {"phone_code": 1})
