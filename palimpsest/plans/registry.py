@@ -105,10 +105,23 @@ def gen_digits_like_names(d: str) -> str:
     return f"select c_custkey, {g.gen_digits(d, SALT, 'c_name', [9])} as fake_name from customer"
 
 
+def _int_like(d: str, column: str, source: str) -> str:
+    """The walk as a fold of each key, for all widths that a bigint can keep; a key that no width or step settles raises, unnamed."""
+    widths = range(1, 19)
+    error = "raise_error('gen_int_like: a key is negative, over 18 digits wide or unsettled after 40 steps')"
+    step = lambda v: "case " + " ".join(f"when n = {w} then {g.fpe(d, SALT, f'int{w}', v, w)}" for w in widths) + " end"
+    keys = f"select distinct {column} as k, case when {column} >= 0 then length(cast({column} as string)) end as n from {source} where {column} is not null"
+    low = "case when n = 1 then 0 else cast(rpad('1', n, '0') as bigint) end"
+    walked = f"aggregate(sequence(1, 40), {step('k')}, (v, i) -> case when v >= low then v else {step('v')} end)"
+    return f"select k, case when fake >= low then fake else cast({error} as bigint) end as fake from (select k, low, case when n <= {max(widths)} then {walked} end as fake from (select k, n, {low} as low from ({keys}) a) b) c"
+
+
 @query
 def gen_int_like_keys(d: str) -> str:
     """Width-preserving integers: the permutation of n digits is walked until it has n digits again."""
     inner = "select distinct o_custkey as k, o_custkey as v, length(cast(o_custkey as string)) as n, 0 as step from orders"
+    if d == SPARK:
+        return _int_like(d, "o_custkey", "orders")
     widths = range(1, 8)
     step = lambda v: "case " + " ".join(f"when n = {w} then {g.fpe(d, SALT, f'int{w}', v, w)}" for w in widths) + " end"
     low = "case " + " ".join(f"when n = {w} then {10 ** (w - 1) if w > 1 else 0}" for w in widths) + " end"

@@ -131,6 +131,20 @@ def test_identifiers_side_by_side_are_found(spark):
     assert found("no. 123456789, none") == {"123456789": 1}
 
 
+def test_int_like_keys_of_all_widths(spark, tmp_path):
+    def fakes(keys):
+        spark.createDataFrame([(k,) for k in keys], "o_custkey long").write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+        return {r["k"]: r["fake"] for r in registry.QUERIES["gen_int_like_keys"](spark, str(tmp_path)).collect()}
+
+    keys = [0, 9, *(10**w for w in range(1, 18)), *(10**w - 1 for w in range(2, 19))]
+    got = fakes([*keys, *keys, None])
+    assert sorted(got) == sorted(keys) and all(len(str(k)) == len(str(v)) for k, v in got.items())
+    assert len(set(fakes(range(100)).values())) == 100
+    for bad in (10**18, -5):
+        with pytest.raises(Exception, match="gen_int_like"):
+            fakes([1, bad])
+
+
 def test_corpus_validation():
     assert corpus.validate(CORPORA) == []
     assert corpus.validate({"phone_code": ["12", "12"]}, {"phone_code": 1})
