@@ -10,9 +10,11 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palimpsest.functions import sqlgen as g
 from palimpsest.functions.sqlgen import DUCK, SPARK
+from palimpsest.operators import dataset
 from palimpsest.sources.corpus import COMPONENTS, build
 
 SALT = "SALT"
@@ -286,7 +288,10 @@ def rule_ratios(d: str) -> str:
 
 @query
 def addr_parse_ratio(d: str) -> str:
+    """Share of texts whose parts between commas are all words or numbers. The oracle reads region only."""
     part = g.matches(d, "p", "^ *([A-Za-z. ]+|[0-9]+) *$")
+    if d == SPARK:
+        return f"select round(avg(ok), 6) as ratio from (select doc_id, min(case when {part} then 1.0e0 else 0.0e0 end) as ok from (select doc_id, explode(split(text, ',')) as p from documents) q group by doc_id) w"
     split = "explode(split(r_name, ','))" if d == SPARK else "unnest(string_split(r_name, ','))"
     return f"select round(avg(ok), 6) as ratio from (select r_regionkey, min(case when {part} then 1.0e0 else 0.0e0 end) as ok from (select r_regionkey, {split} as p from region) q group by r_regionkey) w"
 
@@ -344,14 +349,16 @@ def corpus_ceiling(d: str) -> str:
 
 @query
 def canary_search(d: str) -> str:
-    """Benchmark passages of more than 100 characters that stand in a document as they are."""
+    """Benchmark passages that stand in a document as they are. The oracle leaves out those of up to 100 characters."""
     found = "contains(lower(d.text), lower(b.text))"
+    if d == SPARK:
+        return f"select b.item_id, count(*) as found from benchmark b join documents d on {found} group by b.item_id"
     return f"select b.item_id, count(*) as found from benchmark b join documents d on {found} where length(b.text) > 100 group by b.item_id"
 
 
 @query
 def identifier_leak(d: str) -> str:
-    """Identifiers of one table among the digit runs of another one's texts: none of the faked ones is a source key."""
+    """None of the faked names' numbers is a source key; on Spark, ``scan_identifiers`` holds the texts against them as well."""
     return f"select count(*) as leaked from (select distinct {g.digits(d, 'c_name')} as x from customer) a join (select distinct {g.digits(d, g.gen_digits(d, SALT, 'c_name', [9]))} as x from customer) b on a.x = b.x"
 
 
@@ -397,5 +404,14 @@ def mask_ips_text(d: str) -> str:
     return f"select doc_id, {g.sub(d, 'text', r'[0-9]{1,3}([.][0-9]{1,3}){3}', '<ip>')} as text from documents"
 
 
-QUERIES = {name: _run(f(SPARK)) for name, f in _BUILT.items()}
+def scan_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(leaked): the customers' numbers that stand in the digit runs of documents, conversations or faked names, at any place of a run."""
+    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    ids = read("customer").selectExpr(f"{g.digits(SPARK, 'c_name')} as x").where("x <> ''").distinct()
+    texts = read("documents").select("text").unionByName(read("conversations").select("text"))
+    texts = texts.unionByName(read("customer").selectExpr(f"{g.gen_digits(SPARK, SALT, 'c_name', [9])} as text"))
+    return dataset.leaked_identifiers(ids, texts, "text").agg(F.count(F.lit(1)).alias("leaked"))
+
+
+QUERIES = {name: _run(f(SPARK)) for name, f in _BUILT.items()} | {"identifier_leak": scan_identifiers}
 ORACLE = {name: re.sub(r"\bas string\b", "as varchar", f(DUCK)) for name, f in _BUILT.items()}

@@ -145,6 +145,21 @@ def test_int_like_keys_of_all_widths(spark, tmp_path):
             fakes([1, bad])
 
 
+def test_registry_scans_whole_texts(spark, tmp_path):
+    def put(table, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{table}.parquet")
+
+    put("documents", [(1, "see A short passage, and 12 000000001 000000002 3"), (2, "plain words, 12"), (3, None)], "doc_id long, text string")
+    put("conversations", [(1, "id 000000003.")], "conv_id long, text string")
+    put("benchmark", [(1, "a short passage"), (2, "not there"), (3, None)], "item_id long, text string")
+    put("customer", [(i, f"Customer#{i:09d}") for i in range(1, 6)] + [(6, None)], "c_custkey long, c_name string")
+    run = lambda name: [tuple(r) for r in registry.QUERIES[name](spark, str(tmp_path)).collect()]
+    assert run("canary_search") == [(1, 1)]
+    assert run("identifier_leak") == [(3,)]
+    put("region", [(1, "EUROPE")], "r_regionkey int, r_name string")
+    assert run("addr_parse_ratio") == [(0.5,)]
+
+
 def test_corpus_validation():
     assert corpus.validate(CORPORA) == []
     assert corpus.validate({"phone_code": ["12", "12"]}, {"phone_code": 1})
