@@ -13,8 +13,10 @@ import contextlib
 import ctypes
 import gc
 import pickle
+import re
 import tempfile
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 
 #: Bytes that ``[A-Z]`` become; used with bytes.translate.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Text bytes that one block of the fingerprint exchange holds, and one bucket stands for.
-BLOCK_BYTES = 8 << 20
+#: Text bytes that one block of an exchange holds, one bucket of it stands for, and one Arrow batch holds.
+BLOCK_BYTES, BUCKET_BYTES, BATCH_BYTES = 4 << 20, 8 << 20, 8 << 20
 #: Stands for a null doc_id, before all others.
 NULL_ID = -(2**63)
 KEY = ["doc_id", "th"]
@@ -36,10 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a folder of our own on a single
+    machine (tests); a cluster raises, for its executors would not share that."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     global _OWN
     if not _OWN:
         _OWN = "file://" + tempfile.mkdtemp(prefix="palimpsest-")
@@ -74,8 +79,16 @@ def trim(*caches: dict) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts may be long: an Arrow batch that goes to a Python worker is bounded by its bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, th, text) with a null text as the empty text; all other columns are dropped, so none can clash."""
+    bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(body).alias("th"), body.alias("text"))
 
@@ -85,7 +98,7 @@ def total_bytes(docs: DataFrame) -> int:
 
 
 def n_buckets(size: int) -> int:
-    return int(min(max(64, size // BLOCK_BYTES), 200_000))
+    return int(min(max(64, size // BUCKET_BYTES), 200_000))
 
 
 def real_id(column: str) -> Column:
@@ -144,19 +157,29 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """Of each text, lower-cased in A-Z, the sorted distinct hashes of its 5-word shingles; with fewer words the whole sequence is one."""
+    words = [t.encode().translate(LOWER).split() for t in texts]
+    size, n = [len(w) for w in words], len(PLACES)
+    h = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.uint64, sum(size))
+    wide = max(len(h) - n + 1, 0)
+    s = np.zeros(wide, np.uint64)
+    for j in range(n):
+        s += h[j : wide + j] * PLACES[j]
+    s = mix(s)
+    out, at = [], 0
+    for w, k in zip(words, size, strict=True):
+        if k >= n:
+            own = np.sort(s[at : at + k - n + 1])
+            out.append(own[np.r_[True, own[1:] != own[:-1]]])
+        else:
+            out.append(np.array([xxhash.xxh3_64_intdigest(b"\x00".join(w), seed=k)] if w else [], np.uint64))
+        at += k
+    return out
+
+
 def shingles(text: str) -> np.ndarray:
-    """Sorted distinct hashes of the 5-word shingles of a text lower-cased in A-Z; with fewer words the whole sequence is one."""
-    words = text.encode().translate(LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = word_hashes(words)
-    n = len(PLACES)
-    if len(h) < n:
-        return np.array([xxhash.xxh3_64_intdigest(b"\x00".join(words), seed=len(words))], np.uint64)
-    s = h[: len(h) - n + 1] * PLACES[0]
-    for j in range(1, n):
-        s += h[j : len(h) - n + 1 + j] * PLACES[j]
-    return np.unique(mix(s))
+    return shingle_sets([text])[0]
 
 
 def blocks(batches: Iterator[pa.RecordBatch], extra: str | None = None, limit: int = BLOCK_BYTES) -> Iterator[tuple[list, list, list, list]]:
@@ -179,8 +202,24 @@ def blocks(batches: Iterator[pa.RecordBatch], extra: str | None = None, limit: i
         yield ids, ths, texts, extras
 
 
-#: (hashes, payload, places) of a text; places None: 0, 1, 2 ...
-Marks = Callable[..., tuple[np.ndarray, bytes, np.ndarray | None]]
+#: Of a block's texts (and what else a column holds of each): all hashes, how many each text has, their places, a payload of each.
+Marks = Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray, list]]
+
+
+def each(marks: Callable[[str], np.ndarray]) -> Marks:
+    """Marks of a block's texts, one by one; places count from 0 in each text."""
+
+    def run(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        got = [marks(t) for t in texts]
+        lens = np.array([len(g) for g in got], np.int64)
+        return np.concatenate(got) if got else np.empty(0, np.uint64), lens, counted(lens), [b""] * len(got)
+
+    return run
+
+
+def counted(lens: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for each length, one after the other."""
+    return np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
 
 
 def _first_of_runs(*keys: np.ndarray) -> np.ndarray:
@@ -192,44 +231,94 @@ def _first_of_runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: bool, later: bool = False, extra: str | None = None) -> DataFrame:
+def ordered(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): places in the order of the tuples of keys, and whether a new tuple begins. A key is looked at only where those before it tie."""
+    order = np.argsort(keys[0])
+    first = keys[0][order]
+    new = np.r_[True, first[1:] != first[:-1]][: len(order)]
+    for key in keys[1:]:
+        at = np.flatnonzero(~(new & np.r_[new[1:], True][: len(new)]))
+        if not len(at):
+            break
+        group = (np.cumsum(new) - 1)[at]
+        mine = order[at]
+        value = key[mine]
+        by = np.argsort(value)
+        up = value[by]
+        rank = np.empty(len(at), np.int64)
+        rank[by] = np.cumsum(np.r_[False, up[1:] != up[:-1]])
+        both = group << 32 | rank
+        by = np.argsort(both)
+        order[at], both = mine[by], both[by]
+        new[at] = np.r_[True, both[1:] != both[:-1]]
+    return order, new
+
+
+def packed(*fields: np.ndarray) -> list[np.ndarray]:
+    """Keys that order as the tuples of non-negative fields do: one number, if that holds them all."""
+    bits = [int(f.max(initial=0)).bit_length() for f in fields]
+    if sum(bits) > 63:
+        return list(fields)
+    out = np.zeros(len(fields[0]), np.int64)
+    for f, n in zip(fields, bits, strict=True):
+        out = out << n | f.astype(np.int64)
+    return [out]
+
+
+def _cut(h: np.ndarray, width: int) -> np.ndarray:
+    """The fingerprints of ``width`` bytes, as bytes."""
+    return np.ascontiguousarray((h >> np.uint64(32)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]).reshape(-1)
+
+
+def _small(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _whole(cut: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(cut) // width, 4), np.uint8)
+    out[:, :width] = cut.reshape(-1, width)
+    return out.view("<u4").reshape(-1)
+
+
+def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: bool, later: bool = False, extra: str | None = None, width: int = 4, through: bool = False) -> DataFrame:
     """Which marks of each document occur anywhere else, or (later) anywhere before.
 
-    ``marks(text)``, or ``marks(text, extra column)``, gives a document's 64-bit
-    marks, a payload that is carried through, and the marks' places. Result:
+    ``marks(texts)``, or ``marks(texts, extra column)``, gives the 64-bit marks of a
+    block's documents, the marks' places and a payload that is carried through. Result:
     doc_id, th, payload, n_marks, n_hits and hits (with want_places: packed
     uint32 places of the marks that were met). A mark that stands twice in one
     document counts as repeated.
 
     Marks are dealt out to hash buckets that stand for 8 MB of text each, as
-    32-bit fingerprints there, so about 0.02 % of the lone marks are reported too:
-    callers verify. With ``later`` full hashes travel, each with its document's
+    fingerprints of ``width`` bytes there, so about 0.02 % (3 bytes: 5 %) of the lone
+    marks are reported too: callers verify. With ``later`` full hashes travel, each with its document's
     id, and every mark but the first in order of (doc_id, th, place) is a hit. A
     block of documents sends each distinct mark once, whatever its frequency, so
-    a mark in a third of all documents costs its bucket one entry per block.
+    a mark in a third of all documents costs its bucket one entry per block. What a
+    block keeps to itself waits in the first exchange; with ``through`` it travels
+    with the answers instead, for inputs out of joins, where Spark would not use the
+    exchange again but read and mark the documents twice.
     """
 
     def emit(batches):
         for ids, ths, texts, extras in blocks(batches, extra):
-            got = [marks(t, x) for t, x in zip(texts, extras, strict=True)] if extra else [marks(t) for t in texts]
-            lens = np.array([len(g[0]) for g in got], np.int64)
-            allm = np.concatenate([g[0] for g in got])
-            row = np.repeat(np.arange(len(got), dtype=np.uint32), lens)
-            place = np.concatenate([np.arange(len(g[0])) if g[2] is None else g[2] for g in got]).astype(np.uint32)
+            allm, lens, place, payload = marks(texts, extras) if extra else marks(texts)
+            row, place = np.repeat(np.arange(len(ids), dtype=np.uint32), lens), place.astype(np.uint32)
             if later:
                 where = np.lexsort((np.array(ths), np.array(ids)))  # documents in order; equal keys are one document
                 i, t = np.array(ids)[where], np.array(ths)[where]
                 rank = np.empty(len(ids), np.int64)
                 rank[where] = np.cumsum(_first_of_runs(i, t))
-                order = np.lexsort((place, rank[row], allm))
-                s, spot = allm[order], (rank[row] << 32 | place)[order]
+                spot = rank[row] << 32 | place
+                order, _ = ordered([allm, spot])
+                s, spot = allm[order], spot[order]
                 new = _first_of_runs(s)
                 run = np.cumsum(new) - 1
                 local = np.zeros(len(s), bool)
                 local[order] = spot > spot[new][run] if len(s) else False
                 alone = np.ones(int(new.sum()), bool)
             else:
-                order = np.argsort(allm, kind="stable")
+                order = np.argsort(allm)
                 new = _first_of_runs(allm[order])
                 last = np.r_[new[1:], True][: len(new)]
                 local = np.zeros(len(allm), bool)
@@ -240,63 +329,70 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
             bucket = (h % np.uint64(buckets)).astype(np.int32)
             block = xxhash.xxh3_64_intdigest(repr((ids, ths)).encode()) >> 1
             here = np.flatnonzero(local)
-            known = pack(ids, ths, [g[1] for g in got], lens, row[here], place[here] if want_places else None)
-            out_b, out_k, out_d = [int(block % buckets)], [1], [known]
+            known = pack(ids, ths, payload, lens, row[here], place[here] if want_places else None)
+            out_k, out_b, out_d = [-1 - block], [None], [known]  # buckets count from 0, blocks from -1 down
             # marks that need no answer stand last in their bucket
-            by = np.lexsort((place[first], row[first], ~alone, bucket))
+            by, _ = ordered(packed(bucket, ~alone, row[first], place[first]))
             cut = np.flatnonzero(_first_of_runs(bucket[by])).tolist()
             for a, z in zip(cut, [*cut[1:], len(by)], strict=True):
                 pick = by[a:z]
                 r = row[first[pick]]
                 if later:
-                    used, r2 = np.unique(r, return_inverse=True)
-                    body = pack(h[pick], r, place[first[pick]], r2.astype(np.uint32), np.array(ids)[used], np.array(ths)[used])
+                    used, own = np.unique(r, return_inverse=True)
+                    body = pack(h[pick], _small(own), _small(place[first[pick]]), used, np.array(ids)[used], np.array(ths)[used])
                 else:
                     r = r[: int(alone[pick].sum())]
                     step = np.diff(r, prepend=np.uint32(0))  # small numbers compress well
-                    body = pack((h[pick] >> np.uint64(32)).astype(np.uint32), step.astype(np.min_scalar_type(int(step.max(initial=0)))), place[first[pick]][: len(r)] if want_places else None)
-                out_b.append(int(bucket[pick[0]])), out_k.append(0), out_d.append(body)
-            yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array([block] * len(out_b), pa.int64()), pa.array(out_k, pa.int32()), pa.array(out_d, pa.binary())], names=["bucket", "block", "kind", "data"])
+                    body = pack(_cut(h[pick], width), step.astype(np.min_scalar_type(int(step.max(initial=0)))), place[first[pick]][: len(r)] if want_places else None)
+                out_k.append(int(bucket[pick[0]])), out_b.append(-1 - block), out_d.append(body)
+            yield pa.RecordBatch.from_arrays([pa.array(out_k, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_d, pa.binary())], names=["key", "block", "data"])
 
     def meet(group: pa.Table) -> pa.Table:
-        block, kind, data = group["block"].to_pylist(), group["kind"].to_pylist(), group["data"]
-        out = [(b, k, d.as_py()) for b, k, d in zip(block, kind, data, strict=True) if k == 1]
-        rest = [(b, unpack(d)) for b, k, d in zip(block, kind, data, strict=True) if k == 0]
+        rest = [(b, unpack(d)) for b, d in zip(group["block"].to_pylist(), group["data"], strict=True) if b is not None]
+        out = [(k, None, d.as_py()) for k, b, d in zip(group["key"].to_pylist(), group["block"], group["data"], strict=True) if through and not b.is_valid]
         if rest:
-            mark = np.concatenate([x[0] for _, x in rest])
+            mark = np.concatenate([x[0] if later else _whole(x[0], width) for _, x in rest])
             hit = np.zeros(len(mark), bool)
             if later:
-                ids, ths = (np.concatenate([x[j][x[3]] for _, x in rest]) for j in (4, 5))
-                places = np.concatenate([x[2] for _, x in rest])
-                order = np.lexsort((places, ths, ids, mark))
+                ids, ths = (np.concatenate([x[j][x[1]] for _, x in rest]) for j in (4, 5))
+                places = np.concatenate([x[2].astype(np.uint32) for _, x in rest])
+                order, _ = ordered([mark, ids, ths, places])
                 new = _first_of_runs(mark[order])
                 fresh = _first_of_runs(mark[order], ids[order], ths[order], places[order])
                 step = np.cumsum(fresh)
                 hit[order] = step > step[new][np.cumsum(new) - 1]
             else:
-                order = np.argsort(mark, kind="stable")
+                order = np.argsort(mark)
                 new = _first_of_runs(mark[order])
                 hit[order] = ~(new & np.r_[new[1:], True])
             at = 0
             for b, x in rest:
-                r = x[1] if later else np.cumsum(x[1], dtype=np.uint32)
+                r = x[3][x[1]] if later else np.cumsum(x[1], dtype=np.uint32)
                 h = hit[at : at + len(r)]
-                at += len(x[0])
+                at += len(x[0]) // (1 if later else width)
                 if h.any():
-                    out.append((b, 0, pack(r[h], x[2][h] if want_places else None)))
-        return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["block", "kind", "data"])
+                    out.append((b, group["key"][0].as_py(), pack(r[h], x[2][h].astype(np.uint32) if want_places else None)))
+        return pa.table([pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["block", "bucket", "data"])
+
+    def answer(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        known = [unpack(d) for b, d in zip(asked["block"], asked["data"], strict=True) if not b.is_valid]
+        return laid(known, dict(zip(answers["bucket"].to_pylist(), answers["data"], strict=True)))
+
+    def answer_alone(group: pa.Table) -> pa.Table:
+        rows = list(zip(group["bucket"].to_pylist(), group["data"], strict=True))
+        return laid([unpack(d) for b, d in rows if b is None], {b: d for b, d in rows if b is not None})
 
-    def answer(group: pa.Table) -> pa.Table:
-        kind, data = group["kind"].to_pylist(), group["data"]
-        known = [unpack(d) for k, d in zip(kind, data, strict=True) if k == 1]
+    def laid(known: list, answers: dict) -> pa.Table:
+        if not known:  # a bucket's marks
+            return out_schema.empty_table()
         ids, ths, payload, lens, row, place = known[0]
-        hits = [unpack(d) for k, d in zip(kind, data, strict=True) if k == 0]
+        hits = [unpack(d) for d in answers.values()]  # one for each bucket, though a block that was read twice is answered twice
         rows = np.concatenate([row, *[x[0] for x in hits]]).astype(np.int64)
         count = np.bincount(rows, minlength=len(ids))
         got: list = [None] * len(ids)
         if want_places:
             places = np.concatenate([place, *[x[1] for x in hits]])
-            order = np.lexsort((places, rows))
+            order, _ = ordered(packed(rows, places))
             got = [pack(x) for x in np.split(places[order], np.cumsum(count)[:-1])]
         times = len(known)  # a block that was read twice has its documents twice
         return pa.table(
@@ -305,9 +401,14 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
         )
 
     columns = [*KEY, "text", *([extra] if extra else [])]
-    sent = docs.select(*columns).mapInArrow(emit, "bucket int, block long, kind int, data binary")
-    met = sent.groupBy("bucket").applyInArrow(meet, "block long, kind int, data binary")
-    return met.groupBy("block").applyInArrow(answer, "doc_id long, th long, payload binary, n_marks long, n_hits long, hits binary")
+    out_schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("payload", pa.binary()), ("n_marks", pa.int64()), ("n_hits", pa.int64()), ("hits", pa.binary())])
+    sent = docs.select(*columns).mapInArrow(emit, "key long, block long, data binary")
+    met = sent.groupBy("key").applyInArrow(meet, "block long, bucket long, data binary")
+    ddl = "doc_id long, th long, payload binary, n_marks long, n_hits long, hits binary"
+    if through:
+        return met.groupBy("block").applyInArrow(answer_alone, ddl)
+    # what a block keeps stays in the partitions of the first exchange, which serves both sides
+    return sent.groupBy("key").cogroup(met.groupBy("block")).applyInArrow(answer, ddl)
 
 
 def components(links: DataFrame) -> DataFrame:
