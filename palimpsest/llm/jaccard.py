@@ -12,9 +12,12 @@ What keeps it whole and linear in a group of thousands of near copies:
   counts each document's shared shingles, and only documents with 75 % of them go on;
 * equal sets are one class, represented by the smallest doc_id;
 * in the first rounds each class meets one centre per prefix shingle, of another
-  component than its own, and the best centres are verified. Pairs that the links
-  found already connect need no test; all pairs across components that the
-  shingles shared with any class still allow are compared then.
+  component than its own, and the best centres are verified. The first centre is the
+  class whose shingles are the most common ones: the text that a group's near copies
+  were made of. Pairs that the links found already connect need no test; across
+  components a pair is made only if the sets' signatures still allow a link.
+
+A class is named by the 128-bit hash of its shingle hashes.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, blocks, checkpoint, components, documents, n_buckets, real_id, release, repeated_marks, shingles, total_bytes, with_group_value
+from .common import KEY, NULL_ID, blocks, checkpoint, components, counted, documents, n_buckets, real_id, release, repeated_marks, shingle_sets, total_bytes, with_group_value
 
 #: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
@@ -37,25 +40,27 @@ ROUNDS, CENTRES = 3, 2
 BITS = 1024
 
 
-def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
-    s = shingles(text)
-    return s, xxhash.xxh3_128_digest(s.tobytes()), None
+def _marks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    sets = shingle_sets(texts)
+    lens = np.array([len(s) for s in sets], np.int64)
+    return np.concatenate(sets), lens, counted(lens), [xxhash.xxh3_128_digest(s) for s in sets]
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(rid, n, tokens, sig) of the documents given as (doc_id, th, text); sig: a bit for each of BITS remainders that a token has."""
+    """(rid, n, tokens, sig) of the documents given as (doc_id, th, text), doc_id a class's name; sig: a bit for each of BITS remainders that a token has."""
 
     def run(batches):
         for ids, _, texts, _ in blocks(batches):
-            sets = [shingles(t).view(np.int64) for t in texts]
+            sets = [s.view(np.int64) for s in shingle_sets(texts)]
             offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
             bits = np.zeros((len(sets), BITS), np.uint8)
             bits[np.repeat(np.arange(len(sets)), np.diff(offsets)), flat & (BITS - 1)] = 1
             sig = pa.array(list(np.packbits(bits, axis=1).view(np.int64)), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), sig], names=["rid", "n", "tokens", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), sig], names=["rid", "n", "tokens", "sig"])
 
-    return docs.mapInArrow(run, "rid long, n long, tokens array<long>, sig array<long>")
+    sets = docs.mapInArrow(run, "rid binary, n long, tokens array<long>, sig array<long>")
+    return sets.select("rid", "n", "tokens", F.struct(*[F.col("sig")[i].alias(f"s{i}") for i in range(BITS // 64)]).alias("sig"))
 
 
 def _least(n: Column) -> Column:
@@ -79,18 +84,21 @@ def _segments(ordered: DataFrame) -> DataFrame:
     return cut.select("rid", "n", "f", F.slice("hs", start, F.col("size")).alias("seg"))
 
 
-def _possible(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
-    """The pairs that their signatures allow: each bit that one set has alone is a shingle that the other lacks."""
-    a = ordered.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("ga"))
-    b = ordered.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
-    alone = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, k: s + k)
-    most = F.least(F.col("na") - alone("ga", "gb"), F.col("nb") - alone("gb", "ga"))
-    return pairs.join(a, "a").join(b, "b").where(most >= _needed(F.col("na"), F.col("nb"))).select("a", "b")
+def _alone(x: str, y: str) -> Column:
+    """Shingles of x that y lacks, at least: bits that only x's signature has."""
+    out = F.lit(0)
+    for i in range(BITS // 64):
+        out = out + F.bit_count(F.col(f"{x}.s{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}.s{i}"))))
+    return out
+
+
+def _possible(n: str, sig: str, m: str, sig_m: str) -> Column:
+    """Whether signatures allow sets of n and m shingles to link."""
+    return F.least(F.col(n) - _alone(sig, sig_m), F.col(m) - _alone(sig_m, sig)) >= _needed(F.col(n), F.col(m))
 
 
 def _verified(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
     """The pairs (a, b) that link: overlaps counted in each fragment, then summed per pair."""
-    pairs = _possible(pairs, ordered)
     segments = _segments(ordered)
     left = segments.select(F.col("rid").alias("a"), "f", F.col("seg").alias("sa"), F.col("n").alias("na"))
     right = segments.select(F.col("rid").alias("b"), "f", F.col("seg").alias("sb"), F.col("n").alias("nb"))
@@ -108,15 +116,18 @@ def links_of(reps: DataFrame) -> DataFrame:
     tokens = reps.select("rid", F.explode("tokens").alias("h"))
     df = tokens.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
     t = F.array_sort(F.collect_list(F.struct("df", "h")))
-    shared = tokens.join(df, "h").groupBy("rid").agg(t.alias("t")).join(reps.select("rid", "n", "sig"), "rid")
+    shared = tokens.join(df, "h").groupBy("rid").agg(t.alias("t"), F.sum(F.log2("df")).alias("common")).join(reps.select("rid", "n", "sig"), "rid")
     need = _least(F.col("n"))
     within = [_count_within(a, b) for a, b in zip(PIVOTS, [*PIVOTS[1:], 2**31 - 1], strict=True)]
-    ordered = checkpoint(shared.where(F.size("t") >= need).select("rid", "n", "sig", F.transform("t", lambda x: x["h"]).alias("hs"), F.array(*within).alias("sizes")))
+    ordered = checkpoint(shared.where(F.size("t") >= need).select("rid", "n", "sig", (F.col("common") / F.col("n")).alias("weight"), F.transform("t", lambda x: x["h"]).alias("hs"), F.array(*within).alias("sizes")))
+    del tokens, df, shared, reps
+    release(spark)
+    nothing = spark.createDataFrame([], "node binary, comp binary")
     if ordered.isEmpty():
-        return spark.createDataFrame([], "node long, comp long")
+        return nothing
     # a posting knows how many shared shingles follow it: the overlap of a pair that meets here first can't be larger
     prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
-    postings = checkpoint(ordered.select("rid", "n", F.size("hs").alias("m"), F.posexplode(prefix).alias("pos", "h")).select("h", "rid", "n", (F.col("m") - F.col("pos")).alias("rest")))
+    postings = checkpoint(ordered.select("rid", "n", "weight", F.size("hs").alias("m"), F.posexplode(prefix).alias("pos", "h")).select("h", "rid", "n", "weight", (F.col("m") - F.col("pos")).alias("rest")))
 
     def may_link(n, rest, m, rest_m) -> Column:
         return F.least(F.col(rest), F.col(rest_m)) >= _needed(F.col(n), F.col(m))
@@ -126,8 +137,9 @@ def links_of(reps: DataFrame) -> DataFrame:
         lists = _mixed(postings, comp)
         found = None
         for seed in range(turn * CENTRES, (turn + 1) * CENTRES):
-            # the centre of a list: the member of its largest component with the least hash
-            centre = lists.where("comp = major").groupBy("h").agg(F.min_by(F.struct("rid", "n", "rest", "comp"), F.xxhash64("rid", F.lit(seed))).alias("c"))
+            # the centre of a list: of its largest component the member with the most common shingles, or with the least hash
+            order = F.xxhash64("rid", F.lit(seed)) if seed % CENTRES else F.struct(-F.col("weight"), F.xxhash64("rid", F.lit(seed)))
+            centre = lists.where("comp = major").groupBy("h").agg(F.min_by(F.struct("rid", "n", "rest", "comp"), order).alias("c"))
             near = lists.join(centre, "h").where(F.col("comp") != F.col("c.comp")).where(may_link("n", "rest", "c.n", "c.rest"))
             near = near.groupBy("rid", F.col("c.rid").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
             best = near.groupBy("rid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
@@ -142,27 +154,46 @@ def links_of(reps: DataFrame) -> DataFrame:
         release(spark)
 
     # all pairs across components. In each list the members of its largest component need no pairs among themselves
-    lists = _mixed(postings, comp)
-    other = lists.where("comp <> major").select("h", F.col("rid").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"), F.col("comp").alias("cx"))
-    every = lists.select("h", F.col("rid").alias("y"), F.col("n").alias("ny"), F.col("rest").alias("ry"), F.col("comp").alias("cy"), "major")
-    cross = other.join(every, "h").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y"))) & may_link("nx", "rx", "ny", "ry"))
+    lists = _mixed(postings, comp).join(ordered.select("rid", "sig"), "rid")
+    other = lists.where("comp <> major").select("h", F.col("rid").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"), F.col("comp").alias("cx"), F.col("sig").alias("gx"))
+    every = lists.select("h", F.col("rid").alias("y"), F.col("n").alias("ny"), F.col("rest").alias("ry"), F.col("comp").alias("cy"), F.col("sig").alias("gy"), "major")
+    across = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y")))
+    cross = other.join(every, "h").where(across & may_link("nx", "rx", "ny", "ry") & _possible("nx", "gx", "ny", "gy"))
     cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = checkpoint(_verified(cross, ordered))
     if more.isEmpty():
-        return spark.createDataFrame([], "node long, comp long") if comp is None else comp
+        return nothing if comp is None else comp
     return components(more if links is None else links.unionByName(more))
 
 
 def _mixed(postings: DataFrame, comp: DataFrame | None) -> DataFrame:
     """The postings of lists that hold several components, with their component and the list's largest one."""
-    own = F.lit(None).cast("long") if comp is None else F.col("comp")
+    own = F.lit(None).cast("binary") if comp is None else F.col("comp")
     named = postings if comp is None else postings.join(comp, F.col("rid") == F.col("node"), "left")
-    labelled = checkpoint(named.select("h", "rid", "n", "rest", F.coalesce(own, "rid").alias("comp")))
+    labelled = checkpoint(named.select("h", "rid", "n", "weight", "rest", F.coalesce(own, "rid").alias("comp")))
     per = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     major = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     return checkpoint(labelled.join(major, "h").drop("comps"))
 
 
+def _assigned(body: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(meta, ids): every row's doc_id, th, class gk (null without words) and n; each class's cnt, component_id and the
+    (doc_id, th) that stands for its component."""
+    marked = repeated_marks(body, _marks, n_buckets(total_bytes(body)), want_places=False, width=3)
+    meta = checkpoint(marked.select("doc_id", "th", F.col("payload").alias("gk"), F.col("n_marks").alias("n"), "n_hits"))
+    del marked
+    release(body.sparkSession)
+    classes = meta.where("n > 0").groupBy("gk").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count(F.lit(1)).alias("cnt"), F.max("n").alias("n"), F.max("n_hits").alias("n_hits"))
+    # a class of several documents shares every shingle; its own copies don't count as partners, the exact join sorts that out
+    going = classes.where(F.col("n_hits") >= _least(F.col("n"))).select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "gk")
+    texts = body.join(going, KEY).dropDuplicates(KEY)
+    # a doc_id may stand for several texts: classes go by their own name
+    comp = links_of(_sets(texts.select(F.col("gk").alias("doc_id"), "th", "text")))
+    joined = classes.select("gk", "rep", "cnt").join(comp, F.col("gk") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "gk"))
+    least = joined.groupBy("comp").agg(F.min("rep").alias("least"))
+    return meta, checkpoint(joined.join(least, "comp").select("gk", "cnt", F.col("least.doc_id").alias("component_id"), "least"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -172,26 +203,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     takes part as the smallest id and gives component_id null where it is the
     smallest reached. Empty input: no rows. Extra columns are ignored.
     """
-    body = documents(docs, text, key)
-    marked = repeated_marks(body, _marks, n_buckets(total_bytes(body)), want_places=False)
-    meta = checkpoint(marked.select("doc_id", "th", F.col("payload").alias("gk"), F.col("n_marks").alias("n"), "n_hits"))
-    classes = meta.where("n > 0").groupBy("gk").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count(F.lit(1)).alias("cnt"), F.max("n").alias("n"), F.max("n_hits").alias("n_hits"))
-    # a class of several documents shares every shingle; its own copies don't count as partners, the exact join sorts that out
-    going = classes.where(F.col("n_hits") >= _least(F.col("n"))).select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "gk")
-    texts = body.join(going, KEY).dropDuplicates(KEY)
-    # a doc_id may stand for several texts: classes are linked by a number of their own
-    numbered = texts.select(F.xxhash64("gk").alias("doc_id"), "th", "text")
-    comp = links_of(_sets(numbered))
-    named = classes.select("gk", F.col("rep.doc_id").alias("first"), F.xxhash64("gk").alias("rid"), "cnt")
-    joined = named.join(comp, F.col("rid") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "rid"))
-    least = joined.groupBy("comp").agg(F.min("first").alias("component_id"))
-    ids = checkpoint(joined.join(least, "comp").select("gk", "cnt", "component_id"))
+    meta, ids = _assigned(documents(docs, text, key))
     full = with_group_value(meta.where("n > 0").select("doc_id", "gk", "n"), ids, "gk", "cnt").select("doc_id", "n", "component_id")
     alone = meta.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.unionByName(alone).select(real_id("doc_id"), F.col("n").cast("long").alias("n_shingles"), real_id("component_id"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of docs, all columns, whose doc_id is the smallest of its component; rows without words all stay."""
-    kept = near_duplicates(docs, text, key).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept.select(F.col("doc_id").alias("_kept")), docs[key].eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of docs, all columns, for each component: of its smallest doc_id, and of that id's texts the one with the least hash.
+
+    Rows that are equal in doc_id and text are one document, of which one row
+    stays. Rows without words, or with a null text, belong to no component and all
+    stay. Columns may have any names. Empty input: no rows.
+    """
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text_, key_ = (F.col(f"c{docs.columns.index(c)}") for c in (text, key))
+    body = F.coalesce(text_.cast("string"), F.lit(""))
+    keyed = named.select("*", F.coalesce(key_.cast("long"), F.lit(NULL_ID)).alias("k_id"), F.xxhash64(body).alias("k_th"), body.rlike(r"[^ \t-\r]").alias("k_words"))
+    _, ids = _assigned(documents(docs, text, key))
+    kept = ids.select(F.col("least.doc_id").alias("k_id"), F.col("least.th").alias("k_th")).distinct()
+    one = keyed.where("k_words").dropDuplicates(["k_id", "k_th"]).join(kept, ["k_id", "k_th"], "left_semi")
+    return one.select(*named.columns).unionByName(keyed.where("not k_words").select(*named.columns)).toDF(*docs.columns)
