@@ -19,13 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import KEY, NULL_ID, documents, n_buckets, real_id, repeated_marks, total_bytes, unpack
+from .common import KEY, NULL_ID, documents, each, n_buckets, ordered, real_id, repeated_marks, total_bytes, unpack
 
 #: Bytes of a string that counts as a repeat, of an anchor's gram, and places in an anchor's window.
 LENGTH, GRAM, WINDOW = 400, 32, 256
-#: Windows that lie within one string: all their anchors must repeat.
-INSIDE = LENGTH - GRAM - WINDOW + 2
+#: Bytes of a repeated passage of over 50 words: 51 words of 5 bytes, or fewer of longer ones, and their blanks. From 287 on the anchors serve any length up to LENGTH.
+PASSAGE = 300
 #: Period of the cover, and a difference cover modulo it (fixed values).
 V = 32
 COVER = [0, 1, 2, 4, 8, 13, 18, 24]
@@ -49,8 +50,8 @@ def _meeting(start: int) -> np.ndarray:
     return both.argmax(axis=2) + start
 
 
-#: Where two suffixes meet the cover: within the first V bytes; so that DEPTH bytes reach LENGTH; so that they end V bytes before it at the earliest, and in it.
-MEET, MEET_LATE, MEET_LAST = _meeting(0), _meeting(LENGTH - DEPTH), _meeting(LENGTH - DEPTH - V + 1)
+#: Where two suffixes meet the cover: within the first V bytes; so that DEPTH bytes reach LENGTH; by length, so that they end V bytes before it at the earliest, and in it.
+MEET, MEET_LATE, MEET_LAST = _meeting(0), _meeting(LENGTH - DEPTH), {n: _meeting(n - DEPTH - V + 1) for n in (LENGTH, PASSAGE)}
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
@@ -88,22 +89,21 @@ def _anchor_runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return at, m[at], h, m
 
 
-def _marks(text: str) -> tuple[np.ndarray, bytes, None]:
+def _marks(text: str) -> np.ndarray:
     """The values of a text's runs. A value that two places within one run have is sent twice: periodic text repeats itself.
     Places WINDOW apart share no window but are seen by adjacent ones, whose equal minima are one run."""
-    data = text.encode()
-    if len(data) < LENGTH:
-        return np.empty(0, np.uint64), b"", None
-    _, values, h, m = _anchor_runs(data)
+    _, values, h, m = _anchor_runs(text.encode())
+    if not len(m):
+        return m
     edge = np.zeros(WINDOW - 1, np.uint64)
     at = np.flatnonzero(h == _slide(np.concatenate((edge, m, edge)), np.maximum))
     twice = (h[at[1:]] == h[at[:-1]]) & (at[1:] - at[:-1] <= WINDOW)
-    return np.concatenate((values, h[at[1:][twice]])), b"", None
+    return np.concatenate((values, h[at[1:][twice]]))
 
 
-def candidates(text: bytes, hits: np.ndarray) -> list[tuple[int, int, int]]:
-    """(anchor value, first start, end of starts) of the strings that may repeat, given the runs whose anchors do."""
-    n = len(text) - LENGTH + 1
+def candidates(text: bytes, hits: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int]]:
+    """(anchor value, first start, end of starts) of the strings of ``length`` bytes that may repeat, given the runs whose anchors do."""
+    n = len(text) - length + 1
     if n <= 0 or not len(hits):
         return []
     at, values, _, _ = _anchor_runs(text)
@@ -112,9 +112,10 @@ def candidates(text: bytes, hits: np.ndarray) -> list[tuple[int, int, int]]:
     bad = np.ones(len(at), bool)
     bad[hits] = False
     ends = np.r_[at[1:], total]
-    # a run of lone anchors spoils every string that sees it: starts in (at - INSIDE, end)
+    # a string sees this many windows; a run of lone anchors spoils every string that sees it
+    inside = length - GRAM - WINDOW + 2
     spoil = np.zeros(n + 1, np.int64)
-    np.add.at(spoil, np.clip(at[bad] - INSIDE + 1, 0, n), 1)
+    np.add.at(spoil, np.clip(at[bad] - inside + 1, 0, n), 1)
     np.add.at(spoil, np.clip(ends[bad], 0, n), -1)
     good = np.cumsum(spoil[:n]) == 0
     out = []
@@ -137,13 +138,9 @@ def _words(text: np.ndarray) -> np.ndarray:
 
 def _dense(*keys: np.ndarray) -> np.ndarray:
     """Ranks from 1 of the tuples of keys, equal for equal tuples."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
+    order, new = ordered(list(keys))
     out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new) + 1
+    out[order] = np.cumsum(new)
     return out
 
 
@@ -192,13 +189,8 @@ class SuffixSorter:
 
     def sort(self, starts: np.ndarray) -> np.ndarray:
         """The suffixes of one bucket in order: by V bytes, then by quicksort rounds on the sample ranks."""
-        keys = [self.word[starts + 8 * j] for j in range(V // 8)]
-        order = np.lexsort(keys[::-1])
+        order, new = ordered([self.word[starts + 8 * j] for j in range(V // 8)])
         starts = starts[order]
-        new = np.zeros(len(starts), bool)
-        for k in keys:
-            s = k[order]
-            new[1:] |= s[1:] != s[:-1]
         group = np.cumsum(new)
         open_ = np.arange(len(starts))  # places of the order that belong to ties
         while len(open_):
@@ -221,33 +213,39 @@ class SuffixSorter:
             open_ = open_[sign != 0]  # equal to the pivot: in place for good
         return starts
 
-    def equal(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether LENGTH bytes are equal: the first V, those that two sample ranks vouch for, and the last V."""
+    def equal(self, i: np.ndarray, j: np.ndarray, length: int = LENGTH) -> np.ndarray:
+        """Whether ``length`` bytes are equal: the first V, those that two sample ranks vouch for, and the last V."""
         same = np.ones(len(i), bool)
-        for k in (*range(0, V, 8), *range(LENGTH - V, LENGTH, 8)):
+        for k in (*range(0, V, 8), *range(length - V, length, 8)):
             same &= self.word[i + k] == self.word[j + k]
         r, s = i % V, j % V
-        for d in (MEET[r, s], MEET_LAST[r, s]):
+        for d in (MEET[r, s], MEET_LAST[length][r, s]):
             same &= self.rank_at[i + d] == self.rank_at[j + d]
         return same
 
 
-def repeats(pieces: list[bytes], starts: list[int], weight: list[int]) -> list[np.ndarray]:
-    """For each piece, whether each of its first ``starts`` suffixes repeats: LENGTH bytes equal to another suffix's,
-    or to those of a further copy of the piece itself (weight over 1)."""
+def repeats(pieces: list[bytes], starts: list[int], weight: list[int], lengths: tuple[int, ...] = (LENGTH,)) -> list[list[np.ndarray]]:
+    """For each length and piece, whether each of the piece's first ``starts`` suffixes repeats: that many bytes, all in
+    the piece, equal to another suffix's, or to those of a further copy of the piece itself (weight over 1)."""
     base = np.cumsum([0, *map(len, pieces)])
     sorter = SuffixSorter(b"".join(pieces))
     n = np.array(starts, np.int64)
     owner = np.repeat(np.arange(len(pieces)), n)
     at = base[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    flag = np.zeros(sorter.size + 1, bool)
-    flag[at] = np.array(weight)[owner] > 1
+    room = np.zeros(sorter.size + 1, np.int64)
+    room[at] = base[owner + 1] - at
+    copied = np.array(weight)[owner] > 1
+    flags = [np.zeros(sorter.size + 1, bool) for _ in lengths]
+    for flag, length in zip(flags, lengths, strict=True):
+        flag[at] = copied & (room[at] >= length)
     for bucket in sorter.buckets(at):
         order = sorter.sort(bucket)
-        same = sorter.equal(order[:-1], order[1:])
-        flag[order[:-1][same]] = True
-        flag[order[1:][same]] = True
-    return [flag[b : b + k] for b, k in zip(base, starts, strict=False)]
+        for flag, length in zip(flags, lengths, strict=True):
+            whole = order[room[order] >= length]  # in order still: equal ones stand side by side
+            same = sorter.equal(whole[:-1], whole[1:], length)
+            flag[whole[:-1][same]] = True
+            flag[whole[1:][same]] = True
+    return [[flag[b : b + k] for b, k in zip(base, starts, strict=False)] for flag in flags]
 
 
 def _runs(flags: np.ndarray) -> np.ndarray:
@@ -255,15 +253,17 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.r_[False, flags, False].astype(np.int8))).reshape(-1, 2)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, spans) with the spans [first, end) of bytes to remove; docs: doc_id, th, text.
+def repeated_spans(docs: DataFrame, lengths: tuple[int, ...] = (LENGTH,)) -> DataFrame:
+    """(doc_id, th, spans, spans1 ...) with the spans [first, end) that repeated strings of each length cover; docs: doc_id, th, text.
 
-    One plan without a cut, so that the shuffle of the texts to their anchors is
-    used again where the caller joins the texts to their spans.
+    Lengths of PASSAGE or LENGTH. One plan without a cut, so that the shuffle of the
+    texts to their anchors is used again where the caller joins the texts to their spans.
     """
     buckets = n_buckets(total_bytes(docs))
-    marked = repeated_marks(docs, _marks, buckets, want_places=True)
+    least = min(lengths)
+    marked = repeated_marks(docs, each(_marks), buckets, want_places=True)
     hits = marked.where("n_hits > 0").select("doc_id", "th", "hits").dropDuplicates(KEY)
+    fields = [("bucket", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("first", pa.int64()), ("piece", pa.binary()), ("size", pa.int64()), ("starts", pa.int64())]
 
     def cut(batches):
         """Pieces of text for the sorters; what repeats within the block is known at once."""
@@ -271,53 +271,55 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             rows = list(zip(batch["doc_id"].to_pylist(), batch["th"].to_pylist(), batch["text"], batch["hits"], strict=True))
             at = 0
             while at < len(rows):
-                pieces: dict[tuple[int, bytes], list] = {}
+                pieces: dict[tuple[int, bytes, int], list] = {}
                 size = 0
                 while at < len(rows) and size < (8 << 20):
                     doc_id, th, text, hit = rows[at]
                     data = text.as_py().encode()
                     size += len(data)
                     at += 1
-                    for value, a, z in candidates(data, unpack(hit)[0]):
-                        pieces.setdefault((value, data[a : z - 1 + LENGTH]), []).append((doc_id, th, a))
-                out = {"bucket": [], "kind": [], "doc_id": [], "th": [], "first": [], "piece": [], "weight": []}
-                for (value, piece), owners in pieces.items():
+                    for value, a, z in candidates(data, unpack(hit)[0], least):
+                        pieces.setdefault((value, data[a : z - 1 + LENGTH], z - a), []).append((doc_id, th, a))
+                out: dict[str, list] = {name: [] for name, _ in fields}
+
+                def put(*row):
+                    for column, x in zip(out.values(), row, strict=True):  # noqa: B023
+                        column.append(x)
+
+                for (value, piece, starts), owners in pieces.items():
                     alone = len(owners) == 1
                     for doc_id, th, a in owners:
                         # what is known already needs no meeting and goes to any bucket
-                        out["bucket"].append((value if alone else th) % buckets), out["kind"].append(0 if alone else 1)
-                        out["doc_id"].append(doc_id), out["th"].append(th), out["first"].append(a)
-                        out["piece"].append(piece if alone else None), out["weight"].append(len(piece) - LENGTH + 1)
+                        put((value if alone else th) % buckets, 0 if alone else 1, doc_id, th, a, piece if alone else None, len(piece), starts)
                     if not alone:  # a witness for other blocks
-                        out["bucket"].append(value % buckets), out["kind"].append(2)
-                        for k in ("doc_id", "th", "first"):
-                            out[k].append(None)
-                        out["piece"].append(piece), out["weight"].append(2)
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("first", pa.int64()), ("piece", pa.binary()), ("weight", pa.int64())]))
+                        put(value % buckets, 2, None, None, None, piece, len(piece), starts)
+                yield pa.RecordBatch.from_pydict(out, schema=pa.schema(fields))
 
     def sort(group: pa.Table) -> pa.Table:
-        distinct: dict[bytes, int] = {}
+        distinct: dict[tuple[bytes, int], int] = {}
         weight: list[int] = []
         owners, rows = [], []
-        for piece, kind, doc_id, th, first, n in zip(*(group[c].to_pylist() for c in ("piece", "kind", "doc_id", "th", "first", "weight")), strict=True):
+        for piece, kind, doc_id, th, first, size, starts in zip(*(group[c].to_pylist() for c in ("piece", "kind", "doc_id", "th", "first", "size", "starts")), strict=True):
             if kind == 1:
-                rows.append((doc_id, th, first, n))
+                rows += [(doc_id, th, first, min(starts, size - n + 1), n) for n in lengths if size >= n]
                 continue
-            k = distinct.setdefault(piece, len(distinct))
+            k = distinct.setdefault((piece, starts), len(distinct))
             if k == len(weight):
                 weight.append(0)
             weight[k] += 2 if kind == 2 else 1
             if kind == 0:
                 owners.append((k, doc_id, th, first))
-        pieces = list(distinct)
-        runs = [_runs(f) for f in repeats(pieces, [len(p) - LENGTH + 1 for p in pieces], weight)]
-        rows += [(doc_id, th, first + int(p), int(q - p)) for k, doc_id, th, first in owners for p, q in runs[k]]
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "th", "first", "starts"])
+        found = repeats([p for p, _ in distinct], [n for _, n in distinct], weight, lengths)
+        for n, flags in zip(lengths, found, strict=True):
+            runs = [_runs(f) for f in flags]
+            rows += [(doc_id, th, first + int(p), int(q - p), n) for k, doc_id, th, first in owners for p, q in runs[k]]
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "th", "first", "starts", "length"])
 
-    pieces = docs.join(hits, KEY).select(*KEY, "text", "hits").mapInArrow(cut, "bucket long, kind int, doc_id long, th long, first long, piece binary, weight long")
-    found = pieces.groupBy("bucket").applyInArrow(sort, "doc_id long, th long, first long, starts long")
-    return found.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("first", (F.col("first") + F.col("starts") + LENGTH - 1).alias("end")))).alias("spans"))
+    pieces = docs.join(hits, KEY).select(*KEY, "text", "hits").mapInArrow(cut, "bucket long, kind int, doc_id long, th long, first long, piece binary, size long, starts long")
+    found = pieces.groupBy("bucket").applyInArrow(sort, "doc_id long, th long, first long, starts long, length long")
+    span = F.struct("first", (F.col("first") + F.col("starts") + F.col("length") - 1).alias("end"))
+    return found.groupBy(*KEY).agg(*[F.array_sort(F.collect_set(F.when(F.col("length") == n, span))).alias(f"spans{i or ''}") for i, n in enumerate(lengths)])
 
 
 def merged(spans: list) -> np.ndarray:
@@ -330,62 +332,71 @@ def merged(spans: list) -> np.ndarray:
     return np.c_[s[new, 0], top[np.r_[new[1:] - 1, len(s) - 1]]]
 
 
+def _without(data: bytes, cut: np.ndarray) -> bytes:
+    edges = [0, *cut.ravel().tolist(), len(data)]
+    return b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, kept, n_bytes, n_removed, spans) of every row; kept holds the remaining bytes.
+    """(doc_id, kept, n_bytes, n_removed, spans, n_passage_bytes) of every row; kept holds the remaining bytes.
 
     Each byte covered by a 400-byte string that also starts anywhere else, in any
-    row, is removed; strings are judged on the input. A null text is empty; texts
-    of under 400 bytes stay. Rows that repeat a document make its strings repeat.
-    Empty input: no rows. Extra columns are ignored.
+    row, is removed; strings are judged on the input. n_passage_bytes counts the
+    bytes that repeated strings of PASSAGE bytes cover: passages of over 50 words
+    that may be too short to be removed. A null text is empty; texts of under 400
+    bytes stay. Rows that repeat a document make its strings repeat. Empty input:
+    no rows. Extra columns are ignored.
     """
     body = documents(docs, text, key)
-    spans = repeated_spans(body)
+    spans = repeated_spans(body, (LENGTH, PASSAGE))
 
     def run(batches):
         for batch in batches:
-            kept, n, gone, runs = [], [], [], []
-            for text_, spans_ in zip(batch["text"], batch["spans"].to_pylist(), strict=True):
+            kept, n, gone, runs, passages = [], [], [], [], []
+            for text_, spans_, more in zip(batch["text"], batch["spans"].to_pylist(), batch["spans1"].to_pylist(), strict=True):
                 data = text_.as_py().encode()
-                cut = merged(spans_ or [])
-                edges = [0, *cut.ravel().tolist(), len(data)]
-                kept.append(b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)))
+                cut, wide = merged(spans_ or []), merged(more or [])
+                kept.append(_without(data, cut))
                 n.append(len(data)), gone.append(len(data) - len(kept[-1]))
                 runs.append([{"first": int(a), "end": int(z)} for a, z in cut])
+                passages.append(int((wide[:, 1] - wide[:, 0]).sum()))
             kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, kind)], names=["doc_id", "th", "kept", "n_bytes", "n_removed", "spans"])
+            cols = [batch["doc_id"], batch["th"], pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, kind), pa.array(passages, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "th", "kept", "n_bytes", "n_removed", "spans", "n_passage_bytes"])
 
-    joined = body.join(spans, KEY, "left").select(*KEY, "text", "spans")
-    return joined.mapInArrow(run, "doc_id long, th long, kept binary, n_bytes long, n_removed long, spans array<struct<first:long,end:long>>").withColumn("doc_id", real_id("doc_id"))
+    joined = body.join(spans, KEY, "left").select(*KEY, "text", "spans", "spans1")
+    return joined.mapInArrow(run, "doc_id long, th long, kept binary, n_bytes long, n_removed long, spans array<struct<first:long,end:long>>, n_passage_bytes long").withColumn("doc_id", real_id("doc_id"))
 
 
-def cut_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, with the repeats cut out of ``text`` and n_chars (if there is one) set anew.
+def cut_documents(docs: DataFrame, length: int = PASSAGE) -> DataFrame:
+    """The rows of docs, all columns, with the repeats of ``length`` bytes cut out of ``text`` and n_chars (if there is one) set anew.
 
     Cases as in ``remove_repeats``. A character that is cut through goes as a
-    whole; a null text stays null.
+    whole; a null text stays null. Columns may have any names.
     """
-    spans = repeated_spans(documents(docs)).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("spans").alias("_spans"))
-    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_th": F.xxhash64(body)})
-    names = docs.columns
+    names, schema = docs.columns, docs.schema
+    spans = repeated_spans(documents(docs), (length,)).select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), F.col("spans").alias("k_spans"))
+    named = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_, text_ = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    keyed = named.select("*", F.coalesce(id_.cast("long"), F.lit(NULL_ID)).alias("k_id"), F.xxhash64(F.coalesce(text_.cast("string"), F.lit(""))).alias("k_th"))
+    place, counted = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
 
     def run(batches):
         for batch in batches:
             texts = []
-            for t, spans_ in zip(batch["text"].to_pylist(), batch["_spans"].to_pylist(), strict=True):
+            for t, spans_ in zip(batch[f"c{place}"].to_pylist(), batch["k_spans"].to_pylist(), strict=True):
                 if spans_ and t:
-                    data = t.encode()
-                    edges = [0, *merged(spans_).ravel().tolist(), len(data)]
-                    t = b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)).decode(errors="ignore")
+                    t = _without(t.encode(), merged(spans_)).decode(errors="ignore")
                 texts.append(t)
-            cols = {n: batch[n] for n in names}
-            cols["text"] = pa.array(texts, batch["text"].type)
-            if "n_chars" in cols:
-                cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(batch["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            cols = [batch[f"c{i}"] for i in range(len(names))]
+            cols[place] = pa.array(texts, cols[place].type)
+            if counted >= 0:
+                cols[counted] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(cols[counted].type)
+            yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(names))])
 
-    return keyed.join(spans, ["_id", "_th"], "left").mapInArrow(run, docs.schema)
+    out = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+    return keyed.join(spans, ["k_id", "k_th"], "left").mapInArrow(run, out).toDF(*names)
 
 
 def summary(kept: DataFrame) -> DataFrame:
-    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_passage_bytes")
