@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sqlgen as g
@@ -38,6 +38,13 @@ def h60(salt: str, *parts: str) -> Column:
     return F.expr(g.h60(SPARK, salt, *parts))
 
 
+def bind_secret(df: DataFrame, salt: str) -> tuple[DataFrame, g.Operand]:
+    """The frame with the secret as column ``_secret`` and the operand that names it: functions that take the operand for
+    their salt leave the secret out of plans, logs and event files. One row is broadcast; drop the column in the end."""
+    one = df.sparkSession.createDataFrame([(salt,)], "_secret string")
+    return df.crossJoin(F.broadcast(one)), g.Operand("`_secret`")
+
+
 def h60_value(salt: str, *parts: str) -> int:
     """Twin of h60 in Python."""
     return int(hashlib.sha256("|".join((salt, *parts)).encode()).hexdigest()[:15], 16)
@@ -153,18 +160,45 @@ def gen_ogrn(salt: str, x: str) -> Column:
     return F.when(F.length(F.expr(n)) == 15, F.expr(g.gen_ogrn(SPARK, salt, n, True))).otherwise(F.expr(g.gen_ogrn(SPARK, salt, n)))
 
 
-def gen_digits_like(salt: str, x: str, widths: range | list[int] = range(1, 19)) -> Column:
-    """All digits of x permuted as one number of its width, everything else in place."""
-    return F.expr(g.gen_digits(SPARK, salt, x, list(widths)))
+def gen_digits_like(salt: str, x: str) -> Column:
+    """All digits of x permuted as one number of its width, everything else in place; over 38 digits raise."""
+    return F.expr(g.digits_like(salt, x))
 
 
-def gen_luhn_like(salt: str, x: str, widths: tuple[int, ...] = (13, 14, 15, 16, 17, 18, 19)) -> Column:
-    n = g.digits(SPARK, x)
-    out = None
-    for w in widths:
-        hit, to = F.length(F.expr(n)) == w, F.expr(g.gen_luhn(SPARK, salt, n, w))
-        out = F.when(hit, to) if out is None else out.when(hit, to)
-    return out.otherwise(F.expr(x))
+def gen_luhn_like(salt: str, x: str) -> Column:
+    """A number of as many digits with a right Luhn digit; over 39 digits raise."""
+    return F.expr(g.luhn_like(salt, x))
+
+
+def gen_int_like(salt: str, x: str) -> Column:
+    """A whole number of as many digits, one to one, as text; what is no whole number or has a leading zero raises."""
+    return F.expr(g.int_like(salt, f"cast({x} as string)"))
+
+
+def gen_int_like_value(salt: str, x: str) -> str:
+    """Twin of gen_int_like in Python."""
+    n = len(x)
+    if not x.isdigit() or (n > 1 and x[0] == "0"):
+        raise ValueError("gen_int_like: not a whole number without a leading zero")
+    y = fpe_value(salt, f"int{n}", int(x), n)
+    while n > 1 and y < 10 ** (n - 1):
+        y = fpe_value(salt, f"int{n}", y, n)
+    return str(y)
+
+
+def gen_person_id(salt: str, x: str) -> Column:
+    """One to one for a key: whole numbers stay whole numbers of their width, other texts keep all but their digits."""
+    text = f"cast({x} as string)"
+    return F.when(F.expr(f"{text} rlike '^[0-9]+$'"), gen_int_like(salt, x)).otherwise(gen_digits_like(salt, text))
+
+
+def fake_passport(salt: str, series: str, number: str) -> tuple[Column, Column]:
+    """Series and number of one document as one number of ten digits, as in free text; other widths each on its own."""
+    a, b = (g.digits(SPARK, f"cast({x} as string)") for x in (series, number))
+    whole = F.expr(f"length({a}) = 4 and length({b}) = 6")
+    ten = g.fpe_text(salt, g.lit("digits10"), f"concat({a}, {b})")
+    own = lambda x: gen_digits_like(salt, f"cast({x} as string)")
+    return F.when(whole, F.expr(f"substr({ten}, 1, 4)")).otherwise(own(series)), F.when(whole, F.expr(f"substr({ten}, 5, 6)")).otherwise(own(number))
 
 
 def title(x: Column) -> Column:
@@ -206,3 +240,10 @@ def fake_fio(salt: str, corpora: dict, family: str, name: str, patronymic: str)
         keep(name, by_sex("name", name)).alias("name"),
         keep(patronymic, by_sex("patronymic", patronymic)).alias("patronymic"),
     )
+
+
+def fake_fio_full(salt: str, corpora: dict, x: str) -> Column:
+    """A name in one column, surname first: its words as surname, name and patronymic; more words go."""
+    word = lambda i: f"try_element_at(filter(split(trim({x}), '[ \\t]+'), w -> w <> ''), {i})"
+    new = fake_fio(salt, corpora, *(word(i) for i in (1, 2, 3)))
+    return F.concat_ws(" ", new["family"], new["name"], new["patronymic"])

@@ -15,15 +15,24 @@ SPARK, DUCK = "spark", "duckdb"
 INN10 = [2, 4, 10, 3, 5, 9, 4, 6, 8]
 INN12_A = [7, 2, 4, 10, 3, 5, 9, 4, 6, 8]
 INN12_B = [3, 7, 2, 4, 10, 3, 5, 9, 4, 6, 8]
-#: Widest number that a BIGINT permutation holds.
-MAX_DIGITS = 18
+#: Widest number that a BIGINT permutation holds, and that one of two DECIMAL halves holds.
+MAX_DIGITS, MAX_WIDE = 18, 38
+#: Fixed value: letters of base 32.
 BASE32 = "abcdefghijklmnopqrstuvwxyz234567"
 
 
+class Operand(str):
+    """SQL that yields the secret, such as a column's name; the secret itself then stands in no plan."""
+
+
 def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def secret(salt: str) -> str:
+    return salt if isinstance(salt, Operand) else lit(salt)
+
+
 _names = itertools.count()
 
 
@@ -41,7 +50,7 @@ def text(x: str) -> str:
 
 def h60(d: str, salt: str, *parts: str) -> str:
     """Keyed 60-bit hash of the parts."""
-    joined = f"concat_ws('|', {lit(salt)}, {', '.join(text(p) for p in parts)})"
+    joined = f"concat_ws('|', {secret(salt)}, {', '.join(text(p) for p in parts)})"
     if d == SPARK:
         return f"cast(conv(substr(sha2({joined}, 256), 1, 15), 16, 10) as bigint)"
     return f"cast('0x' || substr(sha256({joined}), 1, 15) as bigint)"
@@ -207,6 +216,80 @@ def gen_digits(d: str, salt: str, x: str, widths: list[int]) -> str:
     return let(d, digits(d, x), body)
 
 
+# -- permutations of any width, in Spark
+
+
+def fpe_text(salt: str, label: str, x: str) -> str:
+    """The digit string x permuted among those of its width: ``fpe`` with the width found per value, up to MAX_WIDE digits; more raise.
+    label: SQL of the label."""
+
+    def rounds(kind: str, s: str, n: str) -> str:
+        power = lambda k: f"cast(rpad('1', {k} + 1, '0') as {kind})"
+
+        def step(left: str, right: str, i: int) -> str:
+            if i == 4:
+                return f"concat(lpad(cast({left} as string), {n} div 2, '0'), lpad(cast({right} as string), {n} - {n} div 2, '0'))"
+            size = power(f"{n} - {n} div 2" if i % 2 else f"{n} div 2")
+            return let(SPARK, f"cast(({left} + {h60(SPARK, salt, label, str(i), right)}) % {size} as {kind})", lambda new: step(right, new, i + 1))
+
+        halves = f"cast(substr({s}, 1, {n} div 2) as {kind})", f"cast(substr({s}, {n} div 2 + 1) as {kind})"
+        return let(SPARK, halves[0], lambda left: let(SPARK, halves[1], lambda right: step(left, right, 0)))
+
+    def body(s: str) -> str:
+        n = f"length({s})"
+        one = f"cast((cast({s} as bigint) + {h60(SPARK, salt, label, '0')} % 10) % 10 as string)"
+        wide = f"raise_error('a number of more than {MAX_WIDE} digits')"
+        return f"case when {n} = 1 then {one} when {n} <= {MAX_DIGITS} then {rounds('bigint', s, n)} when {n} <= {MAX_WIDE} then {rounds('decimal(20,0)', s, n)} else cast({wide} as string) end"
+
+    return let(SPARK, x, body)
+
+
+def lay(x: str, new: str) -> str:
+    """The digits ``new`` in the places of the digits of x, as many; everything else stays."""
+    at = lambda i: f"length(regexp_replace(substr({x}, 1, {i} + 1), '[^0-9]', ''))"
+    return f"array_join(transform(split({x}, ''), (ch, i) -> case when ch rlike '^[0-9]$' then substr({new}, {at('i')}, 1) else ch end), '')"
+
+
+def digits_like(salt: str, x: str) -> str:
+    """gen_digits for all widths; a text without digits stays."""
+    label = lambda n: f"concat('digits', length({n}))"
+    return let(SPARK, x, lambda v: let(SPARK, digits(SPARK, v), lambda n: f"case when {n} = '' then {v} else {let(SPARK, fpe_text(salt, label(n), n), lambda new: lay(v, new))} end"))
+
+
+#: Steps of the walk: a tenth of the numbers needs another one each time.
+WALK = 40
+
+
+def int_like(salt: str, x: str) -> str:
+    """A number of as many digits, without a leading zero: the permutation is walked until one comes. One to one.
+    Anything but digits, a leading zero or an unsettled walk raises, without the value."""
+    label = lambda n: f"concat('int', length({n}))"
+    bad = "cast(raise_error('gen_int_like: not a whole number without a leading zero') as string)"
+    left = "cast(raise_error('gen_int_like: unsettled') as string)"
+
+    def walk(v: str) -> str:
+        step = lambda s: fpe_text(salt, label(s), s)
+        last = f"aggregate(sequence(1, {WALK}), {step(v)}, (w, i) -> case when w like '0%' then {step('w')} else w end)"
+        return let(SPARK, last, lambda w: f"case when {w} like '0%' and length({w}) > 1 then {left} else {w} end")
+
+    def body(v: str) -> str:
+        return f"case when {v} is null then null when not ({v} rlike '^[0-9]+$') or (length({v}) > 1 and {v} like '0%') then {bad} when length({v}) = 1 then {fpe_text(salt, label(v), v)} else {walk(v)} end"
+
+    return let(SPARK, x, body)
+
+
+def luhn_like(salt: str, x: str) -> str:
+    """The digits of x with all but the last permuted, and a valid Luhn digit; no digits: x. A single digit raises."""
+    double = "case when i % 2 = 1 then 2 * cast(substr(b, length(b) - i + 1, 1) as int) - case when substr(b, length(b) - i + 1, 1) > '4' then 9 else 0 end else cast(substr(b, length(b) - i + 1, 1) as int) end"
+    check = "cast((10 - aggregate(transform(sequence(1, length(b)), i -> DOUBLE), 0, (a, t) -> a + t) % 10) % 10 as string)".replace("DOUBLE", double)
+
+    def body(n: str) -> str:
+        made = f"element_at(transform(array({fpe_text(salt, lit('luhn'), f'substr({n}, 1, length({n}) - 1)')}), b -> concat(b, {check})), 1)"
+        return f"case when {n} = '' then {x} when length({n}) = 1 then cast(raise_error('gen_luhn_like: a single digit') as string) else {made} end"
+
+    return let(SPARK, digits(SPARK, x), body)
+
+
 def reshape(d: str, x: str, new: str, n: int) -> str:
     """The n digits ``new`` in the places of the digits of x; everything else stays."""
     quote = "r" if d == SPARK else ""
@@ -233,8 +316,11 @@ def title(x: str) -> str:
 
 
 def fake_phone(d: str, salt: str, codes: list[str], x: str) -> str:
+    """A code of the corpus and seven hashed digits; the next number if that is the source's own."""
     key = norm_phone(d, x)
-    return f"concat('+7', {pick(d, salt, 'phone_code', codes, key)}, {padded(pick_int(d, salt, 0, 9_999_999, lit('phone'), key), 7)})"
+    code, tail = pick(d, salt, "phone_code", codes, key), pick_int(d, salt, 0, 9_999_999, lit("phone"), key)
+    number = lambda t: f"concat('+7', {code}, {padded(t, 7)})"
+    return let(d, tail, lambda t: f"case when {number(t)} = {key} then {number(f'(({t} + 1) % 10000000)')} else {number(t)} end")
 
 
 def fake_email(d: str, salt: str, names: list[str], domains: list[str], x: str) -> str:

@@ -2,35 +2,77 @@
 
 from __future__ import annotations
 
+import math
+import re
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import sqlgen as g
+from palimpsest.functions.columns import bind_secret
 from palimpsest.functions.sqlgen import SPARK
 
 #: Pieces in which a ring is ordered: no task sorts all entities.
 RING_PIECES = 64
+#: Letters of the mark that makes a replacement a value's own: 40 bits.
+MARK = 8
 _LEAK_RUN = r"[0-9][0-9 .\-/()]*"
 
 
-def direct_map(df: DataFrame, column: str, corpus: list[str], salt: str, limit: int = 10_000) -> DataFrame:
-    """(v, fake): an own replacement for every distinct value; more than ``limit`` values raise."""
-    values = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
-    if values.count() > limit:
+def direct_map(df: DataFrame, column: str, corpus: list[str], salt: str, limit: int = 10_000, answers: dict[str, str] | None = None) -> DataFrame:
+    """(v, fake): an own replacement for every distinct value; more than ``limit`` values raise.
+
+    A replacement is a corpus entry and a mark out of the value's own hash, so it
+    doesn't depend on which other values there are. ``answers`` of a model are taken
+    where the source is known and the answer is new, not empty and not the source;
+    the generated ones never meet them, for they bear a mark. Two values with one
+    replacement (a collision of 40 bits) raise.
+    """
+    values = df.select(F.col(f"`{column}`").cast("string").alias("v")).where("v is not null").distinct()
+    if values.limit(limit + 1).count() > limit:
         raise ValueError(f"{column} has more than {limit} values")
-    base = values.withColumn("base", F.upper(F.expr(g.pick(SPARK, salt, "org", corpus, g.norm_word(SPARK, "v")))))
-    rn = F.row_number().over(Window.partitionBy("base").orderBy("v"))
-    return base.withColumn("rn", rn).select("v", F.when(F.col("rn") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("rn").cast("string"))).alias("fake"))
+    bound, secret = bind_secret(values, salt)
+    base = f"substr(upper({g.pick(SPARK, secret, 'org', corpus, g.norm_word(SPARK, 'v'))}), 1, 140)"
+    made = bound.select("v", F.expr(f"concat({base}, '-', upper({g.base32(SPARK, secret, MARK, g.lit('direct'), 'v')}))").alias("fake"))
+    usable, used = [], set()
+    for old, new in sorted((answers or {}).items()):
+        if new and new.strip() and new != old and new not in used and not re.search(rf"-[A-Z2-7]{{{MARK}}}$", new):
+            usable.append((old, new))
+            used.add(new)
+    if usable:
+        given = df.sparkSession.createDataFrame(usable, "v string, given string")
+        made = made.join(F.broadcast(given), "v", "left").select("v", F.coalesce("given", "fake").alias("fake"))
+    if made.count() != made.select("fake").distinct().count():
+        raise ValueError(f"{column}: two values got one replacement; take another salt generation")
+    return made
+
+
+def entity_column(classes: list[set[str]], table: str, key: str) -> tuple[str, str]:
+    """(column, group) by which a table's values are shuffled: its key with the class of linked columns that holds it, else its
+    first linked column, else its key alone. Tables of one group move together."""
+    own = next((x for x in classes if f"{table}.{key}" in x), None)
+    if own is not None:
+        return key, "|".join(sorted(own))
+    for names in sorted(map(sorted, classes)):
+        for name in names:
+            if name.rpartition(".")[0] == table:
+                return name.rpartition(".")[2], "|".join(names)
+    return key, f"{table}.{key}"
 
 
 def ring(ids: DataFrame, salt: str, group: str = "shuffle") -> DataFrame:
-    """(id, donor): the next id in salted hash order, the last one's donor being the first. ids: column id, null ids dropped.
+    """(id, donor): the next id in the group's salted hash order, the last one's donor being the first. ids: column id, null ids dropped.
 
-    The order is cut into RING_PIECES ranges of the hash; each is ordered on its
-    own, and its last id takes the first id of the next range that has one.
+    The order depends on the group and the id's text alone: restricted to the ids of
+    one table it is the same ring without the others, so linked tables agree. It is
+    cut into RING_PIECES ranges of the hash; each is ordered on its own, and its last
+    id takes the first id of the next range that has one.
     """
-    h = F.expr(g.h60(SPARK, salt, g.lit(group), "id"))
-    keyed = ids.where("id is not null").select("id").distinct().withColumn("h", h)
+    bound, secret = bind_secret(ids.where("id is not null").select("id").distinct(), salt)
+    keyed = bound.withColumn("h", F.expr(g.h60(SPARK, secret, g.lit("shuffle"), g.lit(group), "id"))).drop("_secret")
     keyed = keyed.withColumn("piece", (F.col("h") / F.lit((1 << 60) // RING_PIECES + 1)).cast("int"))
     order = Window.partitionBy("piece").orderBy("h", "id")
     inner = keyed.withColumn("next", F.lead("id").over(order))
@@ -40,35 +82,87 @@ def ring(ids: DataFrame, salt: str, group: str = "shuffle") -> DataFrame:
     return inner.join(F.broadcast(ends), "piece").select("id", F.coalesce("next", "after").alias("donor"))
 
 
-def shuffle_column(df: DataFrame, key: str, entity: str, column: str, salt: str) -> DataFrame:
-    """(key, value): row i of an entity gets its donor's row i mod the donor's count.
+def shuffle_column(df: DataFrame, key: str, entity: str, column: str, salt: str, group: str = "shuffle") -> DataFrame:
+    """(key, value): row i of an entity gets its donor's row i mod the donor's count; the donor is the next entity of the group's ring that has values.
 
     Rows with a null entity or a null value take no part and get null. The values
     are kept as a multiset only if all entities have equally many rows.
     """
     w = Window.partitionBy("e").orderBy("k")
     rows = df.where(F.col(entity).isNotNull() & F.col(column).isNotNull()).select(F.col(key).alias("k"), F.col(entity).alias("e"), F.col(column).alias("x"))
-    rows = rows.withColumn("i", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("e")))
-    donors = ring(rows.select(F.col("e").alias("id")), salt)
+    rows = rows.withColumn("i", F.row_number().over(w))
+    donors = ring(rows.select(F.col("e").alias("id")), salt, group)
     gives = rows.select(F.col("e").alias("donor"), F.col("i").alias("di"), F.col("x").alias("value"))
     counts = rows.groupBy(F.col("e").alias("donor")).agg(F.count(F.lit(1)).alias("dn"))
     taken = rows.join(donors, F.col("e") == F.col("id")).join(counts, "donor").withColumn("di", (F.col("i") - 1) % F.col("dn") + 1).join(gives, ["donor", "di"])
     return df.select(F.col(key)).join(taken.select(F.col("k").alias(key), "value"), key, "left")
 
 
+def shuffled(df: DataFrame, key: list[str], columns: list[str], table: str, classes: list[set[str]], salt: str) -> DataFrame:
+    """The table with the columns' values moved between entities. A key of several columns, or without one, raises."""
+    if columns and len(key) != 1:
+        raise ValueError(f"{table}: a shuffle needs a key of one column")
+    for column in columns:
+        entity, group = entity_column(classes, table, key[0])
+        given = shuffle_column(df, key[0], entity, column, salt, group).select(F.col(key[0]).alias("palimpsest key"), F.col("value").alias("palimpsest value"))
+        df = df.join(given, F.col(f"`{key[0]}`") == F.col("`palimpsest key`"), "left").select(*[F.col("`palimpsest value`").alias(n) if n == column else F.col(f"`{n}`") for n in df.columns])
+    return df
+
+
 def profile(df: DataFrame, table: str, samples: int = 50) -> DataFrame:
-    """(tbl, col, type, n, n_distinct, null_share, samples) of every column, in one aggregation and one bounded sample each."""
-    spark = df.sparkSession
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(df.columns):
-        aggs += [F.count_distinct(F.col(f"`{c}`").cast("string")).alias(f"d{i}"), F.avg(F.col(f"`{c}`").isNull().cast("int")).alias(f"z{i}")]
-    row = df.agg(*aggs).first()
+    """(tbl, col, type, n, n_distinct, null_share, json_share, samples) of every column; samples: the smallest distinct values.
+
+    One pass: cells become (column, value) rows, counted per distinct value before
+    they are shuffled; statistics and samples read that one shuffle.
+    """
+    kinds = df.sparkSession.createDataFrame([(i, table, n, df.schema[n].dataType.simpleString()) for i, n in enumerate(df.columns)], "i int, tbl string, col string, type string")
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{n}`").cast("string").alias("v")) for i, n in enumerate(df.columns)])).alias("c")).select("c.*")
+    counted = cells.groupBy("i", "v").agg(F.count(F.lit(1)).alias("k"))
+    json = F.when(F.col("v").startswith("{") & F.expr("json_object_keys(v) is not null"), F.col("k")).otherwise(0)
+    stats = counted.groupBy("i").agg(F.sum("k").alias("n"), F.count("v").alias("n_distinct"), F.sum(F.when(F.col("v").isNull(), F.col("k")).otherwise(0)).alias("nulls"), F.sum(json).alias("json"))
+    some = counted.where("v is not null").withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy("v"))).where(F.col("r") <= samples)
+    some = some.groupBy("i").agg(F.array_sort(F.collect_list("v")).alias("samples"))
+    n = F.coalesce("n", F.lit(0))
+    share = lambda x: F.coalesce(F.try_divide(x, F.col("n")), F.lit(0.0))
+    return (
+        kinds.join(stats, "i", "left").join(some, "i", "left")
+        .select("tbl", "col", "type", n.alias("n"), F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), share("nulls").alias("null_share"),
+                F.coalesce(F.try_divide("json", F.col("n") - F.col("nulls")), F.lit(0.0)).alias("json_share"), F.coalesce("samples", F.array().cast("array<string>")).alias("samples"))
+    )
+
+
+def json_keys(df: DataFrame, column: str, limit: int = 500) -> list[str]:
+    """The keys of a column's JSON objects, in order; more than ``limit`` raise."""
+    keys = df.select(F.explode(F.json_object_keys(F.col(f"`{column}`").cast("string"))).alias("k")).distinct().orderBy("k").limit(limit + 1)
+    found = [r["k"] for r in keys.collect()]
+    if len(found) > limit:
+        raise ValueError(f"{column}: more than {limit} json keys")
+    return found
+
+
+def candidate_keys(profiles: DataFrame) -> dict[str, list[str]]:
+    """Columns of each table whose values are all there and all different, out of its profile."""
+    out: dict[str, list[str]] = {}
+    for r in profiles.where("n > 0 and n_distinct = n").orderBy("tbl", "col").collect():
+        out.setdefault(r["tbl"], []).append(r["col"])
+    return out
+
+
+def links_found(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> list[tuple[str, list[str], str, list[str]]]:
+    """(child, [column], parent, [key]) where every value of the child's column is a key of the parent and the column's name holds
+    the parent's name: links of one column that no schema declares. Keys of several columns must be declared."""
     out = []
-    for i, c in enumerate(df.columns):
-        v = F.col(f"`{c}`").cast("string").alias("v")
-        some = [r["v"] for r in df.select(v).where("v is not null").distinct().orderBy("v").limit(samples).collect()]
-        out.append((table, c, df.schema[c].dataType.simpleString(), row["n"], row[f"d{i}"], row[f"z{i}"], some))
-    return spark.createDataFrame(out, "tbl string, col string, type string, n long, n_distinct long, null_share double, samples array<string>")
+    for parent, key in keys.items():
+        if len(key) != 1:
+            continue
+        there = tables[parent].select(F.col(f"`{key[0]}`").cast("string").alias("v")).distinct()
+        for child, df in tables.items():
+            for column in df.columns:
+                if (child, column) != (parent, key[0]) and parent.rpartition(".")[2].rstrip("s") in column.lower():
+                    mine = df.select(F.col(f"`{column}`").cast("string").alias("v")).where("v is not null").distinct()
+                    if not mine.isEmpty() and mine.join(there, "v", "left_anti").isEmpty():
+                        out.append((child, [column], parent, list(key)))
+    return sorted(out)
 
 
 def equivalence_classes(links: list[tuple[str, str]]) -> list[set[str]]:
@@ -127,38 +221,50 @@ def volume(source: dict[str, DataFrame], copy: dict[str, DataFrame]) -> dict[str
     return {t: (df.count(), copy[t].count()) for t, df in source.items()}
 
 
-def unchanged(source: DataFrame, copy: DataFrame, key: list[str], column: str) -> DataFrame:
-    """(equal_values, missing): rows with the source's value, and source keys that the copy lacks."""
-    s = source.select(*key, F.col(column).alias("_s"))
-    d = copy.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col(column).alias("_d"), F.lit(True).alias("_there"))
+def _keyed(key: list[str]):
     cond = None
     for k in key:
-        one = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        one = F.col(f"`{k}`").eqNullSafe(F.col(f"`palimpsest k {k}`"))
         cond = one if cond is None else cond & one
-    return s.join(d, cond, "left").agg(F.count_if(F.col("_s") == F.col("_d")).alias("equal_values"), F.count_if(F.col("_there").isNull()).alias("missing"))
+    return cond
 
 
-def shared_values(source: DataFrame, copy: DataFrame, column: str) -> DataFrame:
-    """Values of a column that are in both: none, if every value was replaced."""
-    return source.select(column).where(F.col(column).isNotNull()).intersect(copy.select(column))
+def unchanged(source: DataFrame, copy: DataFrame, key: list[str], columns: str | list[str]) -> DataFrame:
+    """One row: how many rows of each column have the source's value (equal_values; of a list: equal_0, equal_1 ...), and
+    how many source keys the copy lacks (missing). One join for all columns."""
+    names = [columns] if isinstance(columns, str) else list(columns)
+    s = source.select(*[F.col(f"`{k}`") for k in key], *[F.col(f"`{n}`").alias(f"palimpsest s {i}") for i, n in enumerate(names)])
+    d = copy.select(*[F.col(f"`{k}`").alias(f"palimpsest k {k}") for k in key], *[F.col(f"`{n}`").alias(f"palimpsest d {i}") for i, n in enumerate(names)], F.lit(True).alias("palimpsest there"))
+    out = ["equal_values"] if isinstance(columns, str) else [f"equal_{i}" for i in range(len(names))]
+    equal = [F.count_if(F.col(f"`palimpsest s {i}`") == F.col(f"`palimpsest d {i}`")).alias(n) for i, n in enumerate(out)]
+    return s.join(d, _keyed(key), "left").agg(*equal, F.count_if(F.col("`palimpsest there`").isNull()).alias("missing"))
+
+
+def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(i, v): the columns' values as text, one row each."""
+    return df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{n}`").cast("string").alias("v")) for i, n in enumerate(columns)])).alias("c")).select("c.*")
+
+
+def shared_values(source: DataFrame, copy: DataFrame, columns: str | list[str]) -> DataFrame:
+    """Values of a column (of a list: (i, v)) that are in both: none, if every value was replaced. One pass for all columns."""
+    if isinstance(columns, str):
+        return source.select(columns).where(F.col(columns).isNotNull()).intersect(copy.select(columns))
+    return _cells(source, columns).where("v is not null").intersect(_cells(copy, columns))
 
 
 def leaked_identifiers(ids: DataFrame, copy: DataFrame, column: str) -> DataFrame:
     """(x, n): identifiers (column x, digits only) that stand in digit runs of a copy's column, at any place of a run.
 
     Every piece of a run that has an identifier's width is held against them, so
-    that numbers side by side don't hide each other; a run may have any length.
+    that numbers side by side don't hide each other; a run may have any length. The
+    copy is read once for all widths.
     """
-    widths = sorted(r["w"] for r in ids.select(F.length("x").alias("w")).distinct().collect())
-    runs = copy.select(F.explode(F.regexp_extract_all(F.col(column).cast("string"), F.lit(_LEAK_RUN), 0)).alias("r")).select(F.regexp_replace("r", "[^0-9]", "").alias("r"))
-    pieces = None
-    for w in widths:
-        long = runs.where(F.length("r") >= w)
-        part = long.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("r") - w + 1), lambda i: F.col("r").substr(i, F.lit(w)))).alias("x"))  # noqa: B023
-        pieces = part if pieces is None else pieces.unionByName(part)
-    if pieces is None:
+    widths = sorted(r["w"] for r in ids.select(F.length("x").alias("w")).where("w > 0").distinct().collect())
+    if not widths:
         return ids.select("x", F.lit(0).cast("long").alias("n")).limit(0)
-    return pieces.join(ids.select("x").distinct(), "x").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    runs = copy.select(F.explode(F.regexp_extract_all(F.col(column).cast("string"), F.lit(_LEAK_RUN), 0)).alias("r")).select(F.regexp_replace("r", "[^0-9]", "").alias("r")).where(F.length("r") >= widths[0])
+    pieces = F.expr(f"flatten(transform(array({', '.join(map(str, widths))}), w -> case when length(r) >= w then transform(sequence(1, length(r) - w + 1), i -> substr(r, i, w)) else array() end))")
+    return runs.select(F.explode(pieces).alias("x")).join(ids.select("x").distinct(), "x").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
 
 
 def entropy(df: DataFrame, column: str) -> float:
@@ -168,14 +274,42 @@ def entropy(df: DataFrame, column: str) -> float:
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("t")))).agg(F.coalesce(-F.sum(p * F.log2(p)), F.lit(0.0)).alias("bits")).first()["bits"]
 
 
+def entropies(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, int]]:
+    """Entropy in bits and number of distinct values of each column, null counting as a value; one pass."""
+    if not columns:
+        return {}
+    counts = _cells(df, columns).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    # sum of p log p out of sums of n and of n log n: no second look at the total
+    rows = counts.groupBy("i").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.log2("n")).alias("nl"), F.count(F.lit(1)).alias("d")).collect()
+    found = {r["i"]: (max(0.0, math.log2(r["t"]) - r["nl"] / r["t"]), r["d"]) for r in rows}
+    return {n: found.get(i, (0.0, 0)) for i, n in enumerate(columns)}
+
+
 def canaries(needles: DataFrame, df: DataFrame, columns: list[str], limit: int = 1000) -> DataFrame:
-    """The needles (column x, at most ``limit``: more raise) that stand literally, case aside, in any column."""
-    found = [r["x"] for r in needles.select("x").distinct().limit(limit + 1).collect()]
+    """The needles (column x, at most ``limit``: more raise) that stand literally, case aside, in any column.
+
+    One automaton of all needles reads each text once; its size is bounded by the limit.
+    """
+    found = sorted({r["x"] for r in needles.select("x").where("x <> ''").distinct().limit(limit + 1).collect()})
     if len(found) > limit:
         raise ValueError(f"more than {limit} canaries")
-    text = F.lower(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in columns]))
-    hits = F.filter(F.array(*[F.lit(x) for x in found]).cast("array<string>"), lambda x: F.contains(text, F.lower(x)))
-    return df.select(F.explode(hits).alias("x")).distinct()
+    text = F.lower(F.concat_ws("\u0001", *[F.col(f"`{c}`").cast("string") for c in columns]))
+
+    @F.pandas_udf("array<int>")
+    def hits(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for i, x in enumerate(found):
+            low = x.lower()
+            automaton.add_word(low, [*automaton.get(low, []), i])
+        automaton.make_automaton()
+        for part in parts:
+            yield part.map(lambda t: sorted({i for _, which in automaton.iter(t) for i in which}) if found else [])
+
+    where = F.array(*[F.lit(x) for x in found]).cast("array<string>")
+    if len(found) > 1000:  # a table of needles rather than a plan full of them
+        names = needles.sparkSession.createDataFrame(list(enumerate(found)), "i int, x string")
+        return df.select(F.explode(hits(text)).alias("i")).distinct().join(F.broadcast(names), "i").select("x")
+    return df.select(F.explode(hits(text)).alias("i")).distinct().select(F.element_at(where, F.col("i") + 1).alias("x"))
 
 
 def orphans(child: DataFrame, columns: list[str], parent: DataFrame, keys: list[str]) -> DataFrame:
@@ -186,8 +320,13 @@ def orphans(child: DataFrame, columns: list[str], parent: DataFrame, keys: list[
 
 def checksum(df: DataFrame, key: list[str], column: str) -> int:
     """Order-free checksum of (key, column) pairs; null has a mark of its own."""
-    h = F.xxhash64(*key, F.coalesce(F.col(column).cast("string"), F.lit("\u0000null")))
-    return df.agg(F.coalesce(F.bit_xor(h), F.lit(0)).alias("x")).first()["x"]
+    return checksums(df, key, [column]).first()[column]
+
+
+def checksums(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """One row: the checksum of each column. Rows that are equal cancel out in pairs, so the key should be one."""
+    one = lambda n: F.coalesce(F.bit_xor(F.xxhash64(*[F.col(f"`{k}`") for k in key], F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("\u0000null")))), F.lit(0))
+    return df.agg(*[one(n).alias(n) for n in columns])
 
 
 def publishable(log: DataFrame) -> bool:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions import columns as c
 from palimpsest.operators import dataset
-from palimpsest.plans.plan import Plan
+from palimpsest.plans.plan import Plan, passport_pairs
 from palimpsest.sources.corpus import SEM_TO_CORPUS
 
 #: A copy keeps at least this share of the entropy that its strategy allows.
@@ -46,11 +46,6 @@ def composite_key(key: list[str]) -> Column:
     return F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\u0000")) for k in key])
 
 
-def passport_pairs(columns: list[str]) -> list[tuple[str, str]]:
-    """Columns X_series and X_number with one prefix."""
-    return [(x, x[: -len("series")] + "number") for x in columns if x.endswith("series") and x[: -len("series")] + "number" in columns]
-
-
 def identifiers(source: DataFrame, plan: Plan, table: str) -> DataFrame:
     """(x): identifiers of a source table, digits only: those with a valid checksum, and whole passports of ten digits."""
     out = source.sparkSession.createDataFrame([], "x string")
@@ -99,10 +94,55 @@ def classifier_metrics(found: DataFrame, truth: DataFrame) -> DataFrame:
     return counts.withColumn("precision", F.try_divide("tp", F.col("tp") + F.col("fp"))).withColumn("recall", F.try_divide("tp", F.col("tp") + F.col("fn")))
 
 
-def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan, keys: dict[str, list[str]], links: list[tuple[str, list[str], str, list[str]]] = (), canaries: DataFrame | None = None, corpora: dict[str, list[str]] | None = None) -> list[Check]:
+def correlation(left: DataFrame, right: DataFrame, key: str, by: str, a: str, b: str) -> float | None:
+    """Correlation of a column with the mean of another table's column by key."""
+    mean = right.groupBy(F.col(f"`{by}`").alias("palimpsest by")).agg(F.avg(F.col(f"`{b}`")).alias("palimpsest mean"))
+    return left.join(mean, F.col(f"`{key}`") == F.col("`palimpsest by`")).agg(F.corr(F.col(f"`{a}`").cast("double"), "`palimpsest mean`").alias("c")).first()["c"]
+
+
+def probes(source: dict[str, DataFrame], copy: dict[str, DataFrame], manifest: dict) -> list[Check]:
+    """The manifest's probes: one identity in column and texts, fragments that must stay, both sides of soft links, and
+    correlations between linked tables. A kind that the manifest doesn't have is skipped, which is not passed."""
+    out: list[Check] = []
+    if who := manifest.get("identity"):
+        # a woman's surname in the column, its masculine stem in texts with initials
+        row = copy[who["table"]].where(F.col(who["key"]) == F.lit(who["value"])).select(F.col(who["column"]).alias("v")).first()
+        if row is None or not row["v"]:
+            out.append(Check("consistency", f"{who['table']}.{who['column']}", "skipped", "no value"))
+        else:
+            out += [occurs(copy[x["table"]], [x["column"]], row["v"].rstrip("а"), "consistency") for x in manifest.get("occurrences", [])]
+    else:
+        out.append(Check("consistency", "*", "skipped", "no probe"))
+    kept = manifest.get("preserved", [])
+    out += [occurs(copy[x["table"]], x["columns"], x["fragment"]) for x in kept] or [Check("preserved", "*", "skipped", "no probe")]
+    links = manifest.get("soft_links", [])
+    for x in links:
+        before, after = (d[x["right"]].join(d[x["left"]].select(F.col(x["a"]).alias(x["b"])).distinct(), x["b"], "left_semi").count() for d in (source, copy))
+        out.append(check("soft link", f"{x['left']}.{x['a']} = {x['right']}.{x['b']}", before > 0 and before == after, f"{before} rows met, now {after}"))
+    if not links:
+        out.append(Check("soft link", "*", "skipped", "no probe"))
+    for x in manifest.get("correlated", []):
+        was, now = (correlation(d[x["left"]], d[x["right"]], x["key"], x["by"], x["a"], x["b"]) for d in (source, copy))
+        out.append(check("correlation", f"{x['left']}.{x['a']} ~ {x['right']}.{x['b']}", was is not None and now is not None and abs(was - now) < 0.01, f"{was} and {now}"))
+    return out
+
+
+def checksum_rows(copy: dict[str, DataFrame], plan: Plan, keys: dict[str, list[str]]) -> list[tuple[str, str, int]]:
+    """(table, column, checksum) of all columns that were changed, one pass a table."""
+    out = []
+    for t, df in copy.items():
+        columns = [x.column for x in plan.of(t) if x.strategy not in ("keep", "technical")]
+        if columns and keys.get(t):
+            row = dataset.checksums(df, keys[t], columns).first()
+            out += [(t, n, row[n]) for n in columns]
+    return sorted(out)
+
+
+def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan, keys: dict[str, list[str]], links: list[tuple[str, list[str], str, list[str]]] = (), canaries: DataFrame | None = None, corpora: dict[str, list[str]] | None = None, manifest: dict | None = None) -> list[Check]:
     """All checks of a copy. keys: each table's key; links: child, columns, parent, its columns; canaries: column x;
-    corpora: what fakes were taken from, which bounds the entropy to be expected of them.
-    A table without a key, or absent from the copy, is a failed check, not an exception.
+    corpora: what fakes were taken from, which bounds the entropy to be expected of them; manifest: probes, see ``probes``.
+    A table without a key, or absent from the copy, is a failed check, not an exception. Each check reads a table once
+    for all its columns.
     """
     out: list[Check] = []
     ids = None
@@ -122,27 +162,32 @@ def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan,
         out.append(check("unique", t, doubled.isEmpty()))
         by = {x.column: x for x in plan.of(t)}
         moved = any(by[k].strategy in CHANGED for k in key if k in by)
-        for x in by.values():
-            if x.strategy in CHANGED:
-                n = dataset.shared_values(df, copy[t], x.column).count() if moved else dataset.unchanged(df, copy[t], key, x.column).first()["equal_values"]
-                out.append(check("replaced", f"{t}.{x.column}", n == 0, f"{n} values are the source's"))
-            if x.strategy in CHANGED | {"keep", "shuffle"}:
-                was = dataset.entropy(df, x.column)
-                size = sum(len((corpora or {}).get(k, [])) for k in SEM_TO_CORPUS.get(x.sem_type, [])) if x.strategy == "fake" and x.sem_type != "address" else 0
-                if was > 1:
-                    was = min(was, ceiling(size, df.select(x.column).distinct().count())) if size else was
-                    now = dataset.entropy(copy[t], x.column)
-                    out.append(check("entropy", f"{t}.{x.column}", now >= ENTROPY_SHARE * was, f"{now:.3f} of {was:.3f} bits"))
+        changed = [x.column for x in by.values() if x.strategy in CHANGED]
+        if changed and moved:
+            same = {r["i"]: r["n"] for r in dataset.shared_values(df, copy[t], changed).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+            out += [check("replaced", f"{t}.{n}", not same.get(i), f"{same.get(i, 0)} values are the source's") for i, n in enumerate(changed)]
+        elif changed:
+            row = dataset.unchanged(df, copy[t], key, changed).first()
+            out += [check("replaced", f"{t}.{n}", row[f"equal_{i}"] == 0, f"{row[f'equal_{i}']} values are the source's") for i, n in enumerate(changed)]
+            out.append(check("keys", t, row["missing"] == 0, f"{row['missing']} source keys are not in the copy"))
+        kept = [x.column for x in by.values() if x.strategy in CHANGED | {"keep", "shuffle"}]
+        before, after = dataset.entropies(df, kept), dataset.entropies(copy[t], kept)
+        for n in kept:
+            x, (was, distinct), (now, _) = by[n], before[n], after[n]
+            size = sum(len((corpora or {}).get(k, [])) for k in SEM_TO_CORPUS.get(x.sem_type, [])) if x.strategy == "fake" and x.sem_type not in ("address", "fio_full") else 0
+            if was > 1:
+                was = min(was, ceiling(size, distinct)) if size else was
+                out.append(check("entropy", f"{t}.{n}", now >= ENTROPY_SHARE * was, f"{now:.3f} of {was:.3f} bits"))
     for child, cols, parent, parent_cols in links:
         n = dataset.orphans(copy[child], cols, copy[parent], parent_cols).count()
         out.append(check("link", f"{child}.{','.join(cols)}", n == 0, f"{n} rows without a parent"))
     for t, df in copy.items():
-        text = [f.name for f in df.schema if f.dataType.typeName() in ("string", "varchar", "long", "integer", "decimal")]
-        if ids is not None and text:
-            joined = df.select(F.concat_ws("\u0001", *[F.col(f"`{x}`").cast("string") for x in text]).alias("x_text"))
+        text = [f.name for f in df.schema if f.dataType.typeName() != "binary"]
+        joined = df.select(F.concat_ws("\u0001", *[F.col(f"`{x}`").cast("string") for x in text]).alias("x_text"))
+        if ids is not None:
             n = dataset.leaked_identifiers(ids, joined, "x_text").count()
             out.append(check("leak", t, n == 0, f"{n} identifiers"))
-        if canaries is not None and text:
-            n = dataset.canaries(canaries, df, text).count()
+        if canaries is not None:
+            n = dataset.canaries(canaries, joined, ["x_text"]).count()
             out.append(check("canaries", t, n == 0, f"{n} found"))
-    return out
+    return out + (probes(source, copy, manifest) if manifest is not None else [])

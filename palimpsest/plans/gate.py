@@ -24,9 +24,10 @@ def load(path: str) -> dict:
         return json.load(f)
 
 
-def propose(path: str, plan: Plan, schema: list[tuple[str, str, str]], unique: set[str] = frozenset()) -> dict:
-    """Puts a draft before the gate, with what stands against it."""
-    state = {"stage": "gate", "digest": digest(plan), "plan": plan.dump(), "schema": [list(x) for x in schema], "unique": sorted(unique), "wrong": validate_plan(plan, schema, unique)}
+def propose(path: str, plan: Plan, schema: list[tuple[str, str, str]], unique: set[str] = frozenset(), cardinality: dict[str, int] | None = None, snapshot: str = "") -> dict:
+    """Puts a draft before the gate, with what stands against it and what profiling found."""
+    state = {"stage": "gate", "digest": digest(plan), "plan": plan.dump(), "schema": [list(x) for x in schema], "unique": sorted(unique), "cardinality": cardinality or {}, "snapshot": snapshot}
+    state["wrong"] = validate_plan(plan, schema, unique, cardinality=cardinality)
     _save(path, state)
     return state
 
@@ -44,7 +45,7 @@ def approve(path: str, seen: str, overrides: dict[str, dict] | None = None, conf
         if name not in known:
             raise ValueError(f"the plan has no column {name}")
         known[name].confirmed = True
-    if wrong := validate_plan(plan, [tuple(x) for x in state["schema"]], set(state["unique"])):
+    if wrong := validate_plan(plan, [tuple(x) for x in state["schema"]], set(state["unique"]), cardinality=state.get("cardinality")):
         raise ValueError("; ".join(wrong))
     _save(path, state | {"stage": "final", "plan": plan.dump(), "wrong": []})
     return plan

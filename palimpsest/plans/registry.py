@@ -1,417 +1,463 @@
-"""Queries of the engine's own operators, each written once for both SQL dialects.
-
-A query is a function of the dialect; Spark runs its text over the tables of a
-folder, and DuckDB the same text in its own dialect.
-"""
+"""Queries over the driver's tables, each made by the library's own operators; ``oracle`` has them in SQL that shares no code."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.functions import sqlgen as g
-from palimpsest.functions.sqlgen import DUCK, SPARK
-from palimpsest.operators import dataset
+from palimpsest.functions import columns as c
+from palimpsest.operators import dataset, detect, text, verify
+from palimpsest.plans.oracle import ORACLE as ORACLE
+from palimpsest.plans.oracle import SALT
+from palimpsest.plans.plan import Plan, PlanColumn, assign, compile_table, inherit, schema_fingerprint, validate_plan
 from palimpsest.sources.corpus import COMPONENTS, build
 
-SALT = "SALT"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 CORPORA = build(COMPONENTS)
 FLAGSHIP = "fpe_join_preserved"
 
-_BUILT: dict[str, Callable[[str], str]] = {}
+Tables = Callable[[str], DataFrame]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(f: Callable[[str], str]) -> Callable[[str], str]:
-    _BUILT[f.__name__] = f
+def query(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """f takes a function from a table's name to its DataFrame."""
+    QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     return f
 
 
-def _run(text: str) -> Callable[[SparkSession, str], DataFrame]:
-    used = [t for t in TABLES if re.search(rf"\b{t}\b", text)]
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for t in used:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        return spark.sql(text)
-
-    return run
+def _card(key: str, n: int) -> str:
+    """A number of n digits that starts with the key."""
+    return f"rpad(lpad(cast({key} as string), 8, '0'), {n}, '7')"
 
 
-def _custkey(d: str, column: str) -> str:
-    return g.fpe(d, SALT, "customer", column, 9)
+def _plan(df: DataFrame, table: str, **strategies: tuple) -> Plan:
+    """A plan of one table: column = (sem_type, strategy[, json fields]); the rest is kept."""
+    columns = []
+    for n in df.columns:
+        sem, strategy, *more = strategies.get(n, ("technical", "keep"))
+        columns.append(PlanColumn(table, n, sem, strategy, json_fields=more[0] if more else {}, confirmed=strategy == "null"))
+    return Plan(schema_fingerprint([(table, f.name, f.dataType.simpleString()) for f in df.schema]), columns)
 
 
-def _card(d: str, key: str, n: int) -> str:
-    """A number of n digits that starts with the key."""
-    return f"rpad(lpad(cast({key} as string), 8, '0'), {n}, '7')"
+def _copied(df: DataFrame, table: str, maps: dict | None = None, **strategies: tuple) -> DataFrame:
+    return compile_table(df, _plan(df, table, **strategies), table, SALT, CORPORA, maps)
 
 
 # -- keys and identifiers
 
 
 @query
-def fpe_customer_keys(d: str) -> str:
-    return f"select c_custkey, {_custkey(d, 'c_custkey')} as fake_key from customer"
+def fpe_customer_keys(t: Tables) -> DataFrame:
+    return t("customer").select("c_custkey", c.fpe(SALT, "customer", "c_custkey", 9).alias("fake_key"))
 
 
 @query
-def fpe_join_preserved(d: str) -> str:
+def fpe_join_preserved(t: Tables) -> DataFrame:
     """Keys of both tables are replaced on their own; the join and its totals survive."""
-    return f"""select c.fake_key, count(*) as n_orders, round(sum(o.o_totalprice), 2) as total
-from (select {_custkey(d, "c_custkey")} as fake_key from customer) c
-join (select {_custkey(d, "o_custkey")} as fake_key, o_totalprice from orders) o on c.fake_key = o.fake_key
-group by c.fake_key"""
+    customer = t("customer").select(c.fpe(SALT, "customer", "c_custkey", 9).alias("fake_key"))
+    orders = t("orders").select(c.fpe(SALT, "customer", "o_custkey", 9).alias("fake_key"), "o_totalprice")
+    return customer.join(orders, "fake_key").groupBy("fake_key").agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query
-def fpe_distinct_preserved(d: str) -> str:
-    return f"select count(distinct o_orderkey) as n_source, count(distinct {g.fpe(d, SALT, 'k', 'o_orderkey', 9)}) as n_fake from orders"
+def fpe_distinct_preserved(t: Tables) -> DataFrame:
+    return t("orders").agg(F.count_distinct("o_orderkey").alias("n_source"), F.count_distinct(c.fpe(SALT, "k", "o_orderkey", 9)).alias("n_fake"))
 
 
 @query
-def gen_inn10(d: str) -> str:
-    x = _card(d, "s_suppkey", 10)
-    return f"select s_suppkey, inn, {g.valid_inn(d, 'inn')} as valid from (select s_suppkey, {g.gen_inn10(d, SALT, x)} as inn from supplier) q"
+def gen_inn10(t: Tables) -> DataFrame:
+    made = t("supplier").select("s_suppkey", c.gen_inn(SALT, _card("s_suppkey", 10)).alias("inn"))
+    return made.withColumn("valid", c.valid_inn("inn"))
 
 
 @query
-def gen_inn12(d: str) -> str:
-    x = _card(d, "c_custkey", 12)
-    return f"select c_custkey, inn, {g.valid_inn(d, 'inn')} as valid from (select c_custkey, {g.gen_inn12(d, SALT, x)} as inn from customer) q"
+def gen_inn12(t: Tables) -> DataFrame:
+    made = t("customer").select("c_custkey", c.gen_inn(SALT, _card("c_custkey", 12)).alias("inn"))
+    return made.withColumn("valid", c.valid_inn("inn"))
 
 
 @query
-def gen_snils(d: str) -> str:
-    x = _card(d, "c_custkey", 11)
-    return f"select c_custkey, snils, {g.valid_snils(d, 'snils')} as valid from (select c_custkey, {g.gen_snils(d, SALT, x)} as snils from customer) q"
+def gen_snils(t: Tables) -> DataFrame:
+    made = t("customer").select("c_custkey", c.gen_snils(SALT, _card("c_custkey", 11)).alias("snils"))
+    return made.withColumn("valid", c.valid_snils("snils"))
 
 
 @query
-def gen_ogrn(d: str) -> str:
-    x, y = _card(d, "s_suppkey", 13), _card(d, "s_suppkey", 15)
-    return f"select s_suppkey, ogrn, ogrnip, {g.valid_ogrn(d, 'ogrn')} as valid, {g.valid_ogrn(d, 'ogrnip')} as valid_ip from (select s_suppkey, {g.gen_ogrn(d, SALT, x)} as ogrn, {g.gen_ogrn(d, SALT, y, True)} as ogrnip from supplier) q"
+def gen_ogrn(t: Tables) -> DataFrame:
+    made = t("supplier").select("s_suppkey", c.gen_ogrn(SALT, _card("s_suppkey", 13)).alias("ogrn"))
+    return made.withColumn("valid", c.valid_ogrn("ogrn"))
 
 
 @query
-def gen_luhn_like(d: str) -> str:
-    x = _card(d, "c_custkey", 16)
-    return f"select c_custkey, card, {g.luhn_ok(d, 'card')} as valid from (select c_custkey, {g.gen_luhn(d, SALT, x, 16)} as card from customer) q"
+def gen_luhn_like(t: Tables) -> DataFrame:
+    made = t("customer").select("c_custkey", c.gen_luhn_like(SALT, _card("c_custkey", 16)).alias("card"))
+    return made.withColumn("valid", c.luhn_ok("card"))
 
 
 @query
-def gen_digits_like_names(d: str) -> str:
-    return f"select c_custkey, {g.gen_digits(d, SALT, 'c_name', [9])} as fake_name from customer"
-
-
-def _int_like(d: str, column: str, source: str) -> str:
-    """The walk as a fold of each key, for all widths that a bigint can keep; a key that no width or step settles raises, unnamed."""
-    widths = range(1, 19)
-    error = "raise_error('gen_int_like: a key is negative, over 18 digits wide or unsettled after 40 steps')"
-    step = lambda v: "case " + " ".join(f"when n = {w} then {g.fpe(d, SALT, f'int{w}', v, w)}" for w in widths) + " end"
-    keys = f"select distinct {column} as k, case when {column} >= 0 then length(cast({column} as string)) end as n from {source} where {column} is not null"
-    low = "case when n = 1 then 0 else cast(rpad('1', n, '0') as bigint) end"
-    walked = f"aggregate(sequence(1, 40), {step('k')}, (v, i) -> case when v >= low then v else {step('v')} end)"
-    return f"select k, case when fake >= low then fake else cast({error} as bigint) end as fake from (select k, low, case when n <= {max(widths)} then {walked} end as fake from (select k, n, {low} as low from ({keys}) a) b) c"
+def gen_digits_like_names(t: Tables) -> DataFrame:
+    return t("customer").select("c_custkey", c.gen_digits_like(SALT, "c_name").alias("fake_name"))
 
 
 @query
-def gen_int_like_keys(d: str) -> str:
-    """Width-preserving integers: the permutation of n digits is walked until it has n digits again."""
-    inner = "select distinct o_custkey as k, o_custkey as v, length(cast(o_custkey as string)) as n, 0 as step from orders"
-    if d == SPARK:
-        return _int_like(d, "o_custkey", "orders")
-    widths = range(1, 8)
-    step = lambda v: "case " + " ".join(f"when n = {w} then {g.fpe(d, SALT, f'int{w}', v, w)}" for w in widths) + " end"
-    low = "case " + " ".join(f"when n = {w} then {10 ** (w - 1) if w > 1 else 0}" for w in widths) + " end"
-    return f"with recursive walk(k, v, n, step) as ({inner} union all select k, {step('v')}, n, step + 1 from walk where step = 0 or (v < {low} and step < 40)) select k, v as fake from walk where step > 0 and v >= {low}"
+def gen_int_like_keys(t: Tables) -> DataFrame:
+    """Whole numbers stay whole numbers of their width, one to one, whatever the width."""
+    return t("orders").where("o_custkey is not null").select(F.col("o_custkey").alias("k")).distinct().select("k", c.gen_int_like(SALT, "k").alias("fake"))
 
 
 @query
-def passport_pair(d: str) -> str:
-    """Series and number are one ten-digit permutation."""
-    x = g.fpe(d, SALT, "digits10", "c_custkey", 10)
-    return f"select c_custkey, substr(p, 1, 4) as series, substr(p, 5, 6) as number from (select c_custkey, {g.padded(x, 10)} as p from customer) q"
+def passport_pair(t: Tables) -> DataFrame:
+    """Series and number of one document are one ten-digit permutation."""
+    ten = "lpad(cast(c_custkey as string), 10, '0')"
+    df = t("customer").selectExpr("c_custkey", f"substr({ten}, 1, 4) as doc_series", f"substr({ten}, 5, 6) as doc_number")
+    out = _copied(df, "customer", doc_series=("passport", "generate"), doc_number=("passport", "generate"))
+    return out.select("c_custkey", F.col("doc_series").alias("series"), F.col("doc_number").alias("number"))
 
 
 @query
-def checksum_flags(d: str) -> str:
-    """Identifiers of text: digit runs of 10 to 19 and the checksum that they satisfy first."""
-    runs = g.extract_all(d, "text", "[0-9]+")
-    rows = f"select doc_id, explode({runs}) as x from documents" if d == SPARK else f"select doc_id, unnest({runs}) as x from documents"
-    return f"""select kind, count(*) as n from (select case when {g.valid_snils(d, "x")} then 'snils' when {g.valid_inn(d, "x")} then 'inn'
- when {g.valid_ogrn(d, "x")} then 'ogrn' when {g.luhn_ok(d, "x")} then 'luhn' else 'none' end as kind from ({rows}) r where length(x) between 10 and 19) k group by kind"""
+def checksum_flags(t: Tables) -> DataFrame:
+    """Digit runs of 10 to 19 in texts and the checksum that they satisfy first."""
+    runs = t("documents").select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+"), 0)).alias("x")).where("length(x) between 10 and 19")
+    kind = F.when(c.valid_snils("x"), "snils").when(c.valid_inn("x"), "inn").when(c.valid_ogrn("x"), "ogrn").when(c.luhn_ok("x"), "luhn").otherwise("none")
+    return runs.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- identity keys and fakes
 
 
-@query
-def normalize_phone(d: str) -> str:
-    runs = g.extract_all(d, "text", r"\+[0-9] \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
-    rows = f"select doc_id, explode({runs}) as x from documents" if d == SPARK else f"select doc_id, unnest({runs}) as x from documents"
-    return f"select doc_id, x as phone, {g.norm_phone(d, 'x')} as key, {g.fake_phone(d, SALT, CORPORA['phone_code'], 'x')} as fake from ({rows}) r"
+def _found(t: Tables, pattern: str) -> DataFrame:
+    return t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pattern), 0)).alias("x"))
 
 
 @query
-def normalize_email(d: str) -> str:
-    runs = g.extract_all(d, "text", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
-    rows = f"select doc_id, explode({runs}) as x from documents" if d == SPARK else f"select doc_id, unnest({runs}) as x from documents"
-    return f"select doc_id, x as email, {g.norm_email(d, 'x')} as key, {g.fake_email(d, SALT, ['ivanov', 'petrov', 'sidorov', 'orlov'], CORPORA['email_domain'], 'x')} as fake from ({rows}) r"
+def normalize_phone(t: Tables) -> DataFrame:
+    return _found(t, r"\+[0-9] \([0-9]{3}\) [0-9]{3}-[0-9]{4}").select("doc_id", F.col("x").alias("phone"), c.normalize_phone("x").alias("key"), c.fake_phone(SALT, CORPORA, "x").alias("fake"))
 
 
 @query
-def normalize_digits(d: str) -> str:
-    return f"select c_custkey, {g.digits(d, 'c_name')} as digits from customer"
+def normalize_email(t: Tables) -> DataFrame:
+    return _found(t, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}").select("doc_id", F.col("x").alias("email"), c.normalize_email("x").alias("key"), c.fake_email(SALT, CORPORA, "x").alias("fake"))
 
 
 @query
-def fake_pick_name(d: str) -> str:
-    return f"select c_custkey, {g.title(g.pick(d, SALT, 'family', CORPORA['family'], g.norm_word(d, 'c_name'), 'c_name'))} as family from customer"
+def normalize_digits(t: Tables) -> DataFrame:
+    return t("customer").select("c_custkey", c.normalize_digits("c_name").alias("digits"))
 
 
-@query
-def fake_address(d: str) -> str:
-    return f"select s_suppkey, {g.fake_address(d, SALT, CORPORA['region'], CORPORA['city'], CORPORA['street'], 's_name')} as address from supplier"
+def _people(t: Tables) -> DataFrame:
+    """A person for each customer, a woman where the key is even, a fifth without a patronymic, in mixed case."""
+    at = lambda corpus: F.element_at(F.array(*[F.lit(x) for x in CORPORA[corpus]]), (F.col("c_custkey") % len(CORPORA[corpus]) + 1).cast("int"))
+    female = F.col("c_custkey") % 2 == 0
+    df = t("customer").select(
+        "c_custkey",
+        F.initcap(F.when(female, c.feminine(at("family"))).otherwise(at("family"))).alias("family"),
+        F.upper(F.when(female, at("name_f")).otherwise(at("name_m"))).alias("name"),
+        F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit(" "), F.when(female, at("patronymic_f")).otherwise(at("patronymic_m")))).alias("patronymic"),
+    )
+    return df
 
 
 @query
-def fake_email(d: str) -> str:
-    return f"select c_custkey, {g.fake_email(d, SALT, ['ivanov', 'petrov', 'sidorov', 'orlov'], CORPORA['email_domain'], 'c_name')} as email from customer"
+def fake_fio(t: Tables) -> DataFrame:
+    """Names are replaced part by part, the gender kept, by the lemma of the surname."""
+    people = _people(t)
+    key, out = c.normalize_fio("family", "name", "patronymic"), _copied(people, "p", family=("family", "fake"), name=("name", "fake"), patronymic=("patronymic", "fake"))
+    return out.join(people.select("c_custkey", key["family"].alias("lemma"), key["gender"].alias("gender")), "c_custkey")
 
 
-# -- one-to-one maps and shuffles
+@query
+def fake_pick_name(t: Tables) -> DataFrame:
+    df = t("customer").select("c_custkey", F.col("c_name").alias("city"))
+    return _copied(df, "customer", city=("city", "fake"))
 
 
-def _direct(d: str, source: str, column: str) -> str:
-    base = f"upper({g.pick(d, SALT, 'org', CORPORA['org'], g.norm_word(d, 'v'))})"
-    return f"""select v, case when rn = 1 then base else concat(base, '-', cast(rn as string)) end as fake
-from (select v, base, row_number() over (partition by base order by v) as rn from (select v, {base} as base from (select distinct {column} as v from {source} where {column} is not null) a) b) c"""
+@query
+def fake_address(t: Tables) -> DataFrame:
+    df = t("supplier").select("s_suppkey", F.col("s_name").alias("address"))
+    return _copied(df, "supplier", address=("address", "fake"))
 
 
 @query
-def direct_map_segments(d: str) -> str:
-    return _direct(d, "customer", "c_mktsegment")
+def fake_email(t: Tables) -> DataFrame:
+    df = t("customer").select("c_custkey", F.col("c_name").alias("email"))
+    return _copied(df, "customer", email=("email", "generate"))
+
+
+# -- one-to-one maps and shuffles
 
 
 @query
-def direct_map_suppliers(d: str) -> str:
-    return f"select s.s_suppkey, m.fake from supplier s left join ({_direct(d, 'supplier', 's_name')}) m on s.s_name = m.v"
+def direct_map_segments(t: Tables) -> DataFrame:
+    return dataset.direct_map(t("customer"), "c_mktsegment", CORPORA["org"], SALT)
 
 
-#: Next entity in salted hash order, the last one's being the first. Partitioned by nothing: ring_shuffle in operators does it in pieces.
-def _ring(d: str) -> str:
-    h = g.h60(d, SALT, g.lit("shuffle"), "c_custkey")
-    return f"""select c_custkey, coalesce(lead(c_custkey) over (order by h, c_custkey), first_value(c_custkey) over (order by h, c_custkey)) as donor
-from (select c_custkey, {h} as h from customer where c_acctbal is not null) q"""
+@query
+def direct_map_suppliers(t: Tables) -> DataFrame:
+    df = t("supplier").select("s_suppkey", F.col("s_name").alias("fake"))
+    return _copied(df, "supplier", {"fake": dataset.direct_map(df, "fake", CORPORA["org"], SALT, limit=1_000_000)}, fake=("org_name", "direct"))
 
 
 @query
-def shuffle_acctbal(d: str) -> str:
-    return f"select r.c_custkey, r.donor, c.c_acctbal from ({_ring(d)}) r join customer c on c.c_custkey = r.donor"
+def shuffle_acctbal(t: Tables) -> DataFrame:
+    return dataset.shuffle_column(t("customer"), "c_custkey", "c_custkey", "c_acctbal", SALT, "g")
 
 
 @query
-def shuffle_linked_totals(d: str) -> str:
+def shuffle_linked_totals(t: Tables) -> DataFrame:
     """Row i of an entity gets its donor's row i mod the donor's count."""
-    rows = "select o_orderkey, o_custkey, o_totalprice, row_number() over (partition by o_custkey order by o_orderkey) as rn, count(*) over (partition by o_custkey) as n from orders where o_custkey is not null"
-    h = g.h60(d, SALT, g.lit("shuffle"), "k")
-    ring = f"select k, coalesce(lead(k) over (order by h, k), first_value(k) over (order by h, k)) as donor from (select k, {h} as h from (select distinct o_custkey as k from orders where o_custkey is not null) a) b"
-    return f"with r as ({rows}) select a.o_orderkey, b.o_totalprice as shuffled from r a join ({ring}) m on a.o_custkey = m.k join r b on b.o_custkey = m.donor and b.rn = (a.rn - 1) % b.n + 1"
+    return dataset.shuffle_column(t("orders"), "o_orderkey", "o_custkey", "o_totalprice", SALT, "g")
 
 
 @query
-def shuffle_corr_preserved(d: str) -> str:
-    return f"""select round(corr(c.c_acctbal, s.c_acctbal), 6) as correlation, count(*) as n from customer c join ({shuffle_acctbal(d)}) s on c.c_custkey = s.c_custkey"""
+def shuffle_corr_preserved(t: Tables) -> DataFrame:
+    """Two tables that are linked by a person keep their correlation, shuffled apart by one group."""
+    left = t("customer").select("c_custkey", "c_acctbal")
+    right = t("customer").select((F.col("c_custkey") + 10**9).alias("id"), F.col("c_custkey").alias("owner"), (F.col("c_acctbal") * 2 + F.col("c_custkey") % 7).alias("paid"))
+    classes = [{"left.c_custkey", "right.owner"}]
+    found = [verify.correlation(a, b, "c_custkey", "owner", "c_acctbal", "paid") for a, b in ((left, right), (dataset.shuffled(left, ["c_custkey"], ["c_acctbal"], "left", classes, SALT), dataset.shuffled(right, ["id"], ["paid"], "right", classes, SALT)))]
+    return left.sparkSession.createDataFrame([(round(found[0], 6), round(found[1], 6))], "before double, after double")
 
 
 # -- column strategies
 
 
 @query
-def generalize_order_year(d: str) -> str:
-    return "select o_orderkey, date_trunc('year', o_orderdate) as o_year from orders" if d == SPARK else "select o_orderkey, cast(date_trunc('year', o_orderdate) as timestamp) as o_year from orders"
+def plan_projection(t: Tables) -> DataFrame:
+    """A whole table by its plan: kept key, digits in place, one-to-one segments, balances nulled."""
+    df = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    maps = {"c_mktsegment": dataset.direct_map(df, "c_mktsegment", CORPORA["org"], SALT)}
+    return _copied(df, "customer", maps, c_name=("passport", "generate"), c_mktsegment=("org_name", "direct"), c_acctbal=("salary", "null"))
 
 
 @query
-def null_out(d: str) -> str:
-    return "select c_custkey, cast(null as double) as c_acctbal from customer"
+def generalize_order_year(t: Tables) -> DataFrame:
+    df = t("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+    return _copied(df, "orders", o_orderdate=("birth_date", "generalize"))
 
 
 @query
-def json_keys(d: str) -> str:
-    if d == SPARK:
-        return "select distinct k from (select explode(json_object_keys(props)) as k from events) q"
-    return "select distinct k from (select unnest(json_keys(props)) as k from events) q"
+def json_keys(t: Tables) -> DataFrame:
+    events = t("events")
+    return events.sparkSession.createDataFrame([(k,) for k in dataset.json_keys(events, "props")], "k string")
 
 
 @query
-def json_rewrite_props(d: str) -> str:
-    """The mapped key is replaced, others become null by rule."""
-    value = "get_json_object(props, '$.k')" if d == SPARK else "json_extract_string(props, '$.k')"
-    return f"select event_id, case when {value} is null then null else concat('{{\"k\":', cast({g.pick_int(d, SALT, 0, 99, g.lit('k'), value)} as string), '}}') end as props from events"
+def json_rewrite(t: Tables) -> DataFrame:
+    """Typed fields by their column's generator, kept ones with their types, unknown ones null, nulls null."""
+    js = F.concat(F.lit('{"inn":"'), F.expr(_card("c_custkey", 10)), F.lit('","n":'), (F.col("c_custkey") % 5).cast("string"), F.lit(',"drop":"x","none":null,"o":{"a":[1,true]}}'))
+    df = t("customer").select("c_custkey", js.alias("js"))
+    return _copied(df, "customer", js=("free_text", "jsonb", {"inn": "inn", "n": "keep", "o": "keep", "none": "email"}))
+
+
+# -- profiling and planning
+
+
+def _profiles(t: Tables, columns: dict[str, list[str]]) -> DataFrame:
+    out = None
+    for table, names in columns.items():
+        one = dataset.profile(t(table).select(*names), table)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query
-def plan_projection(d: str) -> str:
-    """A whole table by plan: permuted key, digits kept in place, 1:1 segments, shifted nothing else."""
-    return f"""select {_custkey(d, "c_custkey")} as c_custkey, {g.gen_digits(d, SALT, "c_name", [9])} as c_name, c_nationkey, m.fake as c_mktsegment
-from customer c left join ({_direct(d, "customer", "c_mktsegment")}) m on c.c_mktsegment = m.v"""
+def profile_columns(t: Tables) -> DataFrame:
+    found = _profiles(t, {"customer": ["c_custkey", "c_name", "c_mktsegment"], "orders": ["o_custkey", "o_orderstatus"], "nation": ["n_name"]})
+    return found.select("tbl", "col", "n", "n_distinct", F.round("null_share", 6).alias("null_share"))
 
 
-# -- profiling
+@query
+def sample_values(t: Tables) -> DataFrame:
+    return _profiles(t, {"customer": ["c_name"]}).select(F.concat_ws(".", "tbl", "col").alias("col"), F.explode("samples").alias("v"))
 
 
-def _profile(columns: list[tuple[str, str]]) -> str:
-    return " union all ".join(f"select '{t}' as tbl, '{c}' as col, count(*) as n, count(distinct cast({c} as string)) as n_distinct, round(avg(case when {c} is null then 1.0e0 else 0.0e0 end), 6) as null_share from {t}" for t, c in columns)
+def _hr(t: Tables) -> DataFrame:
+    """Customers as people, with identifiers of every kind."""
+    key = lambda n: _card("c_custkey", n)
+    return _people(t).select(
+        "c_custkey", c.gen_inn("x", key(12)).alias("inn"), c.gen_snils("x", key(11)).alias("snils"), c.fake_email("x", CORPORA, "cast(c_custkey as string)").alias("email"),
+        c.fake_phone("x", CORPORA, "cast(c_custkey as string)").alias("phone"), F.date_add(F.lit("1970-01-01").cast("date"), F.col("c_custkey").cast("int") % 9000).alias("birth_date"), F.col("family").alias("fam"),
+        F.concat(F.lit("note "), F.col("c_custkey")).alias("note"),
+    )
 
 
 @query
-def profile_columns(d: str) -> str:
-    return _profile([("customer", "c_custkey"), ("customer", "c_name"), ("customer", "c_mktsegment"), ("supplier", "s_name"), ("orders", "o_custkey"), ("orders", "o_orderstatus"), ("lineitem", "l_returnflag"), ("events", "event_type"), ("nation", "n_name")])
+def rule_votes(t: Tables) -> DataFrame:
+    """The rules' types of columns, by names and samples."""
+    hr = _hr(t)
+    rows = dataset.profile(hr.drop("c_custkey"), "hr").collect()
+    return hr.sparkSession.createDataFrame([(r["col"], detect.detect(r["col"], r["type"], r["samples"], r["n_distinct"])[0]) for r in rows], "col string, sem_type string")
 
 
 @query
-def sample_values(d: str) -> str:
-    return " union all ".join(f"select * from (select distinct '{t}.{c}' as col, cast({c} as string) as v from {t} where {c} is not null order by v limit 50) q{i}" for i, (t, c) in enumerate([("customer", "c_name"), ("supplier", "s_name"), ("orders", "o_orderpriority")]))
+def addr_parse_ratio(t: Tables) -> DataFrame:
+    """Share of texts whose parts between commas are all words or numbers."""
+    ok = F.forall(F.split("text", ","), lambda p: p.rlike("^ *([A-Za-z. ]+|[0-9]+) *$"))
+    return t("documents").where("text is not null").agg(F.round(F.avg(ok.cast("int")), 6).alias("ratio"))
 
 
 @query
-def rule_ratios(d: str) -> str:
-    ratio = lambda p: f"round(avg(case when {p} then 1.0e0 else 0.0e0 end), 6)"
-    return f"""select count(*) as n, {ratio(g.matches(d, "v", "^[^@ ]+@[^@ ]+$"))} as email, {ratio(g.valid_inn(d, "v"))} as inn, {ratio(g.valid_snils(d, "v"))} as snils,
- {ratio(g.matches(d, "v", "^[A-Za-z]+#[0-9]+$"))} as id_like from (select c_name as v from customer) q where v <> ''"""
+def soft_links(t: Tables) -> DataFrame:
+    columns = [("customer", "c_custkey"), ("orders", "o_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_suppkey"), ("lineitem", "l_suppkey")]
+    return dataset.soft_links({name: t(table).select(name) for table, name in columns}).withColumn("containment", F.round("containment", 6))
 
 
 @query
-def addr_parse_ratio(d: str) -> str:
-    """Share of texts whose parts between commas are all words or numbers. The oracle reads region only."""
-    part = g.matches(d, "p", "^ *([A-Za-z. ]+|[0-9]+) *$")
-    if d == SPARK:
-        return f"select round(avg(ok), 6) as ratio from (select doc_id, min(case when {part} then 1.0e0 else 0.0e0 end) as ok from (select doc_id, explode(split(text, ',')) as p from documents) q group by doc_id) w"
-    split = "explode(split(r_name, ','))" if d == SPARK else "unnest(string_split(r_name, ','))"
-    return f"select round(avg(ok), 6) as ratio from (select r_regionkey, min(case when {part} then 1.0e0 else 0.0e0 end) as ok from (select r_regionkey, {split} as p from region) q group by r_regionkey) w"
+def plan_assign(t: Tables) -> DataFrame:
+    """Strategies out of types, keys, cardinalities and classes of linked columns."""
+    spark = t("customer").sparkSession
+    given = {
+        "c_custkey": ("technical", {"unique": True, "primary_key": True, "cardinality": 1500}), "c_name": ("phone", {"unique": True, "primary_key": False, "cardinality": 1500}), "tax": ("inn", {"unique": True, "primary_key": False, "cardinality": 1500}),
+        "town": ("city", {"unique": False, "primary_key": False, "cardinality": 20}), "birth": ("birth_date", {"unique": False, "primary_key": False, "cardinality": 900}), "mail": ("email", {"unique": False, "primary_key": False, "cardinality": 900}),
+    }
+    columns = inherit([PlanColumn("customer", n, sem, assign({}, sem, **kw)[0]) for n, (sem, kw) in given.items()], [{"customer.c_custkey", "customer.tax"}])
+    return spark.createDataFrame([(f"{x.table}.{x.column}", x.strategy) for x in columns], "col string, strategy string")
 
 
 @query
-def soft_links(d: str) -> str:
-    """Containment of distinct values of column pairs: shared / smaller set."""
-    columns = [("customer", "c_custkey"), ("orders", "o_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_suppkey"), ("lineitem", "l_suppkey")]
-    values = " union all ".join(f"select distinct '{c}' as col, {c} as v from {t} where {c} is not null" for t, c in columns)
-    return f"""with v as ({values}), n as (select col, count(*) as n from v group by col)
-select a.col as a, b.col as b, round(count(*) * 1.0e0 / min(least(x.n, y.n)), 6) as containment from v a join v b on a.v = b.v and a.col < b.col
-join n x on x.col = a.col join n y on y.col = b.col group by a.col, b.col having count(*) >= 0.85 * min(least(x.n, y.n))"""
+def plan_faults(t: Tables) -> DataFrame:
+    """How many faults validation finds in a plan that has eight."""
+    df = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
+    plan = _plan(df, "customer", c_custkey=("phone", "generate"), c_name=("family", "direct"), c_mktsegment=("colour", "nonsense"), c_acctbal=(None, "unresolved"))
+    plan.columns[2].llm_mode, plan.columns[2].length_policy = "psychic", "stretch"
+    schema = [("customer", f.name, f.dataType.simpleString()) for f in df.schema]
+    found = validate_plan(plan, [*schema, ("customer", "later", "string")], {"customer.c_custkey"})
+    return df.sparkSession.createDataFrame([(len(found) - 1,)], "n_faults int")  # the fingerprint's fault is the new column's
 
 
 # -- verification
 
 
-@query
-def volume_check(d: str) -> str:
-    return " union all ".join(f"select '{t}' as tbl, count(*) as n from {t}" for t in ("customer", "orders", "lineitem", "supplier", "part"))
+def _masked(t: Tables) -> tuple[DataFrame, DataFrame]:
+    source = t("customer").select("c_custkey", "c_nationkey", "c_name")
+    return source, _copied(source, "customer", c_name=("passport", "generate"))
 
 
 @query
-def fake_ne_rowwise(d: str) -> str:
-    return f"select count(*) as compared, cast(sum(case when c_custkey = {_custkey(d, 'c_custkey')} then 1 else 0 end) as bigint) as equal_values from customer"
+def volume_check(t: Tables) -> DataFrame:
+    names = ("customer", "orders", "lineitem", "supplier", "part")
+    both = {n: t(n) for n in names}
+    return t("customer").sparkSession.createDataFrame([(n, a, b) for n, (a, b) in dataset.volume(both, both).items()], "tbl string, n_source long, n_copy long")
 
 
 @query
-def fake_ne_multiset(d: str) -> str:
-    return f"select count(*) as shared from (select distinct c_name as v from customer intersect select distinct {g.gen_digits(d, SALT, 'c_name', [9])} as v from customer) q"
+def fake_ne_rowwise(t: Tables) -> DataFrame:
+    source, copy = _masked(t)
+    return dataset.unchanged(source, copy, ["c_custkey"], "c_name").select(F.lit(source.count()).alias("compared"), "equal_values", "missing")
 
 
 @query
-def fk_violations(d: str) -> str:
-    pair = lambda a, b, c, e: f"select '{a}.{b}' as fk, count(*) as missing from {a} x left join {c} y on x.{b} = y.{e} where x.{b} is not null and y.{e} is null"
-    return " union all ".join([pair("orders", "o_custkey", "customer", "c_custkey"), pair("lineitem", "l_orderkey", "orders", "o_orderkey"), pair("customer", "c_nationkey", "nation", "n_nationkey"), pair("nation", "n_regionkey", "region", "r_regionkey")])
+def fake_ne_multiset(t: Tables) -> DataFrame:
+    source, copy = _masked(t)
+    return dataset.shared_values(source, copy, "c_name").agg(F.count(F.lit(1)).alias("shared"))
 
 
 @query
-def unique_violations(d: str) -> str:
-    return " union all ".join(f"select '{t}.{c}' as key, count(*) as repeated from (select {c} from {t} group by {c} having count(*) > 1) q_{c}" for t, c in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_name")))
+def fk_violations(t: Tables) -> DataFrame:
+    out = None
+    for child, a, parent, b in (("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey")):
+        one = dataset.orphans(t(child), [a], t(parent), [b]).agg(F.lit(f"{child}.{a}").alias("fk"), F.count(F.lit(1)).alias("missing"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query
-def entropy_columns(d: str) -> str:
-    return " union all ".join(f"select '{t}.{c}' as col, {g.entropy(t, c)} as bits" for t, c in (("events", "event_type"), ("customer", "c_mktsegment"), ("orders", "o_orderstatus"), ("customer", "c_nationkey")))
+def unique_violations(t: Tables) -> DataFrame:
+    out = None
+    for table, key in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("supplier", "s_name")):
+        one = t(table).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.lit(f"{table}.{key}").alias("key"), F.count(F.lit(1)).alias("repeated"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query
-def corpus_ceiling(d: str) -> str:
-    """Bits that n draws from a corpus of m entries can reach."""
-    sizes = ", ".join(f"('{k}', {len(v)})" for k, v in CORPORA.items())
-    return f"select name, m, round(log2(m * (1 - exp(-n * 1.0e0 / m))), 6) as bits from (values {sizes}) as c(name, m) cross join (select count(*) as n from customer) q"
+def entropy_columns(t: Tables) -> DataFrame:
+    rows = []
+    for table, names in (("events", ["event_type"]), ("customer", ["c_mktsegment", "c_nationkey"]), ("orders", ["o_orderstatus"])):
+        rows += [(f"{table}.{n}", round(bits, 6)) for n, (bits, _) in dataset.entropies(t(table), names).items()]
+    return t("events").sparkSession.createDataFrame(rows, "col string, bits double")
 
 
 @query
-def canary_search(d: str) -> str:
-    """Benchmark passages that stand in a document as they are. The oracle leaves out those of up to 100 characters."""
-    found = "contains(lower(d.text), lower(b.text))"
-    if d == SPARK:
-        return f"select b.item_id, count(*) as found from benchmark b join documents d on {found} group by b.item_id"
-    return f"select b.item_id, count(*) as found from benchmark b join documents d on {found} where length(b.text) > 100 group by b.item_id"
+def corpus_ceiling(t: Tables) -> DataFrame:
+    """Bits that the customers' fakes can reach by the corpora's sizes."""
+    n = t("customer").count()
+    return t("customer").sparkSession.createDataFrame([(k, len(v), round(verify.ceiling(len(v), n), 6)) for k, v in CORPORA.items()], "name string, m int, bits double")
 
 
 @query
-def identifier_leak(d: str) -> str:
-    """None of the faked names' numbers is a source key; on Spark, ``scan_identifiers`` holds the texts against them as well."""
-    return f"select count(*) as leaked from (select distinct {g.digits(d, 'c_name')} as x from customer) a join (select distinct {g.digits(d, g.gen_digits(d, SALT, 'c_name', [9]))} as x from customer) b on a.x = b.x"
+def canary_search(t: Tables) -> DataFrame:
+    """Benchmark items that stand in a document as they are, case aside."""
+    items = t("benchmark")
+    found = dataset.canaries(items.select(F.col("text").alias("x")), t("documents"), ["text"], limit=100_000)
+    return items.join(found, F.col("text") == F.col("x"), "left_semi").select("item_id")
 
 
 @query
-def column_checksums(d: str) -> str:
-    if d == SPARK:
-        agg = "md5(cast(listagg(concat(cast(c_custkey as string), ':', coalesce(x, '-')), '|') within group (order by c_custkey) as binary))"
-    else:
-        agg = "md5(string_agg(concat(cast(c_custkey as string), ':', coalesce(x, '-')), '|' order by c_custkey))"
-    return f"select c_nationkey, {agg} as checksum from (select c_nationkey, c_custkey, {g.gen_digits(d, SALT, 'c_name', [9])} as x from customer) q group by c_nationkey"
+def identifier_leak(t: Tables) -> DataFrame:
+    """Customers' numbers that stand in the digit runs of documents or conversations, at any place of a run."""
+    ids = t("customer").select(c.normalize_digits("c_name").alias("x")).where("x <> ''").distinct()
+    texts = t("documents").select("text").unionByName(t("conversations").select("text"))
+    return dataset.leaked_identifiers(ids, texts, "text").agg(F.count(F.lit(1)).alias("leaked"))
 
 
 @query
-def degradation_summary(d: str) -> str:
-    note = lambda name, p: f"select '{name}' as note, count(*) as n from documents where {g.matches(d, 'text', p)}"
-    return " union all ".join([note("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"), note("phone", r"\+[0-9] \([0-9]{3}\)"), note("long_number", "[0-9]{16}"), note("ipv4", r"[0-9]{1,3}(\.[0-9]{1,3}){3}")])
+def column_checksums(t: Tables) -> DataFrame:
+    """Checksums don't hang on the order of rows, and show a changed value and a null."""
+    source, copy = _masked(t)
+    one = lambda df: dataset.checksums(df, ["c_custkey"], ["c_name"]).first()["c_name"]
+    first = one(source)
+    nulled = source.withColumn("c_name", F.when(F.col("c_custkey") != 1, F.col("c_name")))
+    return source.sparkSession.createDataFrame([(one(source.repartition(7, "c_name")) == first, one(copy) != first, one(nulled) != first)], "same_in_any_order boolean, changed_shows boolean, null_shows boolean")
 
 
 @query
-def runlog_publishable(d: str) -> str:
-    """Latest row per stage and table: all done, and the two required stages are there."""
-    rows = "(1, 'pass1', 'customer', 'failed'), (2, 'pass1', 'customer', 'done'), (3, 'pass1', 'orders', 'done'), (4, 'verify', '*', 'done')"
-    last = "max_by(status, seq)" if d == SPARK else "arg_max(status, seq)"
-    return f"""select min(case when status = 'done' then 1 else 0 end) = 1 and count(distinct case when stage in ('pass1', 'verify') then stage end) = 2 as publishable
-from (select stage, tbl, {last} as status from (values {rows}) as r(seq, stage, tbl, status) group by stage, tbl) q"""
+def runlog_publishable(t: Tables) -> DataFrame:
+    spark = t("customer").sparkSession
+    logs = {
+        "all done": [("pass1", "a", "failed"), ("pass1", "a", "done"), ("pass1", "b", "done"), ("verify", "*", "done")], "verify failed": [("pass1", "a", "done"), ("verify", "*", "done"), ("verify", "*", "failed")],
+        "table failed": [("pass1", "a", "done"), ("pass1", "b", "failed"), ("verify", "*", "done")], "no verify": [("pass1", "a", "done")],
+    }
+    rows = [(name, dataset.publishable(spark.createDataFrame([(i, *r) for i, r in enumerate(log)], "seq long, stage string, tbl string, status string"))) for name, log in logs.items()]
+    return spark.createDataFrame(rows, "log string, publishable boolean")
 
 
 # -- free text
 
 
 @query
-def mask_emails_text(d: str) -> str:
-    return f"select doc_id, {g.sub(d, 'text', r'[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}', '<email>')} as text from documents"
+def sanitize_planted(t: Tables) -> DataFrame:
+    """An e-mail, a phone, a passport and a tax id in one text each become what their columns would."""
+    key = F.lpad(F.col("c_custkey").cast("string"), 7, "0")
+    tax = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    check = F.expr(c.g.inn_check("lpad(cast(c_custkey as string), 9, '0')", c.g.INN10))
+    passport = (F.lit(4500000000) + F.col("c_custkey")).cast("string")
+    said = F.concat(
+        F.lit("Пишите user"), F.col("c_custkey"), F.lit("@mail.ru, тел. +7 (903) "), F.substring(key, 1, 3), F.lit("-"), F.substring(key, 4, 2), F.lit("-"), F.substring(key, 6, 2),
+        F.lit(", паспорт "), F.substring(passport, 1, 4), F.lit(" "), F.substring(passport, 5, 6), F.lit(", ИНН "), tax, check, F.lit("."),
+    )
+    return t("customer").select("c_custkey", text.sanitize_text(said, SALT, CORPORA)["text"].alias("text"))
 
 
 @query
-def mask_phones_text(d: str) -> str:
-    return f"select conv_id, turn, {g.sub(d, 'text', r'[+][0-9] [(][0-9]{3}[)] [0-9]{3}-[0-9]{4}', '<phone>')} as text from conversations"
+def sanitize_names(t: Tables) -> DataFrame:
+    """A full name in running text becomes what its columns would. Two given names that look like surnames are left out."""
+    people = _people(t).where("patronymic is not null and lower(name) not in ('ирина', 'полина')")
+    said = F.concat(F.lit("Звонил "), F.col("family"), F.lit(" "), F.initcap("name"), F.initcap("patronymic"), F.lit(" вчера"))
+    return people.select("c_custkey", text.sanitize_text(said, SALT, CORPORA)["text"].alias("text"))
 
 
 @query
-def mask_ips_text(d: str) -> str:
-    return f"select doc_id, {g.sub(d, 'text', r'[0-9]{1,3}([.][0-9]{1,3}){3}', '<ip>')} as text from documents"
+def sanitize_documents(t: Tables) -> DataFrame:
+    """The text pass over whole documents: notes and the new text's digest."""
+    done = t("documents").select("doc_id", text.sanitize_text(F.col("text"), SALT, CORPORA).alias("s"))
+    return done.select("doc_id", F.size("s.notes").alias("n_notes"), F.sha2("s.text", 256).alias("sha256"))
 
 
-def scan_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(leaked): the customers' numbers that stand in the digit runs of documents, conversations or faked names, at any place of a run."""
-    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    ids = read("customer").selectExpr(f"{g.digits(SPARK, 'c_name')} as x").where("x <> ''").distinct()
-    texts = read("documents").select("text").unionByName(read("conversations").select("text"))
-    texts = texts.unionByName(read("customer").selectExpr(f"{g.gen_digits(SPARK, SALT, 'c_name', [9])} as text"))
-    return dataset.leaked_identifiers(ids, texts, "text").agg(F.count(F.lit(1)).alias("leaked"))
-
-
-QUERIES = {name: _run(f(SPARK)) for name, f in _BUILT.items()} | {"identifier_leak": scan_identifiers}
-ORACLE = {name: re.sub(r"\bas string\b", "as varchar", f(DUCK)) for name, f in _BUILT.items()}
+@query
+def degradation_summary(t: Tables) -> DataFrame:
+    """Notes and undecided fragments of the conversations' text pass."""
+    return text.notes_summary(t("conversations").select(text.sanitize_text(F.col("text"), SALT, CORPORA).alias("s")), "s", "conversations")

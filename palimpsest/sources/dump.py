@@ -116,6 +116,62 @@ def commit(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     return True
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's visible subfolders, on any file system that Spark reads."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return sorted(x.getPath().getName() for x in found if x.isDirectory() and not x.getPath().getName().startswith(("_", ".")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def publish(tables: dict[str, DataFrame], to: str) -> None:
+    """All tables or none: written beside the target and renamed in one step. A target that exists is refused."""
+    spark = next(iter(tables.values())).sparkSession
+    if exists(spark, to):
+        raise FileExistsError(f"{to} exists")
+    jvm, staging = spark._jvm, f"{to.rstrip('/')}._staging"
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{staging}/{name}")
+    at = jvm.org.apache.hadoop.fs.Path(to)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).rename(jvm.org.apache.hadoop.fs.Path(staging), at):
+        raise OSError(f"can't rename {staging}")
+
+
+def restore(tables: dict[str, DataFrame], to: str, notes: DataFrame | None = None) -> None:
+    """Puts a copy where it is used, table by table, in place of what stands there; its notes go to ``_notes``."""
+    for name, df in [*tables.items(), *([("_notes", notes)] if notes is not None else [])]:
+        spark, staging = df.sparkSession, f"{to.rstrip('/')}/_staging_{name}"
+        df.write.mode("overwrite").parquet(staging)
+        jvm = spark._jvm
+        old, new = jvm.org.apache.hadoop.fs.Path(f"{to}/{name}"), jvm.org.apache.hadoop.fs.Path(staging)
+        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"can't rename {staging}")
+
+
+def read_dump(spark: SparkSession, folder: str, entries: dict[int, str], schemas: dict[str, StructType]) -> dict[str, DataFrame]:
+    """The tables of a dump folder, whose data stand in ``<id>.dat.gz`` (a file, or a folder of parts). A table of ``schemas`` that the listing lacks raises."""
+    at = {name: number for number, name in entries.items()}
+    if missing := sorted(set(schemas) - set(at)):
+        raise ValueError(f"the listing lacks {', '.join(missing)}")
+    return {name: read_copy(spark, f"{folder}/{at[name]}.dat.gz", schema) for name, schema in schemas.items()}
+
+
+def rewrite(tables: dict[str, DataFrame], entries: dict[int, str], to: str) -> list[str]:
+    """Writes tables as the data members of a dump, ``<id>.dat.gz`` folders of gzip parts, whose parts joined are one member.
+    Members that are complete already are passed over, so a rewrite that was broken off goes on. Returns the names written."""
+    at = {name: number for number, name in entries.items()}
+    if missing := sorted(set(tables) - set(at)):
+        raise ValueError(f"the listing lacks {', '.join(missing)}")
+    return [name for name, df in sorted(tables.items()) if commit(df, f"{to}/{at[name]}.dat.gz", "copy")]
+
+
 def write_notes(notes: DataFrame, folder: str, limit: int = ROW_NOTES) -> None:
     """notes: tbl, key, note. The summary by table and note always; the rows only if there are at most ``limit`` in all."""
     summary = notes.groupBy("tbl", "note").agg(F.count(F.lit(1)).alias("n"))
