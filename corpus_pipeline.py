@@ -27,8 +27,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes of repeated 400-byte strings; n_chars follows the text."""
-    return suffix_dedup.cut_documents(docs)
+    """All documents, without the bytes of repeated passages of over 50 words, as strings of PASSAGE bytes; n_chars follows the text."""
+    return suffix_dedup.cut_documents(docs, suffix_dedup.PASSAGE)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the token ids and of their decoding."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path))
+    return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded"))
 
 
 STAGES = [
