@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from palimpsest.functions.columns import effective_salt, salt_fingerprint
+from palimpsest.functions.columns import effective_salt, quoted, salt_fingerprint
 from palimpsest.operators import dataset, detect, text, verify
 from palimpsest.plans import gate, report, snapshot
 from palimpsest.plans.plan import DEFAULTS, PARAMS, Plan, PlanColumn, assign, compile_table, inherit, schema_fingerprint
@@ -35,7 +35,7 @@ def read_tables(spark: SparkSession, folder: str, config: dict | None = None) ->
     if of_dump := (config or {}).get("dump"):
         schemas = {t: StructType.fromDDL(ddl) for t, ddl in of_dump["schemas"].items()}
         with open(of_dump["listing"], encoding="utf-8") as f:
-            return dump.read_dump(spark, folder, dump.listing(f.read()), schemas)
+            return dump.read_dump(spark, dump.locate(folder) if of_dump.get("toc") else folder, dump.listing(f.read()), schemas)
     return {x: spark.read.parquet(f"{folder}/{x}") for x in dump.folders(spark, folder)}
 
 
@@ -52,10 +52,16 @@ def draft(tables: dict[str, DataFrame], config: dict, seen: snapshot.Snapshot |
     """Profiles every table and gives each column its strategy out of two votes, its class of linked columns and the config.
 
     config: keys, links, soft_links that a person has confirmed, votes (a cache file of the second vote), params, json (key
-    maps by column), sensitive (columns), overrides. Numbers and keys that no vote knows are technical.
+    maps by column), sensitive (columns), overrides, discover (keys and links out of the data where none are declared). Numbers and keys that no vote knows are technical.
     """
-    keys, params = config.get("keys", {}), PARAMS | config.get("params", {})
+    keys, params = dict(config.get("keys", {})), PARAMS | config.get("params", {})
     seen = seen or snapshot.take(tables, keys)
+    links = list(config.get("links", []))
+    if config.get("discover"):
+        for x in seen.columns:  # a table without a declared key: its first column whose values are all there and differ
+            if x.unique and x.table not in keys:
+                keys[x.table], x.primary = [x.column], True
+        links += [x for x in dataset.links_found(tables, {t: k for t, k in keys.items() if len(k) == 1}) if list(x) not in [list(y) for y in links]]
     votes = model.cached_votes(config.get("votes"), seen.metadata(), set(DEFAULTS), client)
     columns = []
     for x in seen.columns:
@@ -66,7 +72,7 @@ def draft(tables: dict[str, DataFrame], config: dict, seen: snapshot.Snapshot |
         marks = config.get("json", {}).get(x.name, {})
         strategy, reason = assign({"json": x.json, "json_keys": x.json_keys}, said, unique=x.unique and said != "technical", primary_key=x.primary and len(keys.get(x.table, [])) == 1, cardinality=x.n_distinct, params=params, sensitive=x.name in config.get("sensitive", []), json_map=marks, addr_ratio=x.addr_ratio)
         columns.append(PlanColumn(x.table, x.column, said, strategy, reason=f"{why}; {reason}", json_fields=dict(marks)))
-    pairs = [(f"{child}.{a}", f"{parent}.{b}") for child, cols, parent, to in config.get("links", []) for a, b in zip(cols, to, strict=True)]
+    pairs = [(f"{child}.{a}", f"{parent}.{b}") for child, cols, parent, to in links for a, b in zip(cols, to, strict=True)]
     pairs += [(f"{a}.{x}", f"{b}.{y}") for a, x, b, y in config.get("soft_links", [])]
     classes = dataset.equivalence_classes(pairs)
     plan = Plan(schema_fingerprint(schema_of(tables)), columns, params, sorted(map(sorted, classes)), keys)
@@ -83,7 +89,7 @@ def copy_table(df: DataFrame, plan: Plan, table: str, key: list[str], secret: st
         if x.strategy == "direct":
             answers = None
             if x.llm_mode == "direct" and client is not None:
-                values = df.select(F.col(f"`{x.column}`").cast("string").alias("v")).where("v is not null").distinct().orderBy("v").limit(plan.params["direct_threshold"] + 1)
+                values = df.select(F.col(quoted(x.column)).cast("string").alias("v")).where("v is not null").distinct().orderBy("v").limit(plan.params["direct_threshold"] + 1)
                 answers = model.renames(client, [r["v"] for r in values.collect()])
             maps[x.column] = dataset.direct_map(df, x.column, corpora["org"], secret, plan.params["direct_threshold"], answers)
     moved = dataset.shuffled(df, key, [x.column for x in columns if x.strategy == "shuffle"], table, [set(c) for c in plan.classes], secret)
@@ -182,7 +188,7 @@ def samples(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan
         changed = [n for n, x in by.items() if x.strategy not in ("keep", "null") and n not in key]
         if t in copy and changed and all(by[k].strategy == "keep" for k in key):
             before = source[t].orderBy(*key).limit(SHOWN)
-            rows = before.select(*key, *[F.col(f"`{n}`").cast("string").alias(f"b{i}") for i, n in enumerate(changed)]).join(copy[t].select(*key, *[F.col(f"`{n}`").cast("string").alias(f"a{i}") for i, n in enumerate(changed)]), key).collect()
+            rows = before.select(*key, *[F.col(quoted(n)).cast("string").alias(f"b{i}") for i, n in enumerate(changed)]).join(copy[t].select(*key, *[F.col(quoted(n)).cast("string").alias(f"a{i}") for i, n in enumerate(changed)]), key).collect()
             out |= {f"{t}.{n}": [(str(r[f"b{i}"])[:80], str(r[f"a{i}"])[:80]) for r in rows] for i, n in enumerate(changed)}
     return out
 

@@ -23,6 +23,11 @@ FEMALE_FAMILY = "(ова|ева|ина|ына|ская|цкая|ая)$"
 FAMILY_ENDINGS = [("ская", "ский"), ("цкая", "цкий"), ("ова", "ов"), ("ева", "ев"), ("ина", "ин"), ("ына", "ын")]
 
 
+def quoted(name: str) -> str:
+    """A column's name in SQL, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def effective_salt(master: str, version: str = "1", recipient: str = "dev", generation: str = "g1") -> str:
     """The salt of one recipient and generation; computed once, on the driver."""
     if not master:
@@ -247,3 +252,11 @@ def fake_fio_full(salt: str, corpora: dict, x: str) -> Column:
     word = lambda i: f"try_element_at(filter(split(trim({x}), '[ \\t]+'), w -> w <> ''), {i})"
     new = fake_fio(salt, corpora, *(word(i) for i in (1, 2, 3)))
     return F.concat_ws(" ", new["family"], new["name"], new["patronymic"])
+
+
+def fake_initials(salt: str, corpora: dict, family: str, name: str, patronymic: str) -> Column:
+    """ "Surname A. B.", the surname as in the full form, the initials out of the one-letter keys' fakes; null without a surname."""
+    letter = lambda x: f"substr(trim({x}), 1, 1)"
+    new = fake_fio(salt, corpora, family, letter(name), letter(patronymic))
+    dot = lambda part: F.concat(F.substring(new[part], 1, 1), F.lit("."))
+    return F.when(new["family"].isNotNull(), F.concat_ws(" ", new["family"], dot("name"), dot("patronymic")))

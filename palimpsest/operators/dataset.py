@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import sqlgen as g
-from palimpsest.functions.columns import bind_secret
+from palimpsest.functions.columns import bind_secret, quoted
 from palimpsest.functions.sqlgen import SPARK
 
 #: Pieces in which a ring is ordered: no task sorts all entities.
@@ -31,7 +31,7 @@ def direct_map(df: DataFrame, column: str, corpus: list[str], salt: str, limit:
     the generated ones never meet them, for they bear a mark. Two values with one
     replacement (a collision of 40 bits) raise.
     """
-    values = df.select(F.col(f"`{column}`").cast("string").alias("v")).where("v is not null").distinct()
+    values = df.select(F.col(quoted(column)).cast("string").alias("v")).where("v is not null").distinct()
     if values.limit(limit + 1).count() > limit:
         raise ValueError(f"{column} has more than {limit} values")
     bound, secret = bind_secret(values, salt)
@@ -105,7 +105,7 @@ def shuffled(df: DataFrame, key: list[str], columns: list[str], table: str, clas
     for column in columns:
         entity, group = entity_column(classes, table, key[0])
         given = shuffle_column(df, key[0], entity, column, salt, group).select(F.col(key[0]).alias("palimpsest key"), F.col("value").alias("palimpsest value"))
-        df = df.join(given, F.col(f"`{key[0]}`") == F.col("`palimpsest key`"), "left").select(*[F.col("`palimpsest value`").alias(n) if n == column else F.col(f"`{n}`") for n in df.columns])
+        df = df.join(given, F.col(quoted(key[0])) == F.col("`palimpsest key`"), "left").select(*[F.col("`palimpsest value`").alias(n) if n == column else F.col(quoted(n)) for n in df.columns])
     return df
 
 
@@ -116,7 +116,7 @@ def profile(df: DataFrame, table: str, samples: int = 50) -> DataFrame:
     they are shuffled; statistics and samples read that one shuffle.
     """
     kinds = df.sparkSession.createDataFrame([(i, table, n, df.schema[n].dataType.simpleString()) for i, n in enumerate(df.columns)], "i int, tbl string, col string, type string")
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{n}`").cast("string").alias("v")) for i, n in enumerate(df.columns)])).alias("c")).select("c.*")
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(quoted(n)).cast("string").alias("v")) for i, n in enumerate(df.columns)])).alias("c")).select("c.*")
     counted = cells.groupBy("i", "v").agg(F.count(F.lit(1)).alias("k"))
     json = F.when(F.col("v").startswith("{") & F.expr("json_object_keys(v) is not null"), F.col("k")).otherwise(0)
     stats = counted.groupBy("i").agg(F.sum("k").alias("n"), F.count("v").alias("n_distinct"), F.sum(F.when(F.col("v").isNull(), F.col("k")).otherwise(0)).alias("nulls"), F.sum(json).alias("json"))
@@ -133,7 +133,7 @@ def profile(df: DataFrame, table: str, samples: int = 50) -> DataFrame:
 
 def json_keys(df: DataFrame, column: str, limit: int = 500) -> list[str]:
     """The keys of a column's JSON objects, in order; more than ``limit`` raise."""
-    keys = df.select(F.explode(F.json_object_keys(F.col(f"`{column}`").cast("string"))).alias("k")).distinct().orderBy("k").limit(limit + 1)
+    keys = df.select(F.explode(F.json_object_keys(F.col(quoted(column)).cast("string"))).alias("k")).distinct().orderBy("k").limit(limit + 1)
     found = [r["k"] for r in keys.collect()]
     if len(found) > limit:
         raise ValueError(f"{column}: more than {limit} json keys")
@@ -155,11 +155,11 @@ def links_found(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> lis
     for parent, key in keys.items():
         if len(key) != 1:
             continue
-        there = tables[parent].select(F.col(f"`{key[0]}`").cast("string").alias("v")).distinct()
+        there = tables[parent].select(F.col(quoted(key[0])).cast("string").alias("v")).distinct()
         for child, df in tables.items():
             for column in df.columns:
                 if (child, column) != (parent, key[0]) and parent.rpartition(".")[2].rstrip("s") in column.lower():
-                    mine = df.select(F.col(f"`{column}`").cast("string").alias("v")).where("v is not null").distinct()
+                    mine = df.select(F.col(quoted(column)).cast("string").alias("v")).where("v is not null").distinct()
                     if not mine.isEmpty() and mine.join(there, "v", "left_anti").isEmpty():
                         out.append((child, [column], parent, list(key)))
     return sorted(out)
@@ -224,7 +224,7 @@ def volume(source: dict[str, DataFrame], copy: dict[str, DataFrame]) -> dict[str
 def _keyed(key: list[str]):
     cond = None
     for k in key:
-        one = F.col(f"`{k}`").eqNullSafe(F.col(f"`palimpsest k {k}`"))
+        one = F.col(quoted(k)).eqNullSafe(F.col(quoted(f"palimpsest k {k}")))
         cond = one if cond is None else cond & one
     return cond
 
@@ -233,16 +233,16 @@ def unchanged(source: DataFrame, copy: DataFrame, key: list[str], columns: str |
     """One row: how many rows of each column have the source's value (equal_values; of a list: equal_0, equal_1 ...), and
     how many source keys the copy lacks (missing). One join for all columns."""
     names = [columns] if isinstance(columns, str) else list(columns)
-    s = source.select(*[F.col(f"`{k}`") for k in key], *[F.col(f"`{n}`").alias(f"palimpsest s {i}") for i, n in enumerate(names)])
-    d = copy.select(*[F.col(f"`{k}`").alias(f"palimpsest k {k}") for k in key], *[F.col(f"`{n}`").alias(f"palimpsest d {i}") for i, n in enumerate(names)], F.lit(True).alias("palimpsest there"))
+    s = source.select(*[F.col(quoted(k)) for k in key], *[F.col(quoted(n)).alias(f"palimpsest s {i}") for i, n in enumerate(names)])
+    d = copy.select(*[F.col(quoted(k)).alias(f"palimpsest k {k}") for k in key], *[F.col(quoted(n)).alias(f"palimpsest d {i}") for i, n in enumerate(names)], F.lit(True).alias("palimpsest there"))
     out = ["equal_values"] if isinstance(columns, str) else [f"equal_{i}" for i in range(len(names))]
-    equal = [F.count_if(F.col(f"`palimpsest s {i}`") == F.col(f"`palimpsest d {i}`")).alias(n) for i, n in enumerate(out)]
+    equal = [F.count_if(F.col(quoted(f"palimpsest s {i}")) == F.col(quoted(f"palimpsest d {i}"))).alias(n) for i, n in enumerate(out)]
     return s.join(d, _keyed(key), "left").agg(*equal, F.count_if(F.col("`palimpsest there`").isNull()).alias("missing"))
 
 
 def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """(i, v): the columns' values as text, one row each."""
-    return df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{n}`").cast("string").alias("v")) for i, n in enumerate(columns)])).alias("c")).select("c.*")
+    return df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(quoted(n)).cast("string").alias("v")) for i, n in enumerate(columns)])).alias("c")).select("c.*")
 
 
 def shared_values(source: DataFrame, copy: DataFrame, columns: str | list[str]) -> DataFrame:
@@ -293,7 +293,7 @@ def canaries(needles: DataFrame, df: DataFrame, columns: list[str], limit: int =
     found = sorted({r["x"] for r in needles.select("x").where("x <> ''").distinct().limit(limit + 1).collect()})
     if len(found) > limit:
         raise ValueError(f"more than {limit} canaries")
-    text = F.lower(F.concat_ws("\u0001", *[F.col(f"`{c}`").cast("string") for c in columns]))
+    text = F.lower(F.concat_ws("\u0001", *[F.col(quoted(c)).cast("string") for c in columns]))
 
     @F.pandas_udf("array<int>")
     def hits(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -325,7 +325,7 @@ def checksum(df: DataFrame, key: list[str], column: str) -> int:
 
 def checksums(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """One row: the checksum of each column. Rows that are equal cancel out in pairs, so the key should be one."""
-    one = lambda n: F.coalesce(F.bit_xor(F.xxhash64(*[F.col(f"`{k}`") for k in key], F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("\u0000null")))), F.lit(0))
+    one = lambda n: F.coalesce(F.bit_xor(F.xxhash64(*[F.col(quoted(k)) for k in key], F.coalesce(F.col(quoted(n)).cast("string"), F.lit("\u0000null")))), F.lit(0))
     return df.agg(*[one(n).alias(n) for n in columns])
 
 

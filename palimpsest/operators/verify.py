@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions import columns as c
+from palimpsest.functions.columns import quoted
 from palimpsest.operators import dataset
 from palimpsest.plans.plan import Plan, passport_pairs
 from palimpsest.sources.corpus import SEM_TO_CORPUS
@@ -43,7 +44,7 @@ def ceiling(size: int, n_distinct: int) -> float:
 
 def composite_key(key: list[str]) -> Column:
     """One unambiguous text of a key of several columns."""
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("\u0000")) for k in key])
+    return F.concat_ws("\u0001", *[F.coalesce(F.col(quoted(k)).cast("string"), F.lit("\u0000")) for k in key])
 
 
 def identifiers(source: DataFrame, plan: Plan, table: str) -> DataFrame:
@@ -52,9 +53,9 @@ def identifiers(source: DataFrame, plan: Plan, table: str) -> DataFrame:
     for col in plan.of(table):
         if col.sem_type in ("inn", "snils", "ogrn"):
             valid = {"inn": c.valid_inn, "snils": c.valid_snils, "ogrn": c.valid_ogrn}[col.sem_type]
-            out = out.unionByName(source.select(F.regexp_replace(F.col(f"`{col.column}`").cast("string"), "[^0-9]", "").alias("x")).where(valid("x")))
+            out = out.unionByName(source.select(F.regexp_replace(F.col(quoted(col.column)).cast("string"), "[^0-9]", "").alias("x")).where(valid("x")))
     for series, number in passport_pairs(source.columns):
-        out = out.unionByName(source.select(F.regexp_replace(F.concat(F.col(f"`{series}`").cast("string"), F.col(f"`{number}`").cast("string")), "[^0-9]", "").alias("x")).where("length(x) = 10"))
+        out = out.unionByName(source.select(F.regexp_replace(F.concat(F.col(quoted(series)).cast("string"), F.col(quoted(number)).cast("string")), "[^0-9]", "").alias("x")).where("length(x) = 10"))
     return out.where("x is not null").distinct()
 
 
@@ -66,7 +67,7 @@ def degraded(summary: DataFrame, limit: int | None) -> Check:
 
 def occurs(df: DataFrame, columns: list[str], fragment: str, name: str = "preserved") -> Check:
     """A fragment stands literally in one of the columns."""
-    text = F.concat_ws("\u0001", *[F.col(f"`{x}`").cast("string") for x in columns])
+    text = F.concat_ws("\u0001", *[F.col(quoted(x)).cast("string") for x in columns])
     return check(name, fragment, not df.where(F.contains(text, F.lit(fragment))).limit(1).isEmpty())
 
 
@@ -96,8 +97,8 @@ def classifier_metrics(found: DataFrame, truth: DataFrame) -> DataFrame:
 
 def correlation(left: DataFrame, right: DataFrame, key: str, by: str, a: str, b: str) -> float | None:
     """Correlation of a column with the mean of another table's column by key."""
-    mean = right.groupBy(F.col(f"`{by}`").alias("palimpsest by")).agg(F.avg(F.col(f"`{b}`")).alias("palimpsest mean"))
-    return left.join(mean, F.col(f"`{key}`") == F.col("`palimpsest by`")).agg(F.corr(F.col(f"`{a}`").cast("double"), "`palimpsest mean`").alias("c")).first()["c"]
+    mean = right.groupBy(F.col(quoted(by)).alias("palimpsest by")).agg(F.avg(F.col(quoted(b))).alias("palimpsest mean"))
+    return left.join(mean, F.col(quoted(key)) == F.col("`palimpsest by`")).agg(F.corr(F.col(quoted(a)).cast("double"), "`palimpsest mean`").alias("c")).first()["c"]
 
 
 def probes(source: dict[str, DataFrame], copy: dict[str, DataFrame], manifest: dict) -> list[Check]:
@@ -183,7 +184,7 @@ def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan,
         out.append(check("link", f"{child}.{','.join(cols)}", n == 0, f"{n} rows without a parent"))
     for t, df in copy.items():
         text = [f.name for f in df.schema if f.dataType.typeName() != "binary"]
-        joined = df.select(F.concat_ws("\u0001", *[F.col(f"`{x}`").cast("string") for x in text]).alias("x_text"))
+        joined = df.select(F.concat_ws("\u0001", *[F.col(quoted(x)).cast("string") for x in text]).alias("x_text"))
         if ids is not None:
             n = dataset.leaked_identifiers(ids, joined, "x_text").count()
             out.append(check("leak", t, n == 0, f"{n} identifiers"))

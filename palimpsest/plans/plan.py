@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions import columns as c
+from palimpsest.functions.columns import quoted
 
 #: Strategies, json field types, default strategy of a semantic type.
 STRATEGIES = ["direct", "fake", "generate", "generalize", "shuffle", "keep", "null", "freetext", "jsonb", "unresolved"]
@@ -172,11 +173,6 @@ def validate_plan(plan: Plan, schema: list[tuple[str, str, str]], unique: set[st
     return wrong
 
 
-def quoted(name: str) -> str:
-    """A column's name in SQL."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _generate(salt: str, corpora: dict, sem_type: str | None, value: str) -> Column:
     """The one replacement of an identifier, in a column as within json. value: SQL of its text."""
     make = {

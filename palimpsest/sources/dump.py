@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from palimpsest.functions.columns import quoted
+
 #: Escapes of the COPY text form.
 ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
 _ESCAPE = re.compile(r"\\(x[0-9A-Fa-f]{1,2}|[0-7]{1,3}|.)", re.DOTALL)
@@ -64,7 +66,7 @@ def read_copy(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_copy(df: DataFrame, path: str) -> None:
-    lines = F.concat_ws("\t", *[escape(F.col(f"`{n}`")) for n in df.columns])
+    lines = F.concat_ws("\t", *[escape(F.col(quoted(n))) for n in df.columns])
     df.select(lines.alias("value")).write.option("compression", "gzip").option("lineSep", "\n").text(path)
 
 

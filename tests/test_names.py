@@ -24,6 +24,8 @@ def test_names_in_text_agree_with_columns(spark):
     assert f"{row['family']} {row['name']} {row['patronymic']}" in out
     assert notes == ["person", "initials"] and "Смирнова" not in out
     assert re.search(rf"{row['family']} \w\.\w\. ушла", out)
+    short = df.select(c.fake_initials("s", CORPORA, "f", "n", "p").alias("x")).first()["x"].split()
+    assert f"{short[0]} {short[1]}{short[2]} ушла" in out
 
 
 def test_half_known_words_wait_for_a_verdict(spark):

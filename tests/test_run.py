@@ -214,6 +214,12 @@ def test_draft_takes_votes_classes_and_json(spark, tmp_path):
     with pytest.raises(KeyError):
         back.col("a.none")
     assert cli.draft({"a": a, "b": b}, config | {"json": {"a.props": {"k": "keep", "m": "keep"}}}, seen)[0].columns[-1] is not None
+    found, _ = cli.draft({"a": a, "b": b.drop("code")}, {"discover": True})
+    assert found.keys == {"a": ["code"], "b": ["id"]} and found.classes == []
+    found, _ = cli.draft({"a": a.drop("code"), "b": b.drop("code")}, {"discover": True})
+    assert found.keys == {"a": ["id"], "b": ["id"]} and found.classes == [["a.id", "b.a_id"]]
+    odd = spark.createDataFrame([(1, "x@y.ru")], "`i``d` long, `e``mail` string")
+    assert [r["col"] for r in dataset.profile(odd, "t").orderBy("col").collect()] == ["e`mail", "i`d"] and dataset.entropies(odd, ["e`mail"]) == {"e`mail": (0.0, 1)}
     assert dataset.candidate_keys(dataset.profile(a, "a")) == {"a": ["code", "id"]}
     assert dataset.links_found({"a": a, "b": b}, {"a": ["id"]}) == [("b", ["a_id"], "a", ["id"])]
 
