@@ -3,12 +3,14 @@
 The automaton holds the tokens of all license templates. A file's tokens are
 streamed through it, which gives at each place the length of the longest run that
 ends there and stands in some template (matching statistics). Runs that can't
-grow and are long enough are placed in their templates and chained in order; a
-chain that covers enough of a template is a span of that license.
+grow and are long enough are placed in their templates and chained in order, the best
+chain to each being found exactly; a chain that covers enough of a template is a span of that license.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,11 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", "The Software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the Software or the use or other dealings in the Software."),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
 ]
 
@@ -132,23 +139,48 @@ class Automaton:
         return len(all_words), spans + self._chains(matches)
 
     def _chains(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float, bool]]:
-        """Chains of matches in order in file and template, joined over gaps of up to MAX_GAP words."""
-        found, open_ = [], {}
-        for k, at, place, n in sorted(set(matches), key=lambda m: (m[1], m[0], -m[3], m[2])):
-            chains = open_.setdefault(k, [])
-            for c in reversed(chains[-8:]):
-                if at >= c["stop"] and place >= c["place"] and at - c["stop"] <= MAX_GAP:
-                    c.update(stop=at + n, place=place + n, covered=c["covered"] + n)
+        """The best chains of each template whose cover is enough, those with the largest cover first where they overlap in the file."""
+        found = []
+        of: dict[int, list[tuple[int, int, int]]] = {}
+        for k, at, place, n in sorted(set(matches)):
+            of.setdefault(k, []).append((at, place, n))
+        for k, mine in of.items():
+            least = MIN_COVER * len(self.bodies[k])
+            if sum(n for _, _, n in mine) < least:
+                continue
+            taken: list[tuple[int, int]] = []
+            for covered, start, stop in sorted(best_chains(mine), key=lambda c: (-c[0], c[1], c[2])):
+                if covered < least:
                     break
-            else:
-                if not chains or at + n > max(c["stop"] for c in chains[-8:]) or place < chains[-1]["from"]:
-                    chains.append({"start": at, "stop": at + n, "from": place, "place": place + n, "covered": n})
-        for k, chains in open_.items():
-            for c in chains:
-                cover = min(1.0, c["covered"] / len(self.bodies[k]))
-                if cover >= MIN_COVER:
-                    found.append((self.labels[k], c["start"], c["stop"], cover, False))
-        return found
+                if not any(start < z and a < stop for a, z in taken):
+                    taken.append((start, stop))
+                    found.append((self.labels[k], start, stop, covered / len(self.bodies[k]), False))
+        return sorted(found, key=lambda f: (f[1], f[2], f[0]))
+
+
+def best_chains(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(covered, start, stop) of the best chain that ends in each match (at, place, n), given in order of their places in the file.
+
+    A match goes on from one before it whose end in the file is at most MAX_GAP words
+    back and whose ends, in file and template, it passes; what it shares with that one
+    is cut from its front. Matches further back can't be reached again and are passed over.
+    """
+    out: list[tuple[int, int, int]] = []
+    reach = 0  # matches before it end too far back
+    ends = [at + n for at, _, n in matches]
+    last = list(accumulate(ends, max))
+    for i, (at, place, n) in enumerate(matches):
+        while reach < i and last[reach] < at - MAX_GAP:
+            reach += 1
+        best = (n, at)
+        for j in range(reach, i):
+            a, p, m = matches[j]
+            if ends[j] >= at - MAX_GAP and at >= a:
+                rest = n - max(0, ends[j] - at, p + m - place)
+                if rest > 0:
+                    best = max(best, (out[j][0] + rest, out[j][1]), key=lambda b: (b[0], -b[1]))
+        out.append((*best, at + n))
+    return out
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, text: str = "text", key: str = "doc_id") -> DataFrame:
