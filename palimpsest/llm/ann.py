@@ -110,9 +110,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, seed: int = 11) ->
     dealt = base.withColumn("g", F.pmod(F.xxhash64("vec_id", "v"), F.lit(groups)).cast("int"))
     schema = "query_id long, vec_id long, score double"
 
-    def search(block: list[tuple[int, int, list[float]]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(block)
-
+    def search(shared) -> DataFrame:
         def run(key, table):
             dim = key[1].as_py()
             mine = [(q, np.array(v)) for q, d, v in shared.value if d == dim]
@@ -132,14 +130,24 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, seed: int = 11) ->
 
         return dealt.groupBy("g", "dim").applyInArrow(run, schema)
 
-    out, block = None, []
+    out, block = spark.createDataFrame([], schema), []
+
+    def answered(last: bool) -> DataFrame:
+        """The block's answers; where more blocks come, one at a time is held by the executors."""
+        shared = spark.sparkContext.broadcast(block)
+        found = search(shared)
+        if not last:
+            found = checkpoint(found)
+            shared.destroy()
+        return out.unionByName(found)
+
     for r in asked.toLocalIterator():
-        block.append((r["vec_id"], r["dim"], r["v"]))
         if len(block) >= QUERY_ROWS:
-            out = search(block) if out is None else out.unionByName(search(block))
+            out = answered(last=False)
             block = []
-    last = search(block) if block else spark.createDataFrame([], schema)
-    out = last if out is None else out.unionByName(last)
+        block.append((r["vec_id"], r["dim"], r["v"]))
+    if block:
+        out = answered(last=True)
     best = out.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, documents, real_id, shingles
+from .common import LOWER, checkpoint, documents, real_id, shingles
 
 #: Shingle width, and the share of an item's shingles that a document must hold.
 WIDTH, CONTAINMENT = 5, 0.75
@@ -78,17 +78,17 @@ class Index:
 
 
 def _item_blocks(items: DataFrame, block_bytes: int):
-    """Lists (item_id, text) of bounded size, one after the other."""
+    """Lists (item_id, text) of bounded size, one after the other, and whether a list is the only one."""
     block: list[tuple[int | None, str]] = []
-    size = 0
+    size, first = 0, True
     for row in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
-        block.append((row["item_id"], row["text"] or ""))
-        size += len(row["text"] or "")
         if size >= block_bytes:
-            yield block
-            block, size = [], 0
+            yield block, False
+            block, size, first = [], 0, False
+        block.append((row["item_id"], row["text"] or ""))
+        size += len((row["text"] or "").encode())
     if block:
-        yield block
+        yield block, first
 
 
 def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -104,9 +104,7 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
     spark = docs.sparkSession
     body = documents(docs)
 
-    def scan(block: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(block)
-
+    def scan(shared) -> DataFrame:
         def run(batches):
             index = Index(shared.value, containment)
             for batch in batches:
@@ -119,15 +117,20 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
         return body.mapInArrow(run, schema)
 
     out = None
-    for block in _item_blocks(items, block_bytes):
-        out = scan(block) if out is None else out.unionByName(scan(block))
+    for block, alone in _item_blocks(items, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
+        found = scan(shared)
+        if not alone:  # one block at a time is held by the executors
+            found = checkpoint(found)
+            shared.destroy()
+        out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], schema) if out is None else out
     return out.withColumn("doc_id", real_id("doc_id"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, all columns, that hold no item. Cases as in ``contained_items``; no shuffle."""
-    for block in _item_blocks(items, block_bytes):
+    for block, alone in _item_blocks(items, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
@@ -136,4 +139,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, containment: float = CONTAINME
                 yield batch.filter(pa.array([not index.search(t.as_py() or "") for t in batch["text"]], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not alone:
+            docs = checkpoint(docs)
+            shared.destroy()
     return docs
