@@ -280,7 +280,7 @@ def _whole(cut: np.ndarray, width: int) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
-def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: bool, later: bool = False, extra: str | None = None, width: int = 4, through: bool = False) -> DataFrame:
+def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: bool, later: bool = False, extra: str | None = None, width: int = 4, through: bool = False, hot: int = 0) -> DataFrame:
     """Which marks of each document occur anywhere else, or (later) anywhere before.
 
     ``marks(texts)``, or ``marks(texts, extra column)``, gives the 64-bit marks of a
@@ -291,18 +291,21 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
 
     Marks are dealt out to hash buckets that stand for 8 MB of text each, as
     fingerprints of ``width`` bytes there, so about 0.02 % (3 bytes: 5 %) of the lone
-    marks are reported too: callers verify. With ``later`` full hashes travel, each with its document's
+    marks are reported too: callers verify. With ``later`` full hashes travel, and
+    32 bits more that marks gives as a fifth array (of 10^13 marks no two then fall
+    together by chance), each with its document's
     id, and every mark but the first in order of (doc_id, th, place) is a hit. A
     block of documents sends each distinct mark once, whatever its frequency, so
     a mark in a third of all documents costs its bucket one entry per block. What a
     block keeps to itself waits in the first exchange; with ``through`` it travels
     with the answers instead, for inputs out of joins, where Spark would not use the
-    exchange again but read and mark the documents twice.
+    exchange again but read and mark the documents twice. With ``hot`` a column of
+    that name has the places of the marks that so many blocks or more hold.
     """
 
     def emit(batches):
         for ids, ths, texts, extras in blocks(batches, extra):
-            allm, lens, place, payload = marks(texts, extras) if extra else marks(texts)
+            allm, lens, place, payload, *check = marks(texts, extras) if extra else marks(texts)
             row, place = np.repeat(np.arange(len(ids), dtype=np.uint32), lens), place.astype(np.uint32)
             if later:
                 where = np.lexsort((np.array(ths), np.array(ids)))  # documents in order; equal keys are one document
@@ -310,12 +313,12 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
                 rank = np.empty(len(ids), np.int64)
                 rank[where] = np.cumsum(_first_of_runs(i, t))
                 spot = rank[row] << 32 | place
-                order, _ = ordered([allm, spot])
-                s, spot = allm[order], spot[order]
-                new = _first_of_runs(s)
+                order, _ = ordered([allm, check[0], spot])
+                spot = spot[order]
+                new = _first_of_runs(allm[order], check[0][order])
                 run = np.cumsum(new) - 1
-                local = np.zeros(len(s), bool)
-                local[order] = spot > spot[new][run] if len(s) else False
+                local = np.zeros(len(spot), bool)
+                local[order] = spot > spot[new][run] if len(spot) else False
                 alone = np.ones(int(new.sum()), bool)
             else:
                 order = np.argsort(allm)
@@ -334,12 +337,15 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
             # marks that need no answer stand last in their bucket
             by, _ = ordered(packed(bucket, ~alone, row[first], place[first]))
             cut = np.flatnonzero(_first_of_runs(bucket[by])).tolist()
-            for a, z in zip(cut, [*cut[1:], len(by)], strict=True):
+            if hot:  # where the marks that a bucket may call hot stand
+                known = pack(*unpack(known), (row[order], place[order], np.flatnonzero(new), by, dict(zip(bucket[by[cut]].tolist(), cut, strict=True))))
+                out_d[0] = known
+            for a, z in zip(cut, [*cut, len(by)][1:], strict=False):  # no marks: no cuts
                 pick = by[a:z]
                 r = row[first[pick]]
                 if later:
                     used, own = np.unique(r, return_inverse=True)
-                    body = pack(h[pick], _small(own), _small(place[first[pick]]), used, np.array(ids)[used], np.array(ths)[used])
+                    body = pack(h[pick], _small(own), _small(place[first[pick]]), used, np.array(ids)[used], np.array(ths)[used], check[0][first[pick]])
                 else:
                     r = r[: int(alone[pick].sum())]
                     step = np.diff(r, prepend=np.uint32(0))  # small numbers compress well
@@ -356,22 +362,28 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
             if later:
                 ids, ths = (np.concatenate([x[j][x[1]] for _, x in rest]) for j in (4, 5))
                 places = np.concatenate([x[2].astype(np.uint32) for _, x in rest])
-                order, _ = ordered([mark, ids, ths, places])
-                new = _first_of_runs(mark[order])
-                fresh = _first_of_runs(mark[order], ids[order], ths[order], places[order])
+                more = np.concatenate([x[6] for _, x in rest])
+                order, _ = ordered([mark, more, ids, ths, places])
+                new = _first_of_runs(mark[order], more[order])
+                fresh = _first_of_runs(mark[order], more[order], ids[order], ths[order], places[order])
                 step = np.cumsum(fresh)
                 hit[order] = step > step[new][np.cumsum(new) - 1]
             else:
                 order = np.argsort(mark)
                 new = _first_of_runs(mark[order])
                 hit[order] = ~(new & np.r_[new[1:], True])
+                if hot:
+                    often = np.zeros(len(mark), bool)
+                    often[order] = np.repeat(np.diff(np.r_[np.flatnonzero(new), len(mark)]) >= hot, np.diff(np.r_[np.flatnonzero(new), len(mark)]))
             at = 0
             for b, x in rest:
                 r = x[3][x[1]] if later else np.cumsum(x[1], dtype=np.uint32)
                 h = hit[at : at + len(r)]
-                at += len(x[0]) // (1 if later else width)
-                if h.any():
-                    out.append((b, group["key"][0].as_py(), pack(r[h], x[2][h].astype(np.uint32) if want_places else None)))
+                n = len(x[0]) // (1 if later else width)
+                called = np.flatnonzero(often[at : at + n]).astype(np.uint32) if hot else None
+                at += n
+                if h.any() or (hot and len(called)):
+                    out.append((b, group["key"][0].as_py(), pack(r[h], x[2][h].astype(np.uint32) if want_places else None, called)))
         return pa.table([pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["block", "bucket", "data"])
 
     def answer(asked: pa.Table, answers: pa.Table) -> pa.Table:
@@ -385,7 +397,7 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
     def laid(known: list, answers: dict) -> pa.Table:
         if not known:  # a bucket's marks
             return out_schema.empty_table()
-        ids, ths, payload, lens, row, place = known[0]
+        ids, ths, payload, lens, row, place, *where = known[0]
         hits = [unpack(d) for d in answers.values()]  # one for each bucket, though a block that was read twice is answered twice
         rows = np.concatenate([row, *[x[0] for x in hits]]).astype(np.int64)
         count = np.bincount(rows, minlength=len(ids))
@@ -395,16 +407,22 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
             order, _ = ordered(packed(rows, places))
             got = [pack(x) for x in np.split(places[order], np.cumsum(count)[:-1])]
         times = len(known)  # a block that was read twice has its documents twice
-        return pa.table(
-            [pa.array(ids * times, pa.int64()), pa.array(ths * times, pa.int64()), pa.array(payload * times, pa.binary()), pa.array(list(lens) * times, pa.int64()), pa.array(list(count) * times, pa.int64()), pa.array(got * times, pa.binary())],
-            names=["doc_id", "th", "payload", "n_marks", "n_hits", "hits"],
-        )
+        cols = [pa.array(ids * times, pa.int64()), pa.array(ths * times, pa.int64()), pa.array(payload * times, pa.binary()), pa.array(list(lens) * times, pa.int64()), pa.array(list(count) * times, pa.int64()), pa.array(got * times, pa.binary())]
+        if hot:
+            rows_of, places_of, start, by, cut = where[0]
+            size = np.diff(np.r_[start, len(rows_of)])
+            marks_ = np.concatenate([np.empty(0, np.int64), *[by[cut[b] + unpack(d)[2]] for b, d in answers.items()]])
+            at = np.repeat(start[marks_], size[marks_]) + counted(size[marks_])
+            order, _ = ordered(packed(rows_of[at], places_of[at]))
+            own = np.split(places_of[at][order], np.cumsum(np.bincount(rows_of[at], minlength=len(ids)))[:-1])
+            cols.append(pa.array([pack(x) for x in own] * times, pa.binary()))
+        return pa.table(cols, names=out_schema.names)
 
     columns = [*KEY, "text", *([extra] if extra else [])]
-    out_schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("payload", pa.binary()), ("n_marks", pa.int64()), ("n_hits", pa.int64()), ("hits", pa.binary())])
+    out_schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("payload", pa.binary()), ("n_marks", pa.int64()), ("n_hits", pa.int64()), ("hits", pa.binary()), ("hot", pa.binary())][: 7 if hot else 6])
     sent = docs.select(*columns).mapInArrow(emit, "key long, block long, data binary")
     met = sent.groupBy("key").applyInArrow(meet, "block long, bucket long, data binary")
-    ddl = "doc_id long, th long, payload binary, n_marks long, n_hits long, hits binary"
+    ddl = "doc_id long, th long, payload binary, n_marks long, n_hits long, hits binary" + ", hot binary" * bool(hot)
     if through:
         return met.groupBy("block").applyInArrow(answer_alone, ddl)
     # what a block keeps stays in the partitions of the first exchange, which serves both sides

@@ -3,7 +3,9 @@
 A 400-byte string that occurs twice has, in both places, the same anchors: the
 32-byte grams that are the least in a 256-byte window. The fingerprint exchange
 tells which anchors occur elsewhere; only strings whose anchors all do can repeat.
-Their suffixes are dealt out by the anchor that comes first, so equal strings meet.
+Their suffixes are dealt out by the anchor that comes first, so equal strings meet;
+where many blocks hold an anchor, by it and the text before or behind it that the
+string must have, so that no anchor's suffixes all go to one task.
 
 A task then sorts the suffixes of its texts bucket by bucket. Ranks of the cover
 sample, the places whose offset modulo V is in a difference cover, are computed
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -32,6 +35,8 @@ V = 32
 COVER = [0, 1, 2, 4, 8, 13, 18, 24]
 #: Bytes that the sample's ranks compare.
 DEPTH = 256
+#: Blocks that make an anchor hot.
+HOT = 32
 #: Suffixes that one bucket of a task sorts at a time.
 BUCKET_SUFFIXES = 1 << 20
 
@@ -101,13 +106,30 @@ def _marks(text: str) -> np.ndarray:
     return np.concatenate((values, h[at[1:][twice]]))
 
 
-def candidates(text: bytes, hits: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int]]:
-    """(anchor value, first start, end of starts) of the strings of ``length`` bytes that may repeat, given the runs whose anchors do."""
+def _parted(text: bytes, value: int, places: np.ndarray, a: int, z: int, length: int) -> list[tuple[int, int, int]]:
+    """The starts [a, z) parted by what their strings have beside the anchor, at the first of ``places`` from the start on:
+    the ``side`` bytes before it, or where a start is nearer to it than that, the bytes behind it."""
+    side = (length - GRAM) // 2
+    out, at = [], a
+    for p in places[np.searchsorted(places, a) :].tolist():
+        for end, beside, seed in ((p - side + 1, text[max(0, p - side) : p], 1), (p + 1, text[p + GRAM : p + GRAM + side], 2)):
+            end = min(end, z)
+            if at < end:
+                out.append(((value ^ xxhash.xxh3_64_intdigest(beside, seed=seed)) & (2**64 - 1), at, end))
+                at = end
+        if at >= z:
+            break
+    return out
+
+
+def candidates(text: bytes, hits: np.ndarray, length: int = LENGTH, hot: np.ndarray = ()) -> list[tuple[int, int, int]]:
+    """(value to deal by, first start, end of starts) of the strings of ``length`` bytes that may repeat, given the runs whose
+    anchors do, and those whose anchors are hot."""
     n = len(text) - length + 1
     if n <= 0 or not len(hits):
         return []
-    at, values, _, _ = _anchor_runs(text)
-    hits = hits[hits < len(at)]
+    at, values, grams, _ = _anchor_runs(text)
+    hits, hot = hits[hits < len(at)], set(np.asarray(hot, np.int64).tolist())
     total = len(text) - GRAM - WINDOW + 2
     bad = np.ones(len(at), bool)
     bad[hits] = False
@@ -124,7 +146,11 @@ def candidates(text: bytes, hits: np.ndarray, length: int = LENGTH) -> list[tupl
         if a >= z or not good[a:z].any():
             continue
         edge = np.flatnonzero(np.diff(np.r_[False, good[a:z], False].astype(np.int8)))
-        out += [(int(values[k]), a + int(p), a + int(q)) for p, q in edge.reshape(-1, 2)]
+        mine = [(int(values[k]), a + int(p), a + int(q)) for p, q in edge.reshape(-1, 2)]
+        if int(k) in hot:
+            places = a + np.flatnonzero(grams[a : int(ends[k]) + WINDOW - 1] == values[k])
+            mine = [x for v, p, q in mine for x in _parted(text, v, places, p, q, length)]
+        out += mine
     return out
 
 
@@ -261,24 +287,24 @@ def repeated_spans(docs: DataFrame, lengths: tuple[int, ...] = (LENGTH,)) -> Dat
     """
     buckets = n_buckets(total_bytes(docs))
     least = min(lengths)
-    marked = repeated_marks(docs, each(_marks), buckets, want_places=True)
-    hits = marked.where("n_hits > 0").select("doc_id", "th", "hits").dropDuplicates(KEY)
+    marked = repeated_marks(docs, each(_marks), buckets, want_places=True, hot=HOT)
+    hits = marked.where("n_hits > 0").select("doc_id", "th", "hits", "hot").dropDuplicates(KEY)
     fields = [("bucket", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("first", pa.int64()), ("piece", pa.binary()), ("size", pa.int64()), ("starts", pa.int64())]
 
     def cut(batches):
         """Pieces of text for the sorters; what repeats within the block is known at once."""
         for batch in batches:
-            rows = list(zip(batch["doc_id"].to_pylist(), batch["th"].to_pylist(), batch["text"], batch["hits"], strict=True))
+            rows = list(zip(batch["doc_id"].to_pylist(), batch["th"].to_pylist(), batch["text"], batch["hits"], batch["hot"], strict=True))
             at = 0
             while at < len(rows):
                 pieces: dict[tuple[int, bytes, int], list] = {}
                 size = 0
                 while at < len(rows) and size < (8 << 20):
-                    doc_id, th, text, hit = rows[at]
+                    doc_id, th, text, hit, hot = rows[at]
                     data = text.as_py().encode()
                     size += len(data)
                     at += 1
-                    for value, a, z in candidates(data, unpack(hit)[0], least):
+                    for value, a, z in candidates(data, unpack(hit)[0], least, unpack(hot)[0]):
                         pieces.setdefault((value, data[a : z - 1 + LENGTH], z - a), []).append((doc_id, th, a))
                 out: dict[str, list] = {name: [] for name, _ in fields}
 
@@ -316,7 +342,7 @@ def repeated_spans(docs: DataFrame, lengths: tuple[int, ...] = (LENGTH,)) -> Dat
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "th", "first", "starts", "length"])
 
-    pieces = docs.join(hits, KEY).select(*KEY, "text", "hits").mapInArrow(cut, "bucket long, kind int, doc_id long, th long, first long, piece binary, size long, starts long")
+    pieces = docs.join(hits, KEY).select(*KEY, "text", "hits", "hot").mapInArrow(cut, "bucket long, kind int, doc_id long, th long, first long, piece binary, size long, starts long")
     found = pieces.groupBy("bucket").applyInArrow(sort, "doc_id long, th long, first long, starts long, length long")
     span = F.struct("first", (F.col("first") + F.col("starts") + F.col("length") - 1).alias("end"))
     return found.groupBy(*KEY).agg(*[F.array_sort(F.collect_set(F.when(F.col("length") == n, span))).alias(f"spans{i or ''}") for i, n in enumerate(lengths)])
