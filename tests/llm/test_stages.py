@@ -115,6 +115,22 @@ def test_both_lengths_of_repeats(spark, rows):
     assert got == want and any(b and not a for _, _, a, b in want)
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_hot_anchors_are_parted(spark, rows, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(common.blocks, "__defaults__", (None, 1500))
+    rng = random.Random(12)
+    passage = " ".join(_words(rng, 55))
+    unit = " ".join(_words(rng, 30))
+    some = [r for r in rows if r[0] < 120] + [(400 + i, f"{' '.join(_words(rng, rng.randrange(40)))} {passage} {' '.join(_words(rng, rng.randrange(40)))}") for i in range(25)]
+    some += [(500 + i, f"{unit} " * (3 + i) + " ".join(_words(rng, 20))) for i in range(6)]
+    data, long = _covered([t for _, t in some], 400)
+    _, short = _covered([t for _, t in some], suffix_dedup.PASSAGE)
+    want = Counter((i, len(d), int(a.sum()), int(b.sum())) for (i, _), d, a, b in zip(some, data, long, short, strict=True))
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_passage_bytes"]) for r in suffix_dedup.remove_repeats(_docs(spark, some).repartition(6)).collect())
+    assert got == want
+
+
 def test_all_periods_of_a_text(spark):
     rng = random.Random(5)
     units = {p: "".join(rng.choice("abcdefgh ") for _ in range(p)) for p in [*range(1, 40), *range(100, 1001, 37), 255, 256, 257, 511, 512, 513]}
@@ -160,11 +176,31 @@ def test_symbols_of_equal_strings_are_equal():
     one, two = (np.array([*a, *same, *b, bar], np.uint64) for a, b in (sides[:2], sides[2:]))
     found = []
     for text, lead in ((one, 3), (two, 17)):
-        sym, low, high = recompression.parse(text)
+        sym, low, high, _ = recompression.parse(text)
         found.append({(int(s), int(a) - lead, int(z) - lead) for s, a, z in zip(sym, low, high, strict=True) if a >= lead and z <= lead + 60})
     assert found[0] == found[1] and len(found[0]) > 10
 
 
+def test_windows_go_by_their_symbol_strings():
+    rng = random.Random(3)
+    words = [recompression.word_hashes([w.encode() for w in _words(rng, n, 30)]) for n in (80, 25, 300)]
+    words.append(np.concatenate((words[2][40:75], words[0][:30], words[2][100:160])))  # copies of parts in other surroundings
+    bar = np.array([recompression.BAR])
+    h = np.concatenate([x for w in words for x in (w, bar)])
+    end = np.flatnonzero(h == recompression.BAR)
+    begin = np.r_[0, end[:-1] + 1]
+    at = np.concatenate([np.arange(a, z - recompression.WINDOW + 1) for a, z in zip(begin, end, strict=True)])
+    parsed = recompression.parse(h)
+    names = recompression.window_names(h, parsed, at, begin, end, int(recompression._LEFT))
+    same = {}
+    for p, name in zip(at, names, strict=True):
+        same.setdefault(tuple(h[p : p + recompression.WINDOW]), set()).add(int(name))
+    assert all(len(x) == 1 for x in same.values()) and len({x for s in same.values() for x in s}) == len(same) < len(at) - 60
+    # other names of the symbols give the windows other names: the strings are made of symbols
+    renamed = recompression.window_names(h, (np.where(parsed[0] == recompression.BAR, parsed[0], parsed[0] + np.uint64(2)), *parsed[1:]), at, begin, end, int(recompression._LEFT))
+    assert (names != renamed).mean() > 0.9
+
+
 def test_bpe_of_edge_cases(spark):
     import public_tokenizers
 
