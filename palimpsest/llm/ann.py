@@ -35,38 +35,40 @@ class SortedProjections:
         self.vectors = vectors
         self.ids, self.code = np.unique(ids, return_inverse=True)
         p = vectors @ directions.T
-        self.order = np.argsort(p, axis=0, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(p, self.order, axis=0)
+        self.n, self.m = p.shape
+        order = np.argsort(p, axis=0)
+        values = np.take_along_axis(p, order, axis=0)
+        # the arrays one behind the other, far enough apart that one search finds a place in each
+        self.apart = np.arange(self.m) * (4 * float(np.abs(p).max(initial=0)) + 1)
+        self.order, self.values = order.T.ravel().astype(np.int32), (values + self.apart).T.ravel()
 
     def search(self, q: np.ndarray, at: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the ids found near q, the k nearest among them; q has the projections ``at``, its id ``own`` takes no part.
 
         An id has the distance of its nearest vector, and counts once.
         """
-        n, m = self.values.shape
+        n, m = self.n, self.m
         mine = self.ids == own
         k += int(mine.any())
         need = int(np.ceil(THRESHOLD * m))
-        count = np.zeros(n, np.int16)
-        low = np.array([np.searchsorted(self.values[:, j], at[j]) for j in range(m)])
+        count = np.zeros(n, np.int64)
+        first = np.arange(m) * n
+        at = at + self.apart
+        low = np.clip(np.searchsorted(self.values, at), first, first + n)
         high = low.copy()
         dist = np.full(len(self.ids), np.inf)
         checked = np.zeros(n, bool)
         # the first radius: the spread of the nearest values in the arrays
         step = max(1, min(n - 1, 2 * k))
-        left, right = np.maximum(low - step, 0), np.minimum(low + step, n - 1)
-        cols = np.arange(m)
-        radius = max(float(np.median(np.maximum(at - self.values[left, cols], self.values[right, cols] - at))) * 2, 1e-12)
+        left, right = np.maximum(low - step, first), np.minimum(low + step, first + n - 1)
+        radius = max(float(np.median(np.maximum(at - self.values[left], self.values[right] - at))) * 2, 1e-12)
         while True:
-            for j in range(m):
-                v = self.values[:, j]
-                a, z = np.searchsorted(v, at[j] - A * radius, "left"), np.searchsorted(v, at[j] + A * radius, "right")
-                if a < low[j]:
-                    count[self.order[a : low[j], j]] += 1
-                    low[j] = a
-                if z > high[j]:
-                    count[self.order[high[j] : z, j]] += 1
-                    high[j] = z
+            a = np.clip(np.searchsorted(self.values, at - A * radius, "left"), first, low)
+            z = np.clip(np.searchsorted(self.values, at + A * radius, "right"), high, first + n)
+            size = np.r_[low - a, z - high]
+            new = np.repeat(np.r_[a, high] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            count += np.bincount(self.order[new], minlength=n)
+            low, high = a, z
             fresh = np.flatnonzero((count >= need) & ~checked)
             if len(fresh):
                 checked[fresh] = True
