@@ -27,6 +27,8 @@ from .common import trim
 
 #: Bounds: labelled examples taken of each class, terms of the vectors, neighbours, examples in a block.
 EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 2000, 4096, 9, 64
+#: Bound on the examples' text, in bytes in all; it is what the driver gathers.
+EXAMPLE_BYTES = 128 << 20
 #: Shares of rows: a remainder of crc32(doc_id) that is held out.
 FOLDS, HELD_OUT = 5, 0
 #: A term tells labels apart from this chi-square on (p about 8e-6, as many terms are tried).
@@ -223,7 +225,8 @@ def select_terms(texts: list[str], toxic: list[int], limit: int = TERMS) -> list
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> tuple[list, float, int]:
-    """Up to per_class training rows of each label, least hash first, and the training rows' share of toxic ones."""
+    """Up to per_class training rows of each label, least hash first, one text an id (that of the least hash) and at most
+    EXAMPLE_BYTES of text in all; the training rows' share of toxic ones, and their number."""
     marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where(~held_out())
     counts = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
@@ -232,8 +235,15 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> tup
         part = marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = body.join(F.broadcast(chosen), "doc_id").collect()
-    rows = sorted({(r["doc_id"], r["toxic"], r["text"]) for r in rows})
+    own = F.min_by("text", F.xxhash64("text"))
+    mine = body.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(own.alias("text"))
+    rows, size = [], 0
+    for r in mine.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
+        size += len(r["text"].encode())
+        if size > EXAMPLE_BYTES:
+            break
+        rows.append((r["doc_id"], r["toxic"], r["text"]))
+    rows.sort()
     return rows, counts.get(1, 0) / total if total else 0.0, total
 
 
