@@ -17,8 +17,10 @@ from palimpsest.functions.sqlgen import SPARK
 
 #: Pieces in which a ring is ordered: no task sorts all entities.
 RING_PIECES = 64
-#: Letters of the mark that makes a replacement a value's own: 40 bits.
-MARK = 8
+#: Rows from which an entity is numbered in pieces, and how many.
+HOT_ROWS, HOT_PIECES = 100_000, 1024
+#: Letters of the mark that makes a replacement a value's own: 60 bits.
+MARK = 12
 _LEAK_RUN = r"[0-9][0-9 .\-/()]*"
 
 
@@ -29,7 +31,7 @@ def direct_map(df: DataFrame, column: str, corpus: list[str], salt: str, limit:
     doesn't depend on which other values there are. ``answers`` of a model are taken
     where the source is known and the answer is new, not empty and not the source;
     the generated ones never meet them, for they bear a mark. Two values with one
-    replacement (a collision of 40 bits) raise.
+    replacement (a collision of 60 bits) raise.
     """
     values = df.select(F.col(quoted(column)).cast("string").alias("v")).where("v is not null").distinct()
     if values.limit(limit + 1).count() > limit:
@@ -82,15 +84,36 @@ def ring(ids: DataFrame, salt: str, group: str = "shuffle") -> DataFrame:
     return inner.join(F.broadcast(ends), "piece").select("id", F.coalesce("next", "after").alias("donor"))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows (e, k, ...) with i, the number of each row within its entity e from 1, in order of k.
+
+    An entity with more than HOT_ROWS rows and more than a five-hundredth of all (fewer
+    than 500 are, which bounds what is broadcast) is numbered in HOT_PIECES pieces by
+    the hash of k, piece after piece, so that no task holds all its rows.
+    """
+    counts = rows.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.coalesce(F.max("n"), F.lit(0)).alias("m")).first()
+    limit = max(HOT_ROWS, all_["t"] // 500)
+    if all_["m"] <= limit:
+        return rows.withColumn("i", F.row_number().over(Window.partitionBy("e").orderBy("k")))
+    hot = counts.where(F.col("n") > limit).select(F.col("e").alias("hot"))
+    piece = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("k"), F.lit(HOT_PIECES))).otherwise(-1)
+    parted = rows.join(F.broadcast(hot), F.col("e") == F.col("hot"), "left").withColumn("piece", piece).drop("hot")
+    local = parted.withColumn("i", F.row_number().over(Window.partitionBy("e", "piece").orderBy("k")))
+    sizes = parted.where("piece >= 0").groupBy("e", "piece").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("e").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("e", "piece", F.coalesce(before, F.lit(0)).alias("start"))
+    return local.join(F.broadcast(starts), ["e", "piece"], "left").withColumn("i", F.col("i") + F.coalesce("start", F.lit(0))).drop("piece", "start")
+
+
 def shuffle_column(df: DataFrame, key: str, entity: str, column: str, salt: str, group: str = "shuffle") -> DataFrame:
     """(key, value): row i of an entity gets its donor's row i mod the donor's count; the donor is the next entity of the group's ring that has values.
 
     Rows with a null entity or a null value take no part and get null. The values
     are kept as a multiset only if all entities have equally many rows.
     """
-    w = Window.partitionBy("e").orderBy("k")
     rows = df.where(F.col(entity).isNotNull() & F.col(column).isNotNull()).select(F.col(key).alias("k"), F.col(entity).alias("e"), F.col(column).alias("x"))
-    rows = rows.withColumn("i", F.row_number().over(w))
+    rows = numbered(rows)
     donors = ring(rows.select(F.col("e").alias("id")), salt, group)
     gives = rows.select(F.col("e").alias("donor"), F.col("i").alias("di"), F.col("x").alias("value"))
     counts = rows.groupBy(F.col("e").alias("donor")).agg(F.count(F.lit(1)).alias("dn"))

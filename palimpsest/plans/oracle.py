@@ -82,7 +82,7 @@ def shuffle(source: str, key: str, entity: str, column: str, group: str) -> str:
 
 
 def direct(source: str, column: str) -> str:
-    return f"SELECT v, upper({entry('org', 'lower(trim(v))')}) || '-' || upper({letters(8, "'direct'", 'v')}) AS fake FROM (SELECT DISTINCT {column} AS v FROM {source} WHERE {column} IS NOT NULL)"
+    return f"SELECT v, upper({entry('org', 'lower(trim(v))')}) || '-' || upper({letters(12, "'direct'", 'v')}) AS fake FROM (SELECT DISTINCT {column} AS v FROM {source} WHERE {column} IS NOT NULL)"
 
 
 def card(key: str, n: int) -> str:

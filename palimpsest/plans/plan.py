@@ -238,7 +238,7 @@ def passport_pairs(columns: list[str]) -> list[tuple[str, str]]:
 
 
 def compile_table(df: DataFrame, plan: Plan, table: str, salt: str, corpora: dict, maps: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One projection for a table. maps: one-to-one maps (v, fake) by column, of at most as many values as their limit; a value
+    """One projection for a table. maps: one-to-one maps (v, fake) by column; a value
     that a map lacks raises. The secret is bound as a broadcast row, so that no plan shows it. Shuffled columns pass: give
     them their values first. An unknown strategy raises."""
     by = {x.column: x for x in plan.of(table)}
@@ -273,7 +273,7 @@ def compile_table(df: DataFrame, plan: Plan, table: str, salt: str, corpora: dic
             df, new = _json(df, bound, corpora, x)
         elif x.strategy == "direct":
             m = (maps or {})[n].select(F.col("v").alias(f"palimpsest v {n}"), F.col("fake").alias(f"palimpsest f {n}"))
-            df = df.join(F.broadcast(m), own.cast("string") == F.col(quoted(f"palimpsest v {n}")), "left")
+            df = df.join(m, own.cast("string") == F.col(quoted(f"palimpsest v {n}")), "left")
             fake = F.col(quoted(f"palimpsest f {n}"))
             new = F.when(fake.isNotNull(), fake).otherwise(F.raise_error(F.lit(f"{table}.{n}: a value that its map lacks")))
         else:

@@ -197,7 +197,7 @@ def direct_map_segments(t: Tables) -> DataFrame:
 @query
 def direct_map_suppliers(t: Tables) -> DataFrame:
     df = t("supplier").select("s_suppkey", F.col("s_name").alias("fake"))
-    return _copied(df, "supplier", {"fake": dataset.direct_map(df, "fake", CORPORA["org"], SALT, limit=1_000_000)}, fake=("org_name", "direct"))
+    return _copied(df, "supplier", {"fake": dataset.direct_map(df, "fake", CORPORA["org"], SALT, limit=10**9)}, fake=("org_name", "direct"))
 
 
 @query

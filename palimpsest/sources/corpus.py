@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 
-#: Components that a corpus file must have.
+#: Components that a corpus file must have, by the file's format.
 REQUIRED = ["family", "name_m", "name_f", "patronymic_m", "patronymic_f", "phone_code", "email_domain", "region", "city", "street", "org"]
 
 #: Our own components, lower case.
@@ -86,17 +87,16 @@ def limits(columns: list[tuple[str, int | None]]) -> dict[str, int]:
     return out
 
 
+#: What may be wrong with a component: a message and the entries (or the component's own) that it holds for.
+FAULTS = {
+    "fewer than two entries": lambda name, values, most: values[:1] or ["none"] if len(values) < 2 else [],
+    "given twice": lambda name, values, most: [v for v, n in Counter(values).items() if n > 1],
+    "of a wrong form": lambda name, values, most: [v for v in values if not re.fullmatch(PATTERNS.get(name, ".+"), v)],
+    "longer than its shortest column": lambda name, values, most: [v for v in values if len(v) > most],
+}
+
+
 def validate(corpora: dict[str, list[str]], longest: dict[str, int] | None = None) -> list[str]:
-    """What is wrong with corpora: too few entries, duplicates, a wrong form, longer than the shortest consumer."""
-    wrong = []
-    for name, values in corpora.items():
-        if len(values) < 2:
-            wrong.append(f"{name}: fewer than two entries")
-        if len(set(values)) < len(values):
-            wrong.append(f"{name}: duplicates")
-        for v in values:
-            if name in PATTERNS and not re.fullmatch(PATTERNS[name], v):
-                wrong.append(f"{name}: {v!r} has a wrong form")
-            if longest and name in longest and len(v) > longest[name]:
-                wrong.append(f"{name}: {v!r} is longer than {longest[name]}")
-    return wrong
+    """What is wrong with corpora, by FAULTS. longest: the shortest consumer column of a component."""
+    room = longest or {}
+    return [f"{name}: {fault}: {entry!r}" for name, values in corpora.items() for fault, holds in FAULTS.items() for entry in holds(name, values, room.get(name, 2**31))]

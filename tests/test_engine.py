@@ -76,6 +76,19 @@ def test_ring_and_shuffle(spark):
     assert out.where("value = id * 2").count() == 0
 
 
+def test_an_entity_with_most_rows_is_numbered_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(dataset, "HOT_ROWS", 20)
+    monkeypatch.setattr(dataset, "HOT_PIECES", 8)
+    df = spark.range(400).select("id", F.when(F.col("id") < 250, F.lit(0)).otherwise(F.col("id") % 30).alias("e"), (F.col("id") * 3).alias("x"))
+    rows = dataset.numbered(df.select(F.col("id").alias("k"), "e")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["e"], []).append(r["i"])
+    assert len(rows) == 400 and all(sorted(v) == list(range(1, len(v) + 1)) for v in by.values()) and len(by[0]) >= 250
+    out = dataset.shuffle_column(df, "id", "e", "x", "s")
+    assert out.count() == 400 and out.where("value is null").count() == 0
+
+
 def test_direct_map_is_injective(spark):
     df = spark.range(60).select(F.concat(F.lit("firm "), F.col("id")).alias("v"))
     m = dataset.direct_map(df, "v", CORPORA["org"], "s")
