@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 #: Country codes and digit groups of a phone, digits of a passport's series and number, fewest and most digits of an identifier.
 COUNTRY, PHONE_GROUPS = ("+7", "8", "7"), (3, 3, 2, 2)
@@ -34,20 +34,22 @@ EMAIL = re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+")
 _CHAIN, _GROUP, _SPAN = re.compile(r"\d+(?:[\s-]\d+)*"), re.compile(r"\d+"), re.compile(r".*", re.DOTALL)
 
 
-def identifiers(text: str) -> Iterator[re.Match]:
-    """Numbers of LEAST to MOST digits whose groups are parted by single blanks or hyphens, as many groups as fit.
-    The group behind a plus is a country code and belongs to none."""
+def identifiers(text: str, valid: Callable[[str], bool] = lambda digits: True) -> Iterator[re.Match]:
+    """Numbers of LEAST to MOST digits whose groups are parted by single blanks or hyphens: from each group on the longest
+    that is valid, so that numbers side by side don't hide each other. The group behind a plus is a country code and
+    belongs to none."""
     for chain in _CHAIN.finditer(text):
         groups = list(_GROUP.finditer(text, chain.start(), chain.end()))
         i = 1 if text[: chain.start()].endswith("+") else 0
         while i < len(groups):
-            size, last = 0, None
+            ends, digits = [], ""
             for j in range(i, len(groups)):
-                size += len(groups[j][0])
-                if size > MOST:
+                digits += groups[j][0]
+                if len(digits) > MOST:
                     break
-                if size >= LEAST:
-                    last = j
+                if len(digits) >= LEAST:
+                    ends.append((j, digits))
+            last = next((j for j, d in reversed(ends) if valid(d)), None)
             if last is None:
                 i += 1
             else:
