@@ -17,7 +17,7 @@ What keeps it whole and linear in a group of thousands of near copies:
   were made of. Pairs that the links found already connect need no test; across
   components a pair is made only if the sets' signatures still allow a link.
 
-A class is named by the 128-bit hash of its shingle hashes.
+A class is the 128-bit hash of its shingle hashes; those that go on are numbered.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def _marks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(rid, n, tokens, sig) of the documents given as (doc_id, th, text), doc_id a class's name; sig: a bit for each of BITS remainders that a token has."""
+    """(rid, n, tokens, sig) of the documents given as (doc_id, th, text), doc_id a class's number; sig: a bit for each of BITS remainders that a token has."""
 
     def run(batches):
         for ids, _, texts, _ in blocks(batches):
@@ -57,9 +57,9 @@ def _sets(docs: DataFrame) -> DataFrame:
             bits = np.zeros((len(sets), BITS), np.uint8)
             bits[np.repeat(np.arange(len(sets)), np.diff(offsets)), flat & (BITS - 1)] = 1
             sig = pa.array(list(np.packbits(bits, axis=1).view(np.int64)), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), sig], names=["rid", "n", "tokens", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), sig], names=["rid", "n", "tokens", "sig"])
 
-    sets = docs.mapInArrow(run, "rid binary, n long, tokens array<long>, sig array<long>")
+    sets = docs.mapInArrow(run, "rid long, n long, tokens array<long>, sig array<long>")
     return sets.select("rid", "n", "tokens", F.struct(*[F.col("sig")[i].alias(f"s{i}") for i in range(BITS // 64)]).alias("sig"))
 
 
@@ -122,25 +122,27 @@ def links_of(reps: DataFrame) -> DataFrame:
     ordered = checkpoint(shared.where(F.size("t") >= need).select("rid", "n", "sig", (F.col("common") / F.col("n")).alias("weight"), F.transform("t", lambda x: x["h"]).alias("hs"), F.array(*within).alias("sizes")))
     del tokens, df, shared, reps
     release(spark)
-    nothing = spark.createDataFrame([], "node binary, comp binary")
+    nothing = spark.createDataFrame([], "node long, comp long")
     if ordered.isEmpty():
         return nothing
     # a posting knows how many shared shingles follow it: the overlap of a pair that meets here first can't be larger
     prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
     postings = checkpoint(ordered.select("rid", "n", "weight", F.size("hs").alias("m"), F.posexplode(prefix).alias("pos", "h")).select("h", "rid", "n", "weight", (F.col("m") - F.col("pos")).alias("rest")))
 
+    hot = _hot(postings)
+
     def may_link(n, rest, m, rest_m) -> Column:
         return F.least(F.col(rest), F.col(rest_m)) >= _needed(F.col(n), F.col(m))
 
     links, comp = None, None
     for turn in range(ROUNDS):
-        lists = _mixed(postings, comp)
+        lists = _mixed(postings, comp, hot)
         found = None
         for seed in range(turn * CENTRES, (turn + 1) * CENTRES):
             # the centre of a list: of its largest component the member with the most common shingles, or with the least hash
             order = F.xxhash64("rid", F.lit(seed)) if seed % CENTRES else F.struct(-F.col("weight"), F.xxhash64("rid", F.lit(seed)))
             centre = lists.where("comp = major").groupBy("h").agg(F.min_by(F.struct("rid", "n", "rest", "comp"), order).alias("c"))
-            near = lists.join(centre, "h").where(F.col("comp") != F.col("c.comp")).where(may_link("n", "rest", "c.n", "c.rest"))
+            near = _beside(lists, centre, hot).where(F.col("comp") != F.col("c.comp")).where(may_link("n", "rest", "c.n", "c.rest"))
             near = near.groupBy("rid", F.col("c.rid").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
             best = near.groupBy("rid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
             best = best.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b"))
@@ -154,7 +156,7 @@ def links_of(reps: DataFrame) -> DataFrame:
         release(spark)
 
     # all pairs across components. In each list the members of its largest component need no pairs among themselves
-    lists = _mixed(postings, comp).join(ordered.select("rid", "sig"), "rid")
+    lists = _mixed(postings, comp, hot).join(ordered.select("rid", "sig"), "rid")
     other = lists.where("comp <> major").select("h", F.col("rid").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"), F.col("comp").alias("cx"), F.col("sig").alias("gx"))
     every = lists.select("h", F.col("rid").alias("y"), F.col("n").alias("ny"), F.col("rest").alias("ry"), F.col("comp").alias("cy"), F.col("sig").alias("gy"), "major")
     across = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y")))
@@ -166,14 +168,29 @@ def links_of(reps: DataFrame) -> DataFrame:
     return components(more if links is None else links.unionByName(more))
 
 
-def _mixed(postings: DataFrame, comp: DataFrame | None) -> DataFrame:
+def _hot(postings: DataFrame) -> list[int]:
+    """The shingles whose lists hold over a five-hundredth of all postings: fewer than 500."""
+    n = postings.count()
+    often = postings.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > max(1, n // 500))
+    return [r["h"] for r in often.select("h").collect()]
+
+
+def _beside(lists: DataFrame, one: DataFrame, hot: list[int]) -> DataFrame:
+    """Postings with their list's only row of ``one``, which is broadcast for the hot lists, so that no task gets a whole one."""
+    if not hot:
+        return lists.join(one, "h")
+    is_hot = F.col("h").isin(hot)
+    return lists.where(is_hot).join(F.broadcast(one.where(is_hot)), "h").unionByName(lists.where(~is_hot).join(one.where(~is_hot), "h"))
+
+
+def _mixed(postings: DataFrame, comp: DataFrame | None, hot: list[int]) -> DataFrame:
     """The postings of lists that hold several components, with their component and the list's largest one."""
-    own = F.lit(None).cast("binary") if comp is None else F.col("comp")
+    own = F.lit(None).cast("long") if comp is None else F.col("comp")
     named = postings if comp is None else postings.join(comp, F.col("rid") == F.col("node"), "left")
     labelled = checkpoint(named.select("h", "rid", "n", "weight", "rest", F.coalesce(own, "rid").alias("comp")))
     per = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     major = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    return checkpoint(labelled.join(major, "h").drop("comps"))
+    return checkpoint(_beside(labelled, major, hot).drop("comps"))
 
 
 def _assigned(body: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -186,12 +203,15 @@ def _assigned(body: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = meta.where("n > 0").groupBy("gk").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count(F.lit(1)).alias("cnt"), F.max("n").alias("n"), F.max("n_hits").alias("n_hits"))
     # a class of several documents shares every shingle; its own copies don't count as partners, the exact join sorts that out
     going = classes.where(F.col("n_hits") >= _least(F.col("n"))).select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "gk")
-    texts = body.join(going, KEY).dropDuplicates(KEY)
-    # a doc_id may stand for several texts: classes go by their own name
-    comp = links_of(_sets(texts.select(F.col("gk").alias("doc_id"), "th", "text")))
-    joined = classes.select("gk", "rep", "cnt").join(comp, F.col("gk") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "gk"))
-    least = joined.groupBy("comp").agg(F.min("rep").alias("least"))
-    return meta, checkpoint(joined.join(least, "comp").select("gk", "cnt", F.col("least.doc_id").alias("component_id"), "least"))
+    # a doc_id may stand for several texts: classes go by a number of their own, settled once it is written
+    going = checkpoint(going.withColumn("rid", F.monotonically_increasing_id()))
+    texts = body.join(going.drop("gk"), KEY).dropDuplicates(KEY)
+    comp = links_of(_sets(texts.select(F.col("rid").alias("doc_id"), "th", "text")))
+    linked = going.select("gk", "rid").join(comp, F.col("rid") == F.col("node")).select("gk", "comp")
+    joined = classes.select("gk", "rep", "cnt").join(linked, "gk", "left")
+    least = joined.where("comp is not null").groupBy("comp").agg(F.min("rep").alias("least"))
+    named = joined.join(least, "comp", "left").withColumn("least", F.coalesce("least", "rep"))
+    return meta, checkpoint(named.select("gk", "cnt", F.col("least.doc_id").alias("component_id"), "least"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
