@@ -20,6 +20,7 @@ from palimpsest.sources.runlog import RunLog
 
 #: Rows of a column that a report shows before and after.
 SHOWN = 3
+CHECKS = "name string, subject string, result string, detail string"
 
 
 def salt() -> str:
@@ -167,6 +168,7 @@ def check(spark: SparkSession, source: str, plan: Plan, work: str, name: str, co
     found.append(verify.degraded(low, plan.params.get("max_degraded")))
     sums = verify.checksum_rows(copy, plan, keys)
     spark.createDataFrame(sums, "tbl string, col string, checksum long").coalesce(1).write.mode("overwrite").parquet(f"{work}/{name}/checksums")
+    spark.createDataFrame([(x.name, x.subject, x.result, x.detail) for x in found], CHECKS).coalesce(1).write.mode("overwrite").parquet(f"{work}/{name}/checks")
     spark.createDataFrame([(report.checks(found),)], "value string").coalesce(1).write.mode("overwrite").text(f"{work}/{name}/report")
     log.mark(name, "verify", "*", "done" if verify.ok(found) else "failed", gate.digest(plan), mark)
     return found
@@ -244,7 +246,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "run":
         print(run(spark, a.source, plan, a.work, config, client))
         return 0
-    found = check(spark, a.source, plan, a.work, a.run_name, config)
+    kept = f"{a.work}/{a.run_name}/checks"
+    if a.command == "report" and dump.exists(spark, kept):  # what verify found
+        same_run(spark, plan, a.work, a.run_name)
+        found = [verify.Check(**r.asDict()) for r in spark.read.schema(CHECKS).parquet(kept).collect()]
+    else:
+        found = check(spark, a.source, plan, a.work, a.run_name, config)
     if a.command == "verify":
         print(report.checks(found))
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from palimpsest.sources.corpus import SEM_TO_CORPUS
 #: A copy keeps at least this share of the entropy that its strategy allows.
 ENTROPY_SHARE = 0.9
 CHANGED = {"fake", "generate", "direct"}
+#: Checks whose jobs run side by side.
+AT_ONCE = 6
 
 
 @dataclass
@@ -145,20 +148,16 @@ def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan,
     A table without a key, or absent from the copy, is a failed check, not an exception. Each check reads a table once
     for all its columns.
     """
-    out: list[Check] = []
-    ids = None
-    for t, df in source.items():
+
+    def table(item: tuple[str, DataFrame]) -> list[Check]:
+        (t, df), out = item, []
         if t not in copy:
-            out.append(check("volume", t, False, "not in the copy"))
-            continue
+            return [check("volume", t, False, "not in the copy")]
         a, b = df.count(), copy[t].count()
         out.append(check("volume", t, a == b, f"{a} and {b} rows"))
-        mine = identifiers(df, plan, t)
-        ids = mine if ids is None else ids.unionByName(mine)
         key = keys.get(t)
         if not key:
-            out.append(check("key", t, False, "no key is declared"))
-            continue
+            return [*out, check("key", t, False, "no key is declared")]
         doubled = copy[t].groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         out.append(check("unique", t, doubled.isEmpty()))
         by = {x.column: x for x in plan.of(t)}
@@ -179,16 +178,34 @@ def verify(source: dict[str, DataFrame], copy: dict[str, DataFrame], plan: Plan,
             if was > 1:
                 was = min(was, ceiling(size, distinct)) if size else was
                 out.append(check("entropy", f"{t}.{n}", now >= ENTROPY_SHARE * was, f"{now:.3f} of {was:.3f} bits"))
-    for child, cols, parent, parent_cols in links:
+        return out
+
+    ids = None
+    for t, df in source.items():
+        if t in copy:
+            mine = identifiers(df, plan, t)
+            ids = mine if ids is None else ids.unionByName(mine)
+
+    def link(item: tuple[str, list[str], str, list[str]]) -> list[Check]:
+        child, cols, parent, parent_cols = item
+        if child not in copy or parent not in copy:
+            return [check("link", f"{child}.{','.join(cols)}", False, "not in the copy")]
         n = dataset.orphans(copy[child], cols, copy[parent], parent_cols).count()
-        out.append(check("link", f"{child}.{','.join(cols)}", n == 0, f"{n} rows without a parent"))
-    for t, df in copy.items():
-        text = [f.name for f in df.schema if f.dataType.typeName() != "binary"]
-        joined = df.select(F.concat_ws("\u0001", *[F.col(quoted(x)).cast("string") for x in text]).alias("x_text"))
+        return [check("link", f"{child}.{','.join(cols)}", n == 0, f"{n} rows without a parent")]
+
+    def texts(item: tuple[str, DataFrame]) -> list[Check]:
+        (t, df), out = item, []
+        readable = [f.name for f in df.schema if f.dataType.typeName() != "binary"]
+        joined = df.select(F.concat_ws("\u0001", *[F.col(quoted(x)).cast("string") for x in readable]).alias("x_text"))
         if ids is not None:
             n = dataset.leaked_identifiers(ids, joined, "x_text").count()
             out.append(check("leak", t, n == 0, f"{n} identifiers"))
         if canaries is not None:
             n = dataset.canaries(canaries, joined, ["x_text"]).count()
             out.append(check("canaries", t, n == 0, f"{n} found"))
-    return out + (probes(source, copy, manifest) if manifest is not None else [])
+        return out
+
+    # the checks don't wait for one another: Spark shares its cores among their jobs
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        found = [*pool.map(table, source.items()), *pool.map(link, links), *pool.map(texts, copy.items())]
+    return [x for part in found for x in part] + (probes(source, copy, manifest) if manifest is not None else [])

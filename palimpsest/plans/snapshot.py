@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,8 @@ from palimpsest.operators import dataset, detect
 
 #: Share of a text column's values that must be JSON objects for it to count as json.
 JSON_SHARE = 0.99
+#: Tables that are profiled side by side.
+AT_ONCE = 6
 
 
 @dataclass
@@ -63,11 +66,15 @@ class Snapshot:
 
 def take(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> Snapshot:
     """Profiles all tables. A column counts as unique if all its values are there and differ."""
-    out = []
-    for t, df in tables.items():
+
+    def one(item: tuple[str, DataFrame]) -> list[ColumnProfile]:
+        (t, df), out = item, []
         for r in dataset.profile(df, t).orderBy("col").collect():
             found = dataset.json_keys(df, r["col"]) if r["type"] == "string" and r["json_share"] >= JSON_SHARE else []
             primary = r["col"] in keys.get(t, [])
             alone = r["n"] > 0 and r["n"] == r["n_distinct"]
             out.append(ColumnProfile(t, r["col"], r["type"], r["n"], r["n_distinct"], r["null_share"], list(r["samples"]), found, detect.address_ratio(r["samples"]), alone or (primary and len(keys[t]) == 1), primary))
-    return Snapshot(out)
+        return out
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return Snapshot([x for part in pool.map(one, tables.items()) for x in part])
