@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Text bytes that one block of an exchange holds, one bucket of it stands for, and one Arrow batch holds.
 BLOCK_BYTES, BUCKET_BYTES, BATCH_BYTES = 4 << 20, 8 << 20, 8 << 20
+#: Edges from which a star's centre may be hot: below, one task takes them all and a broadcast costs more than it spares.
+HOT_STAR = 100_000
 #: Stands for a null doc_id, before all others.
 NULL_ID = -(2**63)
 KEY = ["doc_id", "th"]
@@ -429,24 +431,40 @@ def repeated_marks(docs: DataFrame, marks: Marks, buckets: int, want_places: boo
     return sent.groupBy("key").cogroup(met.groupBy("block")).applyInArrow(answer, ddl)
 
 
+def hot_keys(rows: DataFrame, key: str, least: int = 1) -> list[int]:
+    """The keys that over a five-hundredth of the rows have, and over ``least``: fewer than 500."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("k"))
+    n = rows.count()
+    return [r[key] for r in counts.where(F.col("k") > max(least, n // 500)).select(key).collect()]
+
+
+def beside(rows: DataFrame, one: DataFrame, key: str, hot: list[int]) -> DataFrame:
+    """Rows with their key's only row of ``one``, which is broadcast for the hot keys, so that no task gets all rows of one."""
+    if not hot:
+        return rows.join(one, key)
+    is_hot = F.col(key).isin(hot)
+    return rows.where(is_hot).join(F.broadcast(one.where(is_hot)), key).unionByName(rows.where(~is_hot).join(one.where(~is_hot), key))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of (a, b) links: (node, comp) with comp the smallest node reachable.
 
     Alternating large-star and small-star rounds; each round is two shuffles with
     partial aggregation and is checkpointed. Rounds grow with the logarithm of
-    the components' size. A star's centre is never gathered into one row: the
-    rounds use joins with the aggregated minimum.
+    the components' size. A star's centre is never gathered into one row or task: the
+    rounds use joins with the aggregated minimum, broadcast for the largest stars.
     """
     edges = checkpoint(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         # large star: every neighbour above u is linked to u's smallest neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hot = hot_keys(both, "u", HOT_STAR)
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = beside(both, low, "u", hot).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: every smaller neighbour, and u itself, is linked to the smallest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        small = beside(large, low, "u", hot).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         edges = checkpoint(small)
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         del both, low, large, small

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, NULL_ID, blocks, checkpoint, components, counted, documents, n_buckets, real_id, release, repeated_marks, shingle_sets, total_bytes, with_group_value
+from .common import KEY, NULL_ID, beside, blocks, checkpoint, components, counted, documents, hot_keys, n_buckets, real_id, release, repeated_marks, shingle_sets, total_bytes, with_group_value
 
 #: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
@@ -129,7 +129,7 @@ def links_of(reps: DataFrame) -> DataFrame:
     prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
     postings = checkpoint(ordered.select("rid", "n", "weight", F.size("hs").alias("m"), F.posexplode(prefix).alias("pos", "h")).select("h", "rid", "n", "weight", (F.col("m") - F.col("pos")).alias("rest")))
 
-    hot = _hot(postings)
+    hot = hot_keys(postings, "h")
 
     def may_link(n, rest, m, rest_m) -> Column:
         return F.least(F.col(rest), F.col(rest_m)) >= _needed(F.col(n), F.col(m))
@@ -142,7 +142,7 @@ def links_of(reps: DataFrame) -> DataFrame:
             # the centre of a list: of its largest component the member with the most common shingles, or with the least hash
             order = F.xxhash64("rid", F.lit(seed)) if seed % CENTRES else F.struct(-F.col("weight"), F.xxhash64("rid", F.lit(seed)))
             centre = lists.where("comp = major").groupBy("h").agg(F.min_by(F.struct("rid", "n", "rest", "comp"), order).alias("c"))
-            near = _beside(lists, centre, hot).where(F.col("comp") != F.col("c.comp")).where(may_link("n", "rest", "c.n", "c.rest"))
+            near = beside(lists, centre, "h", hot).where(F.col("comp") != F.col("c.comp")).where(may_link("n", "rest", "c.n", "c.rest"))
             near = near.groupBy("rid", F.col("c.rid").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
             best = near.groupBy("rid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
             best = best.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b"))
@@ -168,21 +168,6 @@ def links_of(reps: DataFrame) -> DataFrame:
     return components(more if links is None else links.unionByName(more))
 
 
-def _hot(postings: DataFrame) -> list[int]:
-    """The shingles whose lists hold over a five-hundredth of all postings: fewer than 500."""
-    n = postings.count()
-    often = postings.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > max(1, n // 500))
-    return [r["h"] for r in often.select("h").collect()]
-
-
-def _beside(lists: DataFrame, one: DataFrame, hot: list[int]) -> DataFrame:
-    """Postings with their list's only row of ``one``, which is broadcast for the hot lists, so that no task gets a whole one."""
-    if not hot:
-        return lists.join(one, "h")
-    is_hot = F.col("h").isin(hot)
-    return lists.where(is_hot).join(F.broadcast(one.where(is_hot)), "h").unionByName(lists.where(~is_hot).join(one.where(~is_hot), "h"))
-
-
 def _mixed(postings: DataFrame, comp: DataFrame | None, hot: list[int]) -> DataFrame:
     """The postings of lists that hold several components, with their component and the list's largest one."""
     own = F.lit(None).cast("long") if comp is None else F.col("comp")
@@ -190,7 +175,7 @@ def _mixed(postings: DataFrame, comp: DataFrame | None, hot: list[int]) -> DataF
     labelled = checkpoint(named.select("h", "rid", "n", "weight", "rest", F.coalesce(own, "rid").alias("comp")))
     per = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     major = per.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    return checkpoint(_beside(labelled, major, hot).drop("comps"))
+    return checkpoint(beside(labelled, major, "h", hot).drop("comps"))
 
 
 def _assigned(body: DataFrame) -> tuple[DataFrame, DataFrame]:
