@@ -1,8 +1,8 @@
-"""Scalar rules as SQL expressions, for Spark and, with the same formula, for DuckDB.
+"""Scalar rules as SQL expressions, for Spark and, by the dialect ``d``, for DuckDB.
 
-Every function takes a dialect and SQL operands (strings) and returns an
-expression. ``palimpsest.functions.columns`` wraps them as Columns; the oracle
-uses the other dialect, so both engines are held to the same values.
+Every function takes SQL operands (strings) and returns an expression;
+``palimpsest.functions.columns`` wraps them as Columns. The registry's oracle uses
+none of them: its SQL is written apart.
 """
 
 from __future__ import annotations
@@ -67,10 +67,6 @@ def matches(d: str, x: str, pattern: str) -> str:
     return f"({x} rlike r{lit(pattern)})" if d == SPARK else f"regexp_matches({x}, {lit(pattern)})"
 
 
-def extract_all(d: str, x: str, pattern: str) -> str:
-    return f"regexp_extract_all({x}, r{lit(pattern)}, 0)" if d == SPARK else f"regexp_extract_all({x}, {lit(pattern)})"
-
-
 def pick_int(d: str, salt: str, low: int, high: int, *key: str) -> str:
     return f"({low} + {h60(d, salt, *key)} % {high - low + 1})"
 
@@ -163,21 +159,6 @@ def valid_ogrn(d: str, x: str) -> str:
     )
 
 
-def luhn_sum(x: str, n: int, check: bool) -> str:
-    """Luhn sum of the first n digits of x; check: a check digit is still to follow them."""
-    out = []
-    for i in range(n):
-        v = f"try_cast(substr({x}, {i + 1}, 1) as int)"
-        twice = (n - i) % 2 == (1 if check else 0)
-        out.append(f"(2 * {v} - case when {v} > 4 then 9 else 0 end)" if twice else v)
-    return "(" + " + ".join(out) + ")"
-
-
-def luhn_ok(d: str, x: str) -> str:
-    cases = " ".join(f"when length({x}) = {n} then {luhn_sum(x, n, False)} % 10 = 0" for n in range(13, 20))
-    return f"coalesce({matches(d, x, '^[0-9]{13,19}$')} and (case {cases} else false end), false)"
-
-
 def gen_inn10(d: str, salt: str, x: str) -> str:
     body = padded(fpe(d, salt, "inn10", big(f"substr({x}, 1, 9)"), 9), 9)
     return let(d, body, lambda b: f"concat({b}, cast({inn_check(b, INN10)} as string))")
@@ -200,22 +181,6 @@ def gen_ogrn(d: str, salt: str, x: str, sole: bool = False) -> str:
     return let(d, body, lambda b: f"concat({padded(b, n)}, cast({b} % {m} % 10 as string))")
 
 
-def gen_luhn(d: str, salt: str, x: str, n: int) -> str:
-    """A card-like number of n digits with a valid check digit."""
-    body = padded(fpe(d, salt, "luhn", big(f"substr({x}, 1, {n - 1})"), n - 1), n - 1)
-    return let(d, body, lambda b: f"concat({b}, cast((10 - {luhn_sum(b, n - 1, True)} % 10) % 10 as string))")
-
-
-def gen_digits(d: str, salt: str, x: str, widths: list[int]) -> str:
-    """All digits of x permuted as one number, laid back into the places of the old ones; each width permutes on its own."""
-
-    def body(n: str) -> str:
-        laid = lambda w: let(d, padded(fpe(d, salt, f"digits{w}", big(n), w), w), lambda new: reshape(d, x, new, w))
-        return f"case {' '.join(f'when length({n}) = {w} then {laid(w)}' for w in widths)} else {x} end"
-
-    return let(d, digits(d, x), body)
-
-
 # -- permutations of any width, in Spark
 
 
@@ -290,13 +255,6 @@ def luhn_like(salt: str, x: str) -> str:
     return let(SPARK, digits(SPARK, x), body)
 
 
-def reshape(d: str, x: str, new: str, n: int) -> str:
-    """The n digits ``new`` in the places of the digits of x; everything else stays."""
-    quote = "r" if d == SPARK else ""
-    part = lambda i: f"regexp_extract({x}, {quote}'^(?:[^0-9]*[0-9]){{{i}}}([^0-9]*)', 1)"
-    return "concat(" + ", ".join(f"{part(i)}, substr({new}, {i + 1}, 1)" for i in range(n)) + f", {part(n)})"
-
-
 # -- corpora
 
 
@@ -335,11 +293,3 @@ def fake_address(d: str, salt: str, regions: list[str], cities: list[str], stree
         f"concat({part('region', regions)}, ', г. ', {part('city', cities)}, ', ул. ', {part('street', streets)}, ', д. ', "
         f"cast({pick_int(d, salt, 1, 99, lit('house'), key)} as string), ', кв. ', cast({pick_int(d, salt, 1, 250, lit('flat'), key)} as string))"
     )
-
-
-# -- aggregates
-
-
-def entropy(table: str, column: str) -> str:
-    """Shannon entropy in bits of a column's values, null counting as one."""
-    return f"(select round(-sum(p * log2(p)), 6) from (select count(*) * 1.0e0 / sum(count(*)) over () as p from {table} group by {column}) q)"
