@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Text bytes that one block of an exchange holds, one bucket of it stands for, and one Arrow batch holds.
 BLOCK_BYTES, BUCKET_BYTES, BATCH_BYTES = 4 << 20, 8 << 20, 8 << 20
-#: Edges from which a star's centre may be hot: below, one task takes them all and a broadcast costs more than it spares.
-HOT_STAR = 100_000
+#: Rows from which a key may be hot: below, one task takes them all and a broadcast costs more exchanges than it spares.
+HOT_ROWS = 100_000
 #: Stands for a null doc_id, before all others.
 NULL_ID = -(2**63)
 KEY = ["doc_id", "th"]
@@ -459,7 +459,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # large star: every neighbour above u is linked to u's smallest neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hot = hot_keys(both, "u", HOT_STAR)
+        hot = hot_keys(both, "u", HOT_ROWS)
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = beside(both, low, "u", hot).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: every smaller neighbour, and u itself, is linked to the smallest

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, NULL_ID, beside, blocks, checkpoint, components, counted, documents, hot_keys, n_buckets, real_id, release, repeated_marks, shingle_sets, total_bytes, with_group_value
+from .common import KEY, NULL_ID, beside, blocks, checkpoint, components, counted, documents, HOT_ROWS, hot_keys, n_buckets, real_id, release, repeated_marks, shingle_sets, total_bytes, with_group_value
 
 #: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
@@ -109,11 +109,11 @@ def _verified(pairs: DataFrame, ordered: DataFrame) -> DataFrame:
 
 
 def links_of(reps: DataFrame) -> DataFrame:
-    """(node, comp) of the classes that have a link. reps: (rid, n, tokens, sig), sets pairwise different, rid unique."""
+    """(node, comp) of the classes that have a link. reps: (rid, n, tokens, sig) as a checkpoint, sets pairwise different, rid unique."""
     spark = reps.sparkSession
-    reps = checkpoint(reps)
+    release(spark)
     # the global order: number of classes that hold the shingle, then its hash; a shingle of one class alone links nothing
-    tokens = reps.select("rid", F.explode("tokens").alias("h"))
+    tokens = reps.select("rid", F.explode("tokens").alias("h")).repartition("h")  # one exchange, counted and joined
     df = tokens.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
     t = F.array_sort(F.collect_list(F.struct("df", "h")))
     shared = tokens.join(df, "h").groupBy("rid").agg(t.alias("t"), F.sum(F.log2("df")).alias("common")).join(reps.select("rid", "n", "sig"), "rid")
@@ -129,7 +129,7 @@ def links_of(reps: DataFrame) -> DataFrame:
     prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
     postings = checkpoint(ordered.select("rid", "n", "weight", F.size("hs").alias("m"), F.posexplode(prefix).alias("pos", "h")).select("h", "rid", "n", "weight", (F.col("m") - F.col("pos")).alias("rest")))
 
-    hot = hot_keys(postings, "h")
+    hot = hot_keys(postings, "h", HOT_ROWS)
 
     def may_link(n, rest, m, rest_m) -> Column:
         return F.least(F.col(rest), F.col(rest_m)) >= _needed(F.col(n), F.col(m))
@@ -190,8 +190,7 @@ def _assigned(body: DataFrame) -> tuple[DataFrame, DataFrame]:
     going = classes.where(F.col("n_hits") >= _least(F.col("n"))).select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "gk")
     # a doc_id may stand for several texts: classes go by a number of their own, settled once it is written
     going = checkpoint(going.withColumn("rid", F.monotonically_increasing_id()))
-    texts = body.join(going.drop("gk"), KEY).dropDuplicates(KEY)
-    comp = links_of(_sets(texts.select(F.col("rid").alias("doc_id"), "th", "text")))
+    comp = links_of(checkpoint(_sets(body.join(going.drop("gk"), KEY).dropDuplicates(KEY).select(F.col("rid").alias("doc_id"), "th", "text"))))
     linked = going.select("gk", "rid").join(comp, F.col("rid") == F.col("node")).select("gk", "comp")
     joined = classes.select("gk", "rep", "cnt").join(linked, "gk", "left")
     least = joined.where("comp is not null").groupBy("comp").agg(F.min("rep").alias("least"))

@@ -78,7 +78,7 @@ def test_near_duplicates_of_a_large_group(spark, rows):
 
 @pytest.mark.parametrize("least", [1, 10**9])
 def test_components_of_a_star_and_a_path(spark, monkeypatch, least):
-    monkeypatch.setattr(common, "HOT_STAR", least)
+    monkeypatch.setattr(common, "HOT_ROWS", least)
     links = [(50, i) for i in range(100, 300)] + [(50, 3)] + [(i, i + 1) for i in range(1000, 1040)] + [(7, 6)]
     got = {r["node"]: r["comp"] for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {n: 3 for n in [3, 50, *range(100, 300)]} | {n: 1000 for n in range(1000, 1041)} | {6: 6, 7: 6}
