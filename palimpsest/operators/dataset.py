@@ -24,6 +24,17 @@ MARK = 12
 _LEAK_RUN = r"[0-9][0-9 .\-/()]*"
 
 
+def dealt(df: DataFrame, pieces: int = 0) -> DataFrame:
+    """The rows dealt out by their hash to ``pieces`` tasks; else to as many as the session shuffles to, and twice its cores at least.
+
+    A row group of a file is one task, however many rows it has; a step that costs much a row should not wait
+    for it. Rows go by their values, so a task that runs again sends them the same way; equal rows stay together.
+    """
+    spark = df.sparkSession
+    n = pieces or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *[F.col(quoted(name)) for name, kind in df.dtypes if not re.search(r"\b(map<|variant\b)", kind)])
+
+
 def direct_map(df: DataFrame, column: str, corpus: list[str], salt: str, limit: int = 10_000, answers: dict[str, str] | None = None) -> DataFrame:
     """(v, fake): an own replacement for every distinct value; more than ``limit`` values raise.
 

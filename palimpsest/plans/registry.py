@@ -151,7 +151,7 @@ def _people(t: Tables) -> DataFrame:
     """A person for each customer, a woman where the key is even, a fifth without a patronymic, in mixed case."""
     at = lambda corpus: F.element_at(F.array(*[F.lit(x) for x in CORPORA[corpus]]), (F.col("c_custkey") % len(CORPORA[corpus]) + 1).cast("int"))
     female = F.col("c_custkey") % 2 == 0
-    df = t("customer").select(
+    df = dataset.dealt(t("customer").select("c_custkey")).select(
         "c_custkey",
         F.initcap(F.when(female, c.feminine(at("family"))).otherwise(at("family"))).alias("family"),
         F.upper(F.when(female, at("name_f")).otherwise(at("name_m"))).alias("name"),
@@ -439,7 +439,7 @@ def sanitize_planted(t: Tables) -> DataFrame:
         F.lit("Пишите user"), F.col("c_custkey"), F.lit("@mail.ru, тел. +7 (903) "), F.substring(key, 1, 3), F.lit("-"), F.substring(key, 4, 2), F.lit("-"), F.substring(key, 6, 2),
         F.lit(", паспорт "), F.substring(passport, 1, 4), F.lit(" "), F.substring(passport, 5, 6), F.lit(", ИНН "), tax, check, F.lit("."),
     )
-    return t("customer").select("c_custkey", text.sanitize_text(said, SALT, CORPORA)["text"].alias("text"))
+    return dataset.dealt(t("customer").select("c_custkey")).select("c_custkey", text.sanitize_text(said, SALT, CORPORA)["text"].alias("text"))
 
 
 @query
@@ -453,11 +453,11 @@ def sanitize_names(t: Tables) -> DataFrame:
 @query
 def sanitize_documents(t: Tables) -> DataFrame:
     """The text pass over whole documents: notes and the new text's digest."""
-    done = t("documents").select("doc_id", text.sanitize_text(F.col("text"), SALT, CORPORA).alias("s"))
+    done = dataset.dealt(t("documents").select("doc_id", "text")).select("doc_id", text.sanitize_text(F.col("text"), SALT, CORPORA).alias("s"))
     return done.select("doc_id", F.size("s.notes").alias("n_notes"), F.sha2("s.text", 256).alias("sha256"))
 
 
 @query
 def degradation_summary(t: Tables) -> DataFrame:
     """Notes and undecided fragments of the conversations' text pass."""
-    return text.notes_summary(t("conversations").select(text.sanitize_text(F.col("text"), SALT, CORPORA).alias("s")), "s", "conversations")
+    return text.notes_summary(dataset.dealt(t("conversations")).select(text.sanitize_text(F.col("text"), SALT, CORPORA).alias("s")), "s", "conversations")

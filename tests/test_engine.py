@@ -262,3 +262,18 @@ def test_entry_point():
     import __spark_entry__
 
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", ["sanitize_planted", "sanitize_names", "sanitize_documents"])
+def test_text_pass_over_one_row_group_is_dealt_out(spark, name):
+    made = registry.QUERIES[name](spark, SF).groupBy(F.spark_partition_id()).count().collect()  # one file of one row group
+    assert len(made) == 8 and max(r["count"] for r in made) < sum(r["count"] for r in made) / 3
+
+
+def test_text_pass_over_a_table_is_dealt_out(spark):
+    df = spark.range(400, numPartitions=1).select("id", F.lit("почта a@b.ru").alias("t"), F.create_map(F.lit("k"), "id").alias("m"))
+    plan = Plan("", [PlanColumn("x", "id", "technical", "keep"), PlanColumn("x", "t", "free_text", "freetext"), PlanColumn("x", "m", "technical", "keep")])
+    out = text.sanitize_table(df, plan, "x", "s", CORPORA)
+    made = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(made) == 8 and sum(r["count"] for r in made) == 400 and max(r["count"] for r in made) < 100
+    assert out.where("_notes <> array('t:email')").count() == 0
