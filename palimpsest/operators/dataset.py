@@ -19,6 +19,8 @@ from palimpsest.functions.sqlgen import SPARK
 RING_PIECES = 64
 #: Rows from which an entity is numbered in pieces, and how many.
 HOT_ROWS, HOT_PIECES = 100_000, 1024
+#: Cells from which a profile is made in pieces, and about how many a piece has; parts by which rows are dealt, of each piece.
+CELLS, PARTS = 500_000, 8
 #: Letters of the mark that makes a replacement a value's own: 60 bits.
 MARK = 12
 _LEAK_RUN = r"[0-9][0-9 .\-/()]*"
@@ -147,15 +149,24 @@ def profile(df: DataFrame, table: str, samples: int = 50) -> DataFrame:
     """(tbl, col, type, n, n_distinct, null_share, json_share, samples) of every column; samples: the smallest distinct values.
 
     One pass: cells become (column, value) rows, counted per distinct value before
-    they are shuffled; statistics and samples read that one shuffle.
+    they are shuffled; statistics and samples read that one shuffle. A task holds the
+    values that it counts, so both sides of the shuffle have as many tasks as there are
+    CELLS; the samples are cut in each task before they meet.
     """
+    pieces = math.ceil(df.count() * len(df.columns) / CELLS)
     kinds = df.sparkSession.createDataFrame([(i, table, n, df.schema[n].dataType.simpleString()) for i, n in enumerate(df.columns)], "i int, tbl string, col string, type string")
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(quoted(n)).cast("string").alias("v")) for i, n in enumerate(df.columns)])).alias("c")).select("c.*")
-    counted = cells.groupBy("i", "v").agg(F.count(F.lit(1)).alias("k"))
+    if pieces > 1:
+        values = [F.col(quoted(n)).cast("string").alias(str(i)) for i, n in enumerate(df.columns)]
+        rows = df.select(*values).withColumn("p", F.pmod(F.xxhash64(*[quoted(str(i)) for i in range(len(values))]), F.lit(PARTS * pieces))).repartition(pieces, "p")
+        cells = rows.select("p", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(quoted(str(i))).alias("v")) for i in range(len(values))])).alias("c")).select("p", "c.*")
+        counted = cells.groupBy("p", "i", "v").agg(F.count(F.lit(1)).alias("k")).repartition(pieces, "i", "v").groupBy("i", "v").agg(F.sum("k").alias("k"))
+    else:
+        counted = _cells(df, df.columns).groupBy("i", "v").agg(F.count(F.lit(1)).alias("k"))
     json = F.when(F.col("v").startswith("{") & F.expr("json_object_keys(v) is not null"), F.col("k")).otherwise(0)
     stats = counted.groupBy("i").agg(F.sum("k").alias("n"), F.count("v").alias("n_distinct"), F.sum(F.when(F.col("v").isNull(), F.col("k")).otherwise(0)).alias("nulls"), F.sum(json).alias("json"))
-    some = counted.where("v is not null").withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy("v"))).where(F.col("r") <= samples)
-    some = some.groupBy("i").agg(F.array_sort(F.collect_list("v")).alias("samples"))
+    # nulls go last and the counts along, else the optimizer reads the cells a second time for the samples
+    first = counted.withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy(F.col("v").asc_nulls_last()))).where((F.col("r") <= samples) & F.col("v").isNotNull())
+    some = first.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("v", "k"))).alias("s")).select("i", F.transform("s", lambda x: x["v"]).alias("samples"))
     n = F.coalesce("n", F.lit(0))
     share = lambda x: F.coalesce(F.try_divide(x, F.col("n")), F.lit(0.0))
     return (

@@ -1,6 +1,7 @@
 import json
 import os
 import pathlib
+import re
 import shutil
 import subprocess
 import sys
@@ -277,3 +278,17 @@ def test_text_pass_over_a_table_is_dealt_out(spark):
     made = out.groupBy(F.spark_partition_id()).count().collect()
     assert len(made) == 8 and sum(r["count"] for r in made) == 400 and max(r["count"] for r in made) < 100
     assert out.where("_notes <> array('t:email')").count() == 0
+
+
+def test_profile_in_pieces_is_the_same_and_reads_once(spark, monkeypatch):
+    few = F.when(F.col("id") % 3 != 0, F.col("id") % 7)
+    df = spark.range(3000, numPartitions=1).select("id", few.alias("few"), F.lit("x").alias("one"), F.when(F.col("id") < 0, "").alias("none"), F.when(F.col("id") < 30, F.lit('{"a":1}')).alias("j"))
+    rows = lambda: sorted(map(str, dataset.profile(df, "t").collect()))
+    whole = rows()
+    monkeypatch.setattr(dataset, "CELLS", 1000)
+    assert rows() == whole and any("col='id', type='bigint', n=3000, n_distinct=3000" in x for x in whole)
+    out = dataset.profile(df, "t")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    assert re.search(r"hashpartitioning\(p#\d+L?, 15\)", plan) and re.search(r"hashpartitioning\(i#\d+, v#\d+, 15\)", plan)  # 15,000 cells
+    assert plan.count("Range (") == 1 and "ReusedExchange" in plan and "WindowGroupLimit" in plan
